@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tejado.functions._util import col_of, null_str
 from tejado.functions.text import ustrip
@@ -113,7 +114,7 @@ def _closest(domains: pd.Series) -> pd.Series:
     return domains.map(one)
 
 
-closest_domain = F.pandas_udf(_closest, "string")
+closest_domain = F.pandas_udf(_closest, T.StringType())
 
 
 def clean_emails(df: DataFrame, email_col: str, out_col: str = "email_clean") -> DataFrame:

@@ -57,16 +57,36 @@ def _fold_tables(keep_non_ascii: bool = False):
 
 
 def _char_class(chars) -> str:
-    return "[" + "".join("\\x{%04X}" % ord(c) for c in sorted(chars)) + "]"
+    """Regex class with consecutive code points merged into ranges (a short class matches fast)."""
+    cps = sorted(ord(c) for c in chars)
+    parts, start, prev = [], None, None
+    for cp in cps + [None]:
+        if start is not None and (cp is None or cp != prev + 1):
+            parts.append("\\x{%04X}" % start if start == prev else "\\x{%04X}-\\x{%04X}" % (start, prev))
+            start = None
+        if cp is not None and start is None:
+            start = cp
+        prev = cp
+    return "[" + "".join(parts) + "]"
 
 
 def _apply_long_folds(c: Column, long_map: dict) -> Column:
     if not long_map:
         return c
-    m = F.create_map(*[x for k, v in sorted(long_map.items()) for x in (F.lit(k), F.lit(v))])
-    per_char = F.array_join(
-        F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(m, ch), ch)), "")
-    return F.when(c.rlike(_char_class(long_map.keys())), per_char).otherwise(c)
+    # Two literals instead of a 400-entry map expression: the keys as one string
+    # (position by ``instr``) and the folds as one split array; keeps plans small.
+    items = sorted(long_map.items())
+    keys = F.lit("".join(k for k, _ in items))
+    vals = F.split(F.lit("\u0001".join(v for _, v in items)), "\u0001")
+
+    def one(ch):
+        pos = F.instr(keys, ch)
+        return F.when((ch != "") & (pos > 0), F.element_at(vals, pos)).otherwise(ch)
+
+    per_char = F.array_join(F.transform(F.split(c, ""), one), "")
+    # the ASCII test first: most rows stop there
+    needs = c.rlike(r"[^\x00-\x7F]") & c.rlike(_char_class(long_map.keys()))
+    return F.when(needs, per_char).otherwise(c)
 
 
 def fold_ascii(c) -> Column:

@@ -267,15 +267,25 @@ VIEWS = {
 }
 
 
+_PLANS: dict = {}
+
+
 def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A base table; the (lazy) DataFrame is reused within a session to skip repeated file listing."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _PLANS:
+        _PLANS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _PLANS[key]
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A domain view on Spark, lazily planned over the base parquet tables."""
-    fn, deps = VIEWS[name]
-    frames = {t: read_base(spark, sf_dir, t) for t in deps}
-    return spark.sql(fn(SPARK), **frames)
+    key = (id(spark), sf_dir.rstrip("/"), "view:" + name)
+    if key not in _PLANS:
+        fn, deps = VIEWS[name]
+        frames = {t: read_base(spark, sf_dir, t) for t in deps}
+        _PLANS[key] = spark.sql(fn(SPARK), **frames)
+    return _PLANS[key]
 
 
 def duck_cte(*names: str) -> str:
