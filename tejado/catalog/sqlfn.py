@@ -83,3 +83,75 @@ def with_ctes(views: list[str], ctes: list[tuple[str, str]]) -> str:
     if ctes:
         head += ",\n" + ",\n".join(f"{n} AS ({q})" for n, q in ctes)
     return head + "\n"
+
+
+def norm_ascii(x):
+    return f"coalesce({nt(x)}, '')"
+
+
+def norm_alnum(x):
+    """SC-03."""
+    return f"trim(regexp_replace(regexp_replace({norm_ascii(x)}, '[^A-Z0-9]+', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+def inv_key(x):
+    """SC-15."""
+    s = f"regexp_replace({norm_ascii(x)}, '\\.0$', '')"
+    s = f"regexp_replace({s}, '\\s+', '', 'g')"
+    return f"regexp_replace({s}, '[^A-Z0-9\\-]', '', 'g')"
+
+
+_FLEX = "([A-Z][0-9]{3})[-_ ]*0*([0-9]+)"
+_CANON = "([BF][0-9]{3})-?0*([0-9]+)$"
+
+
+def inv_flex(x):
+    """SC-16."""
+    s = inv_key(x)
+    return (f"(CASE WHEN {s} = '' THEN '' WHEN regexp_matches({s}, '{_FLEX}') THEN "
+            f"regexp_extract({s}, '{_FLEX}', 1) || '|' || regexp_extract({s}, '{_FLEX}', 2) "
+            f"ELSE regexp_replace({s}, '[^A-Z0-9]', '', 'g') END)")
+
+
+def pad0(x, n):
+    return f"(CASE WHEN length({x}) < {n} THEN lpad({x}, {n}, '0') ELSE {x} END)"
+
+
+def inv_canon(x):
+    """SC-17."""
+    s = f"regexp_replace(strip_accents(upper({ustrip(x)})), '[^\\x00-\\x7F]', '', 'g')"
+    s = f"translate(regexp_replace({s}, '\\s+', '', 'g'), '_/', '--')"
+    s = f"regexp_replace({s}, '[^A-Z0-9\\-]', '', 'g')"
+    s = f"regexp_replace(regexp_replace({s}, '-+', '-', 'g'), '^-+|-+$', '', 'g')"
+    return (f"coalesce(CASE WHEN regexp_matches({s}, '{_CANON}') THEN regexp_extract({s}, '{_CANON}', 1) || '-' || "
+            f"{pad0(f'regexp_extract({s}, {chr(39)}{_CANON}{chr(39)}, 2)', 8)} ELSE {s} END, '')")
+
+
+def group_of(x):
+    """SC-18 (two-tier variant)."""
+    from tejado.functions.keys import GROUP_ALIASES
+    import unicodedata
+    n = f"replace({norm_ascii(x)}, '-', '_')"
+    whens = []
+    for group, aliases in GROUP_ALIASES:
+        for a in aliases:
+            t = unicodedata.normalize("NFKD", a).encode("ascii", "ignore").decode().upper()
+            t = " ".join(t.split()).replace(" ", "_")
+            whens.append(f"WHEN contains({n}, '{t}') THEN '{group}'")
+    return "(CASE " + " ".join(whens) + " END)"
+
+
+def company_of(x):
+    """SC-18 (company rules)."""
+    from tejado.functions.keys import COMPANY_RULES, _py_norm_alnum
+    key = norm_alnum(f"string_split({s(x)}, '/')[-1]")
+    whens = []
+    for company, sales_file, master_file, tokens in COMPANY_RULES:
+        conds = [f"{key} = '{_py_norm_alnum(sales_file)}'", f"{key} = '{_py_norm_alnum(master_file)}'"]
+        conds += [f"contains({key}, '{_py_norm_alnum(t)}')" for t in tokens]
+        whens.append(f"WHEN {' OR '.join(conds)} THEN '{company}'")
+    return "(CASE " + " ".join(whens) + " END)"
+
+
+def first_non_blank(col, order):
+    return f"arg_min({col}, {order}) FILTER (WHERE {col} IS NOT NULL AND {ustrip(col)} <> '')"

@@ -221,6 +221,7 @@ SELECT
   CASE {k} % 4 WHEN 0 THEN 'URSA' WHEN 1 THEN '10_DE_ABRIL' WHEN 2 THEN 'LYNX' ELSE 'CYGNUS' END AS company,
   'MAESTRO_COMPROBANTES_' || CASE {k} % 4 WHEN 0 THEN 'URSA' WHEN 1 THEN '10_DE_ABRIL' WHEN 2 THEN 'LYNX'
        ELSE 'CYGNUS' END || '.xlsx' AS master_file,
+  CASE WHEN dup = 1 THEN 'Hoja2' ELSE 'Hoja1' END AS hoja,
   {k} * 2 + dup AS orden_fila
 FROM {d.t('orders')}
 {d.gen(2, 'dup')}
