@@ -155,3 +155,15 @@ def company_of(x):
 
 def first_non_blank(col, order):
     return f"arg_min({col}, {order}) FILTER (WHERE {col} IS NOT NULL AND {ustrip(col)} <> '')"
+
+
+def nc(x):
+    """SC-02: null -> '', strip, lower, accents off."""
+    return f"strip_accents(lower({ustrip(f'coalesce({s(x)}, {chr(39)}{chr(39)})')}))"
+
+
+def strict_doc(x, require_len=None):
+    """SC-06."""
+    t = f"regexp_replace(regexp_replace(upper({ustrip(x)}), '\\.0$', ''), '[^0-9]', '', 'g')"
+    t = f"nullif({t}, '')"
+    return f"(CASE WHEN length({t}) = {require_len} THEN {t} END)" if require_len else t

@@ -68,32 +68,37 @@ def _stack(n_cols: int, per_col: list[list[Column]], names: list[str]) -> list[C
     return [F.struct(*[c.alias(nm) for c, nm in zip(vals, names)]) for vals in per_col]
 
 
-def profile(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+def profile(df: DataFrame, order: str | None = None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """AG-20: one aggregation pass over all columns, then one row per column.
 
-    rows, non_null, nulls, pct_null, distinct, pct_distinct, example, dtype;
-    sorted by pct_null desc, distinct asc. ``approx=True`` uses HyperLogLog for
-    the distinct counts (bounded memory per column at any scale).
+    variable, tipo_python, filas, no_nulos, nulos, porcentaje_nulos, valores_unicos,
+    porcentaje_unicos (of the non-null values), ejemplo (first non-null in ``order``,
+    else the smallest value). ``approx=True`` counts distinct values with
+    HyperLogLog: bounded memory per column at any scale.
     """
-    cols = df.columns
+    cols = [c for c in df.columns if c != order]
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
         col = F.col(f"`{c}`")
         aggs.append(F.count(col).alias(f"n{i}"))
         aggs.append((F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)).alias(f"d{i}"))
-        aggs.append(F.min(col.cast("string")).alias(f"e{i}"))
+        example = first_non_null(col.cast("string"), order) if order else F.min(col.cast("string"))
+        aggs.append(example.alias(f"e{i}"))
     one = df.agg(*aggs)
     dtypes = dict(df.dtypes)
-    rows = F.col("__rows")
-    structs = [F.struct(F.lit(c).alias("columna"), F.col(f"n{i}").alias("no_nulos"), F.col(f"d{i}").alias("distintos"),
-                        F.col(f"e{i}").alias("ejemplo"), F.lit(dtypes[c]).alias("tipo")) for i, c in enumerate(cols)]
-    long = one.select(rows.alias("filas"), F.explode(F.array(*structs)).alias("s")).select("filas", "s.*")
-    pct = lambda x: F.when(F.col("filas") > 0, F.round(x * 100.0 / F.col("filas"), 2)).otherwise(F.lit(0.0))
+    structs = [F.struct(F.lit(c).alias("variable"), F.lit(dtypes[c]).alias("tipo_python"),
+                        F.col(f"n{i}").alias("no_nulos"), F.col(f"d{i}").cast("long").alias("valores_unicos"),
+                        F.col(f"e{i}").alias("ejemplo")) for i, c in enumerate(cols)]
+    long = one.select(F.col("__rows").alias("filas"), F.explode(F.array(*structs)).alias("s")).select("filas", "s.*")
+    nulls = F.col("filas") - F.col("no_nulos")
     return long.select(
-        "columna", "filas", "no_nulos", (F.col("filas") - F.col("no_nulos")).alias("nulos"),
-        pct(F.col("filas") - F.col("no_nulos")).alias("pct_nulos"),
-        F.col("distintos").cast("long").alias("distintos"), pct(F.col("distintos")).alias("pct_distintos"),
-        "ejemplo", "tipo")
+        "variable", "tipo_python", "filas", "no_nulos", nulls.alias("nulos"),
+        F.when(F.col("filas") > 0, F.round(nulls * 100.0 / F.col("filas"), 2)).otherwise(F.lit(0.0))
+         .alias("porcentaje_nulos"),
+        "valores_unicos",
+        F.when(F.col("no_nulos") > 0, F.round(F.col("valores_unicos") * 100.0 / F.col("no_nulos"), 2))
+         .otherwise(F.lit(0.0)).alias("porcentaje_unicos"),
+        "ejemplo")
 
 
 def date_like_columns(df: DataFrame, word: str = "fecha") -> list[str]:
@@ -101,54 +106,62 @@ def date_like_columns(df: DataFrame, word: str = "fecha") -> list[str]:
             if word in f.name.lower() or isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
 
 
-def date_coverage(df: DataFrame, cols: list[str] | None = None, dayfirst: bool = False) -> DataFrame:
-    """AG-21: per date-like column: filled, valid, invalid, null, min, max, span in days.
+def date_coverage(df: DataFrame, cols: list[str] | None = None, dayfirst: bool = True) -> DataFrame:
+    """AG-21: per date-like column: rows, with data, valid, invalid, null, first, last, span in days.
 
-    One aggregation pass, then one row per column, sorted by start date (nulls last).
+    One aggregation pass, then one row per column (sort by ``fecha_inicio``, nulls last, at the sink).
     """
     from tejado.functions.dates import as_timestamp
     cols = cols if cols is not None else date_like_columns(df)
+    schema = ("columna string, tipo_original string, total_filas long, registros_con_dato long, fechas_validas long, "
+              "fechas_invalidas long, valores_nulos long, fecha_inicio timestamp_ntz, fecha_final timestamp_ntz, "
+              "rango_dias int")
+    if not cols:
+        return df.sparkSession.createDataFrame([], schema)
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        raw = F.col(f"`{c}`")
         ts = as_timestamp(df, c, dayfirst)
-        filled = raw.isNotNull() & (ustrip(raw.cast("string")) != "")
-        aggs += [F.count_if(filled).alias(f"f{i}"), F.count_if(ts.isNotNull()).alias(f"v{i}"),
+        aggs += [F.count(F.col(f"`{c}`")).alias(f"f{i}"), F.count(ts).alias(f"v{i}"),
                  F.min(ts).alias(f"lo{i}"), F.max(ts).alias(f"hi{i}")]
     one = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("columna"), F.col(f"f{i}").alias("con_dato"), F.col(f"v{i}").alias("validas"),
-                        F.col(f"lo{i}").alias("inicio"), F.col(f"hi{i}").alias("fin")) for i, c in enumerate(cols)]
-    if not structs:
-        schema = "columna string, filas long, con_dato long, validas long, invalidas long, nulas long, " \
-                 "inicio timestamp_ntz, fin timestamp_ntz, dias_cubiertos int"
-        return df.sparkSession.createDataFrame([], schema)
-    long = one.select(F.col("__rows").alias("filas"), F.explode(F.array(*structs)).alias("s")).select("filas", "s.*")
+    dtypes = dict(df.dtypes)
+    structs = [F.struct(F.lit(c).alias("columna"), F.lit(dtypes[c]).alias("tipo_original"),
+                        F.col(f"f{i}").alias("registros_con_dato"), F.col(f"v{i}").alias("fechas_validas"),
+                        F.col(f"lo{i}").alias("fecha_inicio"), F.col(f"hi{i}").alias("fecha_final"))
+               for i, c in enumerate(cols)]
+    long = one.select(F.col("__rows").alias("total_filas"), F.explode(F.array(*structs)).alias("s")) \
+              .select("total_filas", "s.*")
     return long.select(
-        "columna", "filas", "con_dato", "validas", (F.col("con_dato") - F.col("validas")).alias("invalidas"),
-        (F.col("filas") - F.col("con_dato")).alias("nulas"), "inicio", "fin",
-        F.datediff(F.col("fin"), F.col("inicio")).alias("dias_cubiertos"))
+        "columna", "tipo_original", "total_filas", "registros_con_dato", "fechas_validas",
+        (F.col("registros_con_dato") - F.col("fechas_validas")).alias("fechas_invalidas"),
+        (F.col("total_filas") - F.col("registros_con_dato")).alias("valores_nulos"),
+        "fecha_inicio", "fecha_final",
+        F.floor((F.unix_micros(F.col("fecha_final").cast("timestamp")) -
+                 F.unix_micros(F.col("fecha_inicio").cast("timestamp"))) / 86400000000).cast("int").alias("rango_dias"))
 
 
 # Histogram frequencies and the Spark truncation unit for each.
 FREQUENCIES = {"D": "day", "W": "week", "M": "month", "Q": "quarter", "Y": "year"}
 
 
-def date_histogram(df: DataFrame, cols: list[str] | None = None, freq: str = "M", dayfirst: bool = False) -> DataFrame:
-    """AG-22: counts per period per date column (unpivot -> truncate -> count)."""
+def date_histogram(df: DataFrame, cols: list[str] | None = None, freq: str = "M", dayfirst: bool = True) -> DataFrame:
+    """AG-22: counts per period start per date column (unpivot -> truncate -> count)."""
     from tejado.functions.dates import as_timestamp
     cols = cols if cols is not None else date_like_columns(df)
     unit = FREQUENCIES[freq.upper()]
     structs = [F.struct(F.lit(c).alias("columna"), as_timestamp(df, c, dayfirst).alias("ts")) for c in cols]
     long = df.select(F.explode(F.array(*structs)).alias("s")).select("s.*").where(F.col("ts").isNotNull())
-    return (long.groupBy("columna", F.date_trunc(unit, F.col("ts")).cast("timestamp_ntz").alias("periodo"))
+    return (long.groupBy(F.date_trunc(unit, F.col("ts")).cast("timestamp_ntz").alias("fecha"), "columna")
                 .agg(F.count(F.lit(1)).alias("cantidad")))
 
 
 def coverage_sentences(coverage: DataFrame) -> DataFrame:
-    """AG-23: one sentence per column from AG-21 output."""
-    txt = F.format_string(
-        "La columna %s va de %s a %s: %d fechas válidas, %d inválidas y %d vacías.",
-        F.col("columna"), F.coalesce(F.date_format("inicio", "yyyy-MM-dd"), F.lit("sin fecha")),
-        F.coalesce(F.date_format("fin", "yyyy-MM-dd"), F.lit("sin fecha")),
-        F.col("validas"), F.col("invalidas"), F.col("nulas"))
+    """AG-23: one sentence per column from AG-21 output (start, end, valid / invalid / null)."""
+    ok = F.col("fecha_inicio").isNotNull() & F.col("fecha_final").isNotNull()
+    txt = F.when(ok, F.format_string(
+        "En '%s', mi historia comienza el %s y termina el %s. Reconocí %,d fechas válidas, %,d valores inválidos "
+        "y %,d valores nulos.", F.col("columna"), F.date_format("fecha_inicio", "dd/MM/yyyy"),
+        F.date_format("fecha_final", "dd/MM/yyyy"), F.col("fechas_validas"), F.col("fechas_invalidas"),
+        F.col("valores_nulos"))).otherwise(
+        F.format_string("%s: no pude encontrar un rango de fechas válido.", F.col("columna")))
     return coverage.select("columna", txt.alias("historia"))
