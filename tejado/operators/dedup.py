@@ -44,10 +44,10 @@ def group_size(df: DataFrame, keys: list[str], out: str = "group_size") -> DataF
     the key: the window would put a hot key's rows in one task; the aggregate
     combines map-side and AQE splits a skewed side of the join.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    cond = [df[k].eqNullSafe(counts[k]) for k in keys]
-    joined = df.join(counts, on=cond, how="left")
-    return joined.select(*[df[c] for c in df.columns], counts[out])
+    renamed = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    counts = df.groupBy(*renamed).agg(F.count(F.lit(1)).alias(out))
+    cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return df.join(counts, on=cond, how="left").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
 def with_file_order(df: DataFrame, out: str = "row_order") -> DataFrame:

@@ -81,8 +81,8 @@ SELECT
   CASE WHEN {k} % 5 = 0 THEN NULL ELSE p_retailprice END AS precio_base_proforma,
   CASE WHEN {k} % 3 = 0 THEN NULL WHEN {k} % 11 = 0 THEN 'n/d' ELSE {price_txt} END AS precio_lista_actual,
   CASE {k} % 7 WHEN 0 THEN '8%' WHEN 1 THEN '0,05' WHEN 2 THEN '0.1' ELSE NULL END AS descuento_actual,
-  CASE WHEN {k} % 13 = 0 THEN 10.0 ELSE NULL END AS monto_descuento,
-  p_retailprice - 45.0 AS precio_venta,
+  CASE WHEN {k} % 13 = 0 THEN CAST(10.0 AS DOUBLE) ELSE NULL END AS monto_descuento,
+  p_retailprice - CAST(45.0 AS DOUBLE) AS precio_venta,
   {k} AS orden_fila
 FROM {d.t('part')}"""
 
