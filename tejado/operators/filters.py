@@ -18,7 +18,12 @@ from tejado.operators.columns import require_columns
 
 
 def condition(df: DataFrame, column: str, cond: Any) -> Column:
-    """One FLT-01 condition as a null-free boolean Column."""
+    """One FLT-01 condition as a boolean Column.
+
+    A null result drops the row inside ``filter`` just like false, so positive
+    conditions stay bare: plain comparisons and ``IN`` lists then reach the
+    Parquet scan as pushed filters. Negated ones carry their own null guard.
+    """
     c = F.col(column)
     if isinstance(cond, Mapping):
         op = cond.get("op")
@@ -46,7 +51,7 @@ def condition(df: DataFrame, column: str, cond: Any) -> Column:
         out = c.isin(list(cond))
     else:
         out = c == F.lit(cond)
-    return F.coalesce(out, F.lit(False))
+    return out
 
 
 def build_predicate(df: DataFrame, conditions: Mapping[str, Any]) -> Column:
@@ -97,13 +102,12 @@ def stage_filter(df: DataFrame, stage: str, stage_col: str = "nombre", key_col:
 def active_if_any(df: DataFrame, status_col: str = "estado", active: str = "ACTIVO") -> DataFrame:
     """FLT-08: keep active rows if any row is active, else keep all (a global condition, T-16).
 
-    Written as a join with a one-row aggregate: never a ``collect`` on the driver.
+    The "any active" flag is a scalar subquery over a partial aggregate: one
+    value computed once, no join and no ``collect`` on the driver.
     """
     is_active = F.coalesce(norm_text(F.col(status_col)) == active, F.lit(False))
-    flag = df.agg(F.max(is_active.cast("int")).alias("__any_active"))
-    return (df.crossJoin(F.broadcast(flag))  # one row by construction
-              .filter((F.col("__any_active") == 0) | is_active)
-              .drop("__any_active"))
+    any_active = df.agg(F.max(is_active.cast("int"))).scalar()
+    return df.filter((F.coalesce(any_active, F.lit(0)) == 0) | is_active)
 
 
 def normalize_project_list(projects) -> list[str] | None:

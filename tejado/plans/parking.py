@@ -55,12 +55,14 @@ def run_summary(procesos: DataFrame, relevant: DataFrame, at_risk: DataFrame, fl
                          .agg(F.count(F.lit(1)).alias("v"))
     counts_map = per_project.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v"))))
                                  .alias("cocheras_por_proyecto"))
-    one = (procesos.agg(F.count(F.lit(1)).alias("filas_procesos_originales"))
-           .crossJoin(relevant.agg(F.count(F.lit(1)).alias("filas_procesos_activos_relevantes")))
-           .crossJoin(at_risk.agg(F.count(F.lit(1)).alias("filas_cocheras_activas_sin_unidad_asignada")))
-           .crossJoin(flats.agg(F.count(F.lit(1)).alias("filas_departamentos_activos"))))
-    return (one.crossJoin(counts_map)  # every side is a one-row aggregate
-               .withColumn("proyectos_considerados", F.array(*[F.lit(p) for p in _scope(projects)])))
+    # the stage counts ride along as scalar subqueries (one value each, no joins)
+    return counts_map.select(
+        procesos.agg(F.count(F.lit(1))).scalar().alias("filas_procesos_originales"),
+        relevant.agg(F.count(F.lit(1))).scalar().alias("filas_procesos_activos_relevantes"),
+        at_risk.agg(F.count(F.lit(1))).scalar().alias("filas_cocheras_activas_sin_unidad_asignada"),
+        flats.agg(F.count(F.lit(1))).scalar().alias("filas_departamentos_activos"),
+        "cocheras_por_proyecto",
+        F.array(*[F.lit(p) for p in _scope(projects)]).alias("proyectos_considerados"))
 
 
 def at_risk_by_project(at_risk: DataFrame) -> DataFrame:
