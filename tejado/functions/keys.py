@@ -61,7 +61,12 @@ _FLEX = r"([A-Z]\d{3})[-_ ]*0*([0-9]+)"
 
 def invoice_flex_key(c) -> Column:
     """SC-16: series + number without leading zeros (``F001|13``); else alphanumerics only."""
-    s = invoice_key(c)
+    return flex_from_exact(invoice_key(c))
+
+
+def flex_from_exact(s) -> Column:
+    """SC-16 from an SC-15 key (use on a materialised key column: it is read four times)."""
+    s = col_of(s)
     return (F.when(s == "", F.lit(""))
             .when(s.rlike(_FLEX), F.concat(F.regexp_extract(s, _FLEX, 1), F.lit("|"),
                                            F.regexp_extract(s, _FLEX, 2)))
@@ -76,11 +81,21 @@ def invoice_canonical_key(c) -> Column:
 
     Upper-casing happens before the fold (so ``º`` folds to a lower-case ``o`` and is dropped).
     """
+    return canonical_from_clean(canonical_clean(c))
+
+
+def canonical_clean(c) -> Column:
+    """SC-17 first half: upper, fold, no spaces, ``_`` and ``/`` as ``-``, keep ``[A-Z0-9-]``, single dashes."""
     s = fold_ascii(F.upper(ustrip(col_of(c).cast("string"))))
     s = F.regexp_replace(s, r"\s+", "")
     s = F.translate(s, "_/", "--")
     s = F.regexp_replace(s, r"[^A-Z0-9\-]", "")
-    s = F.regexp_replace(F.regexp_replace(s, r"-+", "-"), r"^-+|-+$", "")
+    return F.regexp_replace(F.regexp_replace(s, r"-+", "-"), r"^-+|-+$", "")
+
+
+def canonical_from_clean(s) -> Column:
+    """SC-17 second half, from a materialised ``canonical_clean`` column."""
+    s = col_of(s)
     canon = F.concat(F.regexp_extract(s, _CANON, 1), F.lit("-"), pad_left(F.regexp_extract(s, _CANON, 2), 8))
     out = F.when(s.rlike(_CANON), canon).otherwise(s)
     return F.coalesce(out, F.lit(""))
@@ -118,9 +133,22 @@ def file_base_name(c) -> Column:
     return F.element_at(F.split(col_of(c).cast("string"), "/"), -1)
 
 
+def company_key(c) -> Column:
+    """SC-18 key: SC-03 text of the last path component."""
+    return norm_alnum(file_base_name(c))
+
+
 def company_from_name(c, rules=None) -> Column:
-    """SC-18: company from a file name or ``source_file``; first hit in rule order wins."""
-    key = norm_alnum(file_base_name(c))
+    """SC-18: company from a file name or ``source_file``; first hit in rule order wins.
+
+    For large tables prefer :func:`with_company`, which computes the key once per row.
+    """
+    return company_from_key(company_key(c), rules)
+
+
+def company_from_key(key, rules=None) -> Column:
+    """SC-18 rule chain over an SC-03 key (a materialised column: every rule reads it)."""
+    key = col_of(key)
     expr = None
     for company, sales_file, master_file, tokens in (rules or COMPANY_RULES):
         conds = [key == _py_norm_alnum(sales_file), key == _py_norm_alnum(master_file)]
@@ -132,11 +160,21 @@ def company_from_name(c, rules=None) -> Column:
     return expr.otherwise(null_str())
 
 
+def group_key(c) -> Column:
+    """SC-18 (two-tier) key: SC-01 text with ``-`` as ``_``."""
+    return F.translate(norm_ascii(c), "-", "_")
+
+
 def group_from_name(c, aliases=None) -> Column:
-    """SC-18 (two-tier variant): SC-01 text with ``-`` as ``_``, first alias contained wins."""
+    """SC-18 (two-tier variant): first alias contained in the name wins (see :func:`with_group`)."""
+    return group_from_key(group_key(c), aliases)
+
+
+def group_from_key(n, aliases=None) -> Column:
+    """Alias chain over a materialised :func:`group_key` column."""
     import re
     import unicodedata
-    n = F.translate(norm_ascii(c), "-", "_")
+    n = col_of(n)
     expr = None
     for group, names in (aliases or GROUP_ALIASES):
         for alias in names:
@@ -145,3 +183,28 @@ def group_from_name(c, aliases=None) -> Column:
             cond = n.contains(a)
             expr = F.when(cond, F.lit(group)) if expr is None else expr.when(cond, F.lit(group))
     return expr.otherwise(null_str())
+
+
+# ---------------------------------------------------------------- per-row keys computed once
+# Each helper adds the normalised key as a column first; Catalyst does not re-inline a
+# non-trivial expression that several later expressions read, so the fold runs once per row.
+
+def with_company(df, src: str, out: str = "company", rules=None):
+    return df.withColumn("__ck", company_key(F.col(src))).withColumn(out, company_from_key(F.col("__ck"), rules)) \
+             .drop("__ck")
+
+
+def with_group(df, src: str, out: str = "group", aliases=None):
+    return df.withColumn("__gk", group_key(F.col(src))).withColumn(out, group_from_key(F.col("__gk"), aliases)) \
+             .drop("__gk")
+
+
+def with_invoice_keys(df, src: str, exact: str = "__exact", flex: str = "__flex"):
+    """SC-15 and SC-16 keys; the flexible one is derived from the materialised exact key."""
+    return df.withColumn(exact, invoice_key(F.col(src))).withColumn(flex, flex_from_exact(F.col(exact)))
+
+
+def with_canonical_key(df, src: str, out: str = "efac_comprobante_key"):
+    """SC-17 key via its materialised cleaned text."""
+    return df.withColumn("__cc", canonical_clean(F.col(src))).withColumn(
+        out, F.coalesce(canonical_from_clean(F.col("__cc")), F.lit(""))).drop("__cc")

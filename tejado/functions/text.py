@@ -90,12 +90,16 @@ def _apply_long_folds(c: Column, long_map: dict) -> Column:
 
 
 def fold_ascii(c) -> Column:
-    """NFKD + drop non-ASCII, exact for the Basic Multilingual Plane."""
+    """NFKD + drop non-ASCII, exact for the Basic Multilingual Plane.
+
+    ASCII-only values (most keys) skip the fold: one cheap regex test decides.
+    """
     c = col_of(c)
     src, dst, long_map = _fold_tables(False)
     out = F.translate(c, src, dst)
     out = _apply_long_folds(out, long_map)
-    return F.regexp_replace(out, r"[^\x00-\x7F]", "")
+    out = F.regexp_replace(out, r"[^\x00-\x7F]", "")
+    return F.when(c.rlike(r"[^\x00-\x7F]"), out).otherwise(c)
 
 
 def strip_marks(c) -> Column:

@@ -63,33 +63,40 @@ def value_counts(df: DataFrame, cols: list[str], dropna: bool = False, out: str
     return src.groupBy(*cols).agg(F.count(F.lit(1)).alias(out))
 
 
-def _stack(n_cols: int, per_col: list[list[Column]], names: list[str]) -> list[Column]:
-    """Unpivot helper: one struct per column, exploded later."""
-    return [F.struct(*[c.alias(nm) for c, nm in zip(vals, names)]) for vals in per_col]
-
-
 def profile(df: DataFrame, order: str | None = None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
-    """AG-20: one aggregation pass over all columns, then one row per column.
-
-    variable, tipo_python, filas, no_nulos, nulos, porcentaje_nulos, valores_unicos,
-    porcentaje_unicos (of the non-null values), ejemplo (first non-null in ``order``,
-    else the smallest value). ``approx=True`` counts distinct values with
-    HyperLogLog: bounded memory per column at any scale.
+    """AG-20: one row per column: variable, tipo_python, filas, no_nulos, nulos, porcentaje_nulos,
+    valores_unicos, porcentaje_unicos (of the non-null values), ejemplo (first non-null in ``order``,
+    else the smallest value).
+
+    Counts and examples come from one aggregation pass. Exact distinct counts
+    come from a union of one-column aggregates, so each branch scans only its
+    column (no 1-row-per-column ``Expand`` of the whole table);
+    ``approx=True`` uses HyperLogLog in the single pass instead.
     """
     cols = [c for c in df.columns if c != order]
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
         col = F.col(f"`{c}`")
         aggs.append(F.count(col).alias(f"n{i}"))
-        aggs.append((F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)).alias(f"d{i}"))
+        if approx:
+            aggs.append(F.approx_count_distinct(col, rsd).alias(f"d{i}"))
         example = first_non_null(col.cast("string"), order) if order else F.min(col.cast("string"))
         aggs.append(example.alias(f"e{i}"))
     one = df.agg(*aggs)
     dtypes = dict(df.dtypes)
-    structs = [F.struct(F.lit(c).alias("variable"), F.lit(dtypes[c]).alias("tipo_python"),
-                        F.col(f"n{i}").alias("no_nulos"), F.col(f"d{i}").cast("long").alias("valores_unicos"),
+    structs = [F.struct(F.lit(i).alias("__i"), F.lit(c).alias("variable"), F.lit(dtypes[c]).alias("tipo_python"),
+                        F.col(f"n{i}").alias("no_nulos"),
+                        (F.col(f"d{i}").cast("long") if approx else F.lit(None).cast("long")).alias("__d"),
                         F.col(f"e{i}").alias("ejemplo")) for i, c in enumerate(cols)]
     long = one.select(F.col("__rows").alias("filas"), F.explode(F.array(*structs)).alias("s")).select("filas", "s.*")
+    if approx:
+        long = long.withColumnRenamed("__d", "valores_unicos")
+    else:
+        from functools import reduce
+        parts = [df.agg(F.count_distinct(F.col(f"`{c}`")).alias("valores_unicos")).withColumn("__i", F.lit(i))
+                 for i, c in enumerate(cols)]
+        distinct = reduce(lambda a, b: a.unionByName(b), parts)
+        long = long.drop("__d").join(distinct, "__i")  # one row per column on both sides
     nulls = F.col("filas") - F.col("no_nulos")
     return long.select(
         "variable", "tipo_python", "filas", "no_nulos", nulls.alias("nulos"),

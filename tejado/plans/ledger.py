@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tejado.functions.keys import (COMPANY_RULES, GROUP_ALIASES, company_from_name, group_from_name,
-                                   invoice_canonical_key, invoice_flex_key, invoice_key)
+from tejado.functions.keys import (COMPANY_RULES, GROUP_ALIASES, with_canonical_key,
+                                   with_company, with_group, with_invoice_keys)
 from tejado.functions.rules import any_not_null
 from tejado.operators.aggregates import concat_unique_first_seen, first_non_blank
 from tejado.operators.columns import drop_prior, place_after
@@ -33,17 +33,15 @@ SOURCE_AWARE = "SOURCE_FILE_PLUS_COMPROBANTE"
 def master_rows(master: DataFrame, key_col: str = "id_comprobante", file_col: str = "master_file",
                 sheet_col: str = "hoja", order_col: str = "orden_fila") -> DataFrame:
     """Standardised master rows with both keys; rows with a blank exact key dropped (FLT-18)."""
-    raw = F.col(key_col).cast("string")
     out = master.select(
-        raw.alias("efac_comprobante_raw"),
-        invoice_key(raw).alias("efac_comp_key_exact"),
-        invoice_flex_key(raw).alias("efac_comp_key_flex"),
+        F.col(key_col).cast("string").alias("efac_comprobante_raw"),
         F.col("tipos_unidad").alias("tipos_unidad_efac"), F.col("u1_tipo").alias("u1_tipo_efac"),
         F.col("u1_n").alias("u1_n_efac"), F.col("proyecto").alias("efac_proyecto"),
         F.col("concepto").alias("efac_concepto"), F.col(file_col).alias("efac_source_file"),
-        F.col(sheet_col).alias("efac_source_sheet"),
-        F.coalesce(group_from_name(F.col(file_col)), F.lit("UNKNOWN")).alias("efac_group"),
-        F.col(order_col).alias("__ord"))
+        F.col(sheet_col).alias("efac_source_sheet"), F.col(order_col).alias("__ord"))
+    out = with_invoice_keys(out, "efac_comprobante_raw", "efac_comp_key_exact", "efac_comp_key_flex")
+    out = with_group(out, "efac_source_file", "efac_group").withColumn(
+        "efac_group", F.coalesce(F.col("efac_group"), F.lit("UNKNOWN")))
     return out.where(F.col("efac_comp_key_exact") != "")
 
 
@@ -82,11 +80,10 @@ def enrich_two_tier(ledger: DataFrame, master: DataFrame, comp_col: str = "nro_c
     else:
         # groups that have masters: bounded by the fixed alias list, so broadcasting it is safe
         known = F.broadcast(master_rows(master).select(F.col("efac_group").alias("__known")).distinct())
-        led = led.withColumn("__g", group_from_name(F.col(file_col)))
+        led = with_group(led, file_col, "__g")
         led = led.join(known, on=led["__g"] == known["__known"], how="left")
         grp = F.coalesce(F.col("__known"), F.lit("ALL"))
-    led = led.withColumn("__grp", grp).withColumn("__exact", invoice_key(F.col(comp_col))) \
-             .withColumn("__flex", invoice_flex_key(F.col(comp_col)))
+    led = with_invoice_keys(led.withColumn("__grp", grp), comp_col, "__exact", "__flex")
     m = led.join(exact, on=[led["__grp"] == exact["__grp"], led["__exact"] == exact["efac_comp_key_exact"],
                             led["__exact"] != ""], how="left").drop(exact["__grp"])
     m = m.withColumn("efac_match_method", F.when(any_not_null(*TARGETS), F.lit(EXACT)))
@@ -121,10 +118,11 @@ def company_masters(master: DataFrame, company_col: str = "company", key_col: st
     rows = master.select(
         F.col(company_col).alias("source_company"), F.col(file_col).alias("efac_expected_master"),
         F.col(file_col).alias("efac_source_file"), F.col(sheet_col).alias("efac_source_sheet"),
-        invoice_canonical_key(F.col(key_col)).alias("efac_comprobante_key"),
+        F.col(key_col).alias("__raw"),
         F.col("tipos_unidad").alias("tipos_unidad_efac"), F.col("u1_tipo").alias("u1_tipo_efac"),
         F.col("u1_n").alias("u1_n_efac"), F.col(order_col).alias("__ord"),
-    ).where(F.col("efac_comprobante_key") != "")
+    )
+    rows = with_canonical_key(rows, "__raw").drop("__raw").where(F.col("efac_comprobante_key") != "")
     keys = ["__company", "efac_comprobante_key"]
     rows = rows.withColumn("__company", F.col("source_company"))
     vals = ["source_company", "efac_expected_master", "efac_source_file"] + TARGETS
@@ -144,8 +142,8 @@ def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro
     meta = ["source_company", "efac_expected_master", "efac_source_file", "efac_source_sheet", "efac_match_count",
             "efac_match_method"]
     led = drop_prior(ledger, TARGETS + meta + ["efac_comprobante_key", "__company_to_match"])
-    led = led.withColumn("efac_comprobante_key", invoice_canonical_key(F.col(comp_col)))
-    led = led.withColumn("__company", company_from_name(F.col(file_col)))
+    led = with_canonical_key(led, comp_col, "efac_comprobante_key")
+    led = with_company(led, file_col, "__company")
     masters = company_masters(master)
     # companies holding a master: bounded by the fixed company rules, safe to broadcast
     have = F.broadcast(masters.select(F.col("__company").alias("__have")).distinct())
@@ -176,8 +174,8 @@ def company_audit(enriched: DataFrame, tablon: str = "ledger") -> DataFrame:
 
 def majority_company(ledger: DataFrame, file_col: str = "source_file") -> DataFrame:
     """AG-24: the most frequent company of a table's ``source_file`` values (ties: name order)."""
-    comp = company_from_name(F.col(file_col))
-    counts = ledger.where(comp.isNotNull()).groupBy(comp.alias("company")).agg(F.count(F.lit(1)).alias("n"))
+    tagged = with_company(ledger.select(file_col), file_col, "company")
+    counts = tagged.where(F.col("company").isNotNull()).groupBy("company").agg(F.count(F.lit(1)).alias("n"))
     # most rows first, then the smaller name
     return counts.agg(F.min_by("company", F.struct((-F.col("n")).alias("a"), F.col("company").alias("b")))
                        .alias("company"), F.max("n").alias("rows"))
