@@ -22,6 +22,11 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # HotSpot never JIT-compiles methods above 8000 bytes of bytecode; keep generated
+    # methods under that (Spark's documented advice) and let the JIT take the rest.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
