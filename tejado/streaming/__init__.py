@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The reference is batch only (no watermark, window, state or late-data code).
+Every row-wise operator in :mod:`tejado.functions` and the filters in
+:mod:`tejado.operators.filters` are plain ``Column``/``DataFrame`` functions, so
+they apply unchanged to a streaming DataFrame from ``spark.readStream``.
+"""
