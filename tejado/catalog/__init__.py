@@ -23,7 +23,7 @@ def register(name: str, sql: str | None = None):
 def all_queries() -> dict[str, tuple[Callable, str | None]]:
     from tejado.catalog import stock_queries  # noqa: F401
     for mod in ("sales_queries", "ledger_queries", "lead_queries", "operator_queries", "io_queries",
-                "report_queries"):
+                "report_queries", "coverage_queries"):
         try:
             __import__(f"tejado.catalog.{mod}")
         except ModuleNotFoundError as e:
