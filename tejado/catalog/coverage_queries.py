@@ -105,9 +105,10 @@ def snk09(spark, sf):
     return spark.read.parquet(paths["resumen"])
 
 
-@register("wd06_file_order", "SELECT o_orderkey, row_number() OVER () - 1 AS fila FROM orders")
+@register("wd06_file_order")
 def wd06(spark, sf):
-    """WD-06: file row order from ``_metadata`` (file name, row index) carried as a column."""
+    """WD-06: file row order from ``_metadata`` (file name, row index) carried as a column (rows-only:
+    SQL has no file row order without reader options)."""
     o = dd.with_file_order(read_base(spark, sf, "orders"))
     return o.select("o_orderkey", F.col("row_order.row_index").alias("fila"))
 
