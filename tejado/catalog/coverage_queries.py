@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tejado.catalog import register
 from tejado.catalog.ledger_queries import CTE_COMPANY
-from tejado.catalog.sales_queries import CTE_RECEIVABLES, CTE_SALES, RECEIVABLES, SALES, SALES_EXTRA
-from tejado.catalog.sqlfn import dockey, nt, with_ctes
+from tejado.catalog.sales_queries import CTE_RECEIVABLES, CTE_SALES, RECEIVABLES
+from tejado.catalog.sqlfn import dockey, with_ctes
 from tejado.catalog.stock_queries import CTE_STOCK, STOCK, STOCK_VIEWS, sources
 from tejado.operators import columns as co
 from tejado.operators import dedup as dd
@@ -125,5 +125,3 @@ def sc35(spark, sf):
     """SC-35: KPI row as display text (``S/ 1,234``, thousands separators)."""
     return db.stock_kpi_text(db.stock_kpis(st.build_marts(sources(spark, sf))[2]))
 
-
-__all__ = ["SALES", "SALES_EXTRA", "nt"]

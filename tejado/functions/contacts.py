@@ -127,7 +127,6 @@ def clean_emails(df: DataFrame, email_col: str, out_col: str = "email_clean") ->
     s, user, domain = email_parts(F.col(email_col))
     tmp = df.withColumn("__em", s).withColumn("__user", user).withColumn("__dom", domain)
     typo = F.create_map(*[x for k, v in DOMAIN_TYPOS.items() for x in (F.lit(k), F.lit(v))])
-    spark = df.sparkSession
     domains = (tmp.where(F.col("__em").contains("@")).select("__dom").distinct()
                .withColumn("__fuzzy", closest_domain(F.col("__dom"))))
     tmp = tmp.join(domains, on="__dom", how="left")
@@ -135,7 +134,6 @@ def clean_emails(df: DataFrame, email_col: str, out_col: str = "email_clean") ->
     out = (F.when(F.col("__em").isNull(), null_str())
            .when(~F.col("__em").contains("@"), F.col("__em"))
            .otherwise(F.concat(F.col("__user"), F.lit("@"), fixed)))
-    del spark
     return tmp.withColumn(out_col, out).drop("__em", "__user", "__dom", "__fuzzy")
 
 

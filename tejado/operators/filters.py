@@ -116,7 +116,6 @@ def normalize_project_list(projects) -> list[str] | None:
         return None
     if isinstance(projects, str):
         projects = [projects]
-    import re
     import unicodedata
     out = []
     for p in projects:
@@ -126,7 +125,6 @@ def normalize_project_list(projects) -> list[str] | None:
         t = " ".join(t.split())
         if t:
             out.append(t)
-    del re
     return sorted(set(out)) or None
 
 

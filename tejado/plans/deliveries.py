@@ -82,6 +82,3 @@ def unit_prefix_codes(entregas_proceso: DataFrame) -> DataFrame:
     return entregas_proceso.select("tipo", "numero_unidad",
                                    unit_code_from_type(F.col("tipo"), F.col("numero_unidad")).alias("codigo_unidad"))
 
-
-__all__ = ["owners", "deliveries_with_owners", "reservations_for", "deliveries_with_reservations", "pending_by_unit",
-           "unmatched_deliveries", "unit_prefix_codes", "is_email_strict"]

@@ -16,7 +16,7 @@ from tejado.operators.filters import declarative_filter, filter_report
 REQUIRED = ["estado", "codigo_proyecto", "nombre_proyecto", "tipo_unidad_principal", "codigo_unidades_asignadas"]
 
 
-def _scope(projects) -> dict:
+def _scope(projects) -> list[str]:
     clean = list(dict.fromkeys(str(p).strip().upper() for p in projects if str(p).strip()))
     if not clean:
         raise ValueError("the project list cannot be empty")
