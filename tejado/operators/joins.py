@@ -31,6 +31,17 @@ def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "lef
     return joined.select(*keep, *rest)
 
 
+def left_join_nonnull(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on ``key`` where rows with a null key skip the join (they can never match).
+
+    A common null key would otherwise hash every such row into one shuffle
+    partition; here they bypass the exchange and are unioned back.
+    """
+    hit = left.where(F.col(key).isNotNull()).join(right, on=key, how="left")
+    miss = left.where(F.col(key).isNull())
+    return hit.unionByName(miss, allowMissingColumns=True)
+
+
 class NotManyToOne(ValueError):
     pass
 

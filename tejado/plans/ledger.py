@@ -145,8 +145,11 @@ def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro
     led = with_canonical_key(led, comp_col, "efac_comprobante_key")
     led = with_company(led, file_col, "__company")
     masters = company_masters(master)
-    # companies holding a master: bounded by the fixed company rules, safe to broadcast
-    have = F.broadcast(masters.select(F.col("__company").alias("__have")).distinct())
+    # companies holding a master, restricted to the fixed rule list (a ledger company always comes
+    # from it), so the broadcast side has at most len(COMPANY_RULES) rows
+    rule_companies = [c for c, _s, _m, _t in COMPANY_RULES]
+    have = F.broadcast(masters.select(F.col("__company").alias("__have")).distinct()
+                       .where(F.col("__have").isin(rule_companies)))
     led = led.join(have, on=led["__company"] == have["__have"], how="left")
     out = led.join(masters, on=["__company", "efac_comprobante_key"], how="left")
     expected = F.create_map(*[x for company, _s, mfile, _t in COMPANY_RULES for x in (F.lit(company), F.lit(mfile))])

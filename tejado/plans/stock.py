@@ -22,6 +22,7 @@ from tejado.operators.arrays import ADD_RESERVATION, ADD_SALE, distinct_docs, ex
 from tejado.operators.columns import clean_missing_markers, ensure_columns, first_existing
 from tejado.operators.dedup import keep_first, keep_last
 from tejado.operators.filters import active_if_any, stage_filter
+from tejado.operators.joins import left_join_nonnull
 
 # Column aliases read by the unit master (first existing value wins per row).
 PURCHASE_LIST_PRICE = ["precio_base_proforma", "precio_lista_al_comprar", "precio_lista_compra",
@@ -151,7 +152,7 @@ def silver_coowners(procesos: DataFrame, clientes: DataFrame, order_col: str = "
         F.col("codigo_proforma").cast("string").alias("codigo_proforma"),
         F.col(_order(p, order_col, "codigo_proforma")).alias("__ord"),
         F.posexplode_outer(F.slice(docs, 1, slots)).alias("__pos", "doc_key"))
-    named = rows.join(client_names_by_doc(clientes), on="doc_key", how="left")
+    named = left_join_nonnull(rows, client_names_by_doc(clientes), "doc_key")
     aggs = []
     for i in range(slots):
         slot = F.col("__pos") == i
