@@ -31,15 +31,26 @@ def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "lef
     return joined.select(*keep, *rest)
 
 
-def left_join_nonnull(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join on ``key`` where rows with a null key skip the join (they can never match).
+def spread_unmatchable(key, salt_cols: list[str], unmatchable=None) -> Column:
+    """Join key where rows that can never match (null or blank key) get a unique, never-matching value.
 
-    A common null key would otherwise hash every such row into one shuffle
-    partition; here they bypass the exchange and are unioned back.
+    Such rows would otherwise all hash into one shuffle partition (a hot key).
+    The value is ``'#'`` + a hash of the row, and real keys never start with
+    ``'#'`` (callers' keys are normalised to ``[A-Z0-9|-]`` or digits), so no
+    false match is possible and no row is dropped; the plan is not duplicated.
     """
-    hit = left.where(F.col(key).isNotNull()).join(right, on=key, how="left")
-    miss = left.where(F.col(key).isNull())
-    return hit.unionByName(miss, allowMissingColumns=True)
+    key = col_of(key)
+    bad = key.isNull() | (key == "") if unmatchable is None else unmatchable
+    salt = F.concat(F.lit("#"), F.xxhash64(*[F.col(c) for c in salt_cols]).cast("string"))
+    return F.when(bad, salt).otherwise(key)
+
+
+def left_join_nonnull(left: DataFrame, right: DataFrame, key: str, salt_cols: list[str] | None = None) -> DataFrame:
+    """Left join on ``key`` where rows with a null or blank key are spread, not piled on one partition."""
+    salted = left.withColumn("__jk", spread_unmatchable(F.col(key), salt_cols or left.columns))
+    r = right.withColumnRenamed(key, "__rk")
+    out = salted.join(r, on=salted["__jk"] == r["__rk"], how="left")
+    return out.drop("__jk", "__rk")
 
 
 class NotManyToOne(ValueError):

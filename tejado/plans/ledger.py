@@ -18,6 +18,7 @@ from tejado.functions.keys import (COMPANY_RULES, GROUP_ALIASES, with_canonical_
 from tejado.functions.rules import any_not_null
 from tejado.operators.aggregates import concat_unique_first_seen, first_non_blank
 from tejado.operators.columns import drop_prior, place_after
+from tejado.operators.joins import spread_unmatchable
 
 TARGETS = ["tipos_unidad_efac", "u1_tipo_efac", "u1_n_efac"]
 EXTRAS = ["efac_proyecto", "efac_concepto"]
@@ -75,6 +76,7 @@ def enrich_two_tier(ledger: DataFrame, master: DataFrame, comp_col: str = "nro_c
     """
     exact, flex = lookups(master)
     led = drop_prior(ledger, TARGETS + CARRIED + ["efac_match_method", "efac_match_count"])
+    salt = list(led.columns)  # the ledger's own columns give each row a stable hash
     if force_all:
         grp = F.lit("ALL")
     else:
@@ -84,13 +86,16 @@ def enrich_two_tier(ledger: DataFrame, master: DataFrame, comp_col: str = "nro_c
         led = led.join(known, on=led["__g"] == known["__known"], how="left")
         grp = F.coalesce(F.col("__known"), F.lit("ALL"))
     led = with_invoice_keys(led.withColumn("__grp", grp), comp_col, "__exact", "__flex")
-    m = led.join(exact, on=[led["__grp"] == exact["__grp"], led["__exact"] == exact["efac_comp_key_exact"],
-                            led["__exact"] != ""], how="left").drop(exact["__grp"])
+    # A blank key can never match (the typical hot key of a ledger): it is salted so those rows
+    # spread over the shuffle instead of piling into one partition (see joins.spread_unmatchable).
+    led = led.withColumn("__jx", spread_unmatchable(F.col("__exact"), salt)) \
+             .withColumn("__jf", spread_unmatchable(F.col("__flex"), salt))
+    ex = exact.withColumnRenamed("__grp", "__grp_e")
+    m = led.join(ex, on=[led["__grp"] == ex["__grp_e"], led["__jx"] == ex["efac_comp_key_exact"]], how="left")
     m = m.withColumn("efac_match_method", F.when(any_not_null(*TARGETS), F.lit(EXACT)))
     m = m.withColumn("efac_match_count", F.col("efac_match_count_exact"))
     fl = flex.select(*[F.col(c).alias(c + "_flex") for c in flex.columns])
-    m = m.join(fl, on=[m["__grp"] == fl["__grp_flex"], m["__flex"] == fl["efac_comp_key_flex_flex"],
-                       m["__flex"] != ""], how="left")
+    m = m.join(fl, on=[m["__grp"] == fl["__grp_flex"], m["__jf"] == fl["efac_comp_key_flex_flex"]], how="left")
     need_flex = F.col("efac_match_method").isNull()
     m = m.withColumns({c: F.coalesce(F.col(c), F.col(c + "_flex")) for c in TARGETS + CARRIED})
     m = m.withColumn("efac_match_method", F.when(need_flex & any_not_null(*TARGETS), F.lit(FLEX))
@@ -142,6 +147,7 @@ def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro
     meta = ["source_company", "efac_expected_master", "efac_source_file", "efac_source_sheet", "efac_match_count",
             "efac_match_method"]
     led = drop_prior(ledger, TARGETS + meta + ["efac_comprobante_key", "__company_to_match"])
+    salt = list(led.columns)
     led = with_canonical_key(led, comp_col, "efac_comprobante_key")
     led = with_company(led, file_col, "__company")
     masters = company_masters(master)
@@ -151,7 +157,12 @@ def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro
     have = F.broadcast(masters.select(F.col("__company").alias("__have")).distinct()
                        .where(F.col("__have").isin(rule_companies)))
     led = led.join(have, on=led["__company"] == have["__have"], how="left")
-    out = led.join(masters, on=["__company", "efac_comprobante_key"], how="left")
+    # blank keys and unknown companies never match: salted so they spread over the shuffle
+    unmatchable = (F.col("efac_comprobante_key") == "") | F.col("__company").isNull()
+    led = led.withColumn("__jk", spread_unmatchable(F.col("efac_comprobante_key"), salt, unmatchable))
+    mk = masters.withColumnRenamed("__company", "__mc").withColumnRenamed("efac_comprobante_key", "__mk")
+    out = led.join(mk, on=[led["__company"] == mk["__mc"], led["__jk"] == mk["__mk"]], how="left") \
+             .drop("__mc", "__mk", "__jk")
     expected = F.create_map(*[x for company, _s, mfile, _t in COMPANY_RULES for x in (F.lit(company), F.lit(mfile))])
     known = F.col("__have").isNotNull()
     out = out.withColumn("efac_match_method", F.when(any_not_null(*TARGETS), F.lit(SOURCE_AWARE)))

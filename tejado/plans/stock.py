@@ -152,7 +152,7 @@ def silver_coowners(procesos: DataFrame, clientes: DataFrame, order_col: str = "
         F.col("codigo_proforma").cast("string").alias("codigo_proforma"),
         F.col(_order(p, order_col, "codigo_proforma")).alias("__ord"),
         F.posexplode_outer(F.slice(docs, 1, slots)).alias("__pos", "doc_key"))
-    named = left_join_nonnull(rows, client_names_by_doc(clientes), "doc_key")
+    named = left_join_nonnull(rows, client_names_by_doc(clientes), "doc_key", ["codigo_proforma", "__ord", "__pos"])
     aggs = []
     for i in range(slots):
         slot = F.col("__pos") == i
