@@ -172,3 +172,15 @@ def test_calculated_columns_registry(spark):
     out = reg.apply(df, ["flag_tiene_coprop", "total_coprops", "precio_venta_miles", "desconocida"]).first()
     assert (out["flag_tiene_coprop"], out["total_coprops"], out["precio_venta_miles"], out["desconocida"]) == \
         ("Sí", 2, 2.5, None)
+
+
+def test_unmatchable_keys_spread_and_never_match(spark):
+    """A blank key held by most rows is salted: rows spread over partitions, none matches, none is lost."""
+    left = spark.createDataFrame([(i, "" if i % 3 else "A") for i in range(300)], "i int, k string")
+    right = spark.createDataFrame([("A", 1), ("", 2)], "k string, v int")
+    salted = left.withColumn("jk", jn.spread_unmatchable(F.col("k"), ["i", "k"]))
+    parts = salted.repartition(8, "jk").groupBy(F.spark_partition_id().alias("p")).count().count()
+    assert parts > 1
+    out = jn.left_join_nonnull(left, right, "k", ["i"])
+    assert out.count() == 300
+    assert out.where("v IS NOT NULL").count() == 100 and out.where("v = 2").count() == 0
