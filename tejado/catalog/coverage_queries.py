@@ -125,3 +125,21 @@ def sc35(spark, sf):
     """SC-35: KPI row as display text (``S/ 1,234``, thousands separators)."""
     return db.stock_kpi_text(db.stock_kpis(st.build_marts(sources(spark, sf))[2]))
 
+
+
+_DIRECT = ("SELECT *, CASE WHEN documento_conyuge IS NOT NULL THEN 'Cónyuge de ' || documento_cliente END AS copropietario1, "
+           "documento_conyuge AS dni_cotitular_1, documento_copropietarios AS doc_coprop_2 FROM {p}")
+
+
+@register("ar03_coowners_direct", with_ctes(["procesos"], [("d", _DIRECT.format(p="procesos"))]) + f"""
+SELECT codigo_proforma,
+  arg_min(copropietario1, id_proceso) FILTER (WHERE copropietario1 IS NOT NULL) AS copropietario_1,
+  arg_min({dockey('dni_cotitular_1')}, id_proceso) FILTER (WHERE {dockey('dni_cotitular_1')} IS NOT NULL) AS dni_coprop_1,
+  CAST(NULL AS VARCHAR) AS copropietario_2,
+  arg_min({dockey('doc_coprop_2')}, id_proceso) FILTER (WHERE {dockey('doc_coprop_2')} IS NOT NULL) AS dni_coprop_2,
+  CAST(NULL AS VARCHAR) AS copropietario_3, CAST(NULL AS VARCHAR) AS dni_coprop_3
+FROM d GROUP BY codigo_proforma""")
+def ar03(spark, sf):
+    """AR-03: co-owners from direct columns (aliases picked per slot), merged per proforma."""
+    direct = spark.sql(_DIRECT.format(p="{p}"), p=view(spark, sf, "procesos"))
+    return sl.coowners_from_columns(direct)

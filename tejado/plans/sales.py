@@ -72,6 +72,31 @@ def units(unidades: DataFrame, order_col: str = "orden_fila") -> DataFrame:
     return keep_first(out, ["codigo_item"], "__ord").drop("__ord")
 
 
+# Alias patterns per co-owner slot ``{i}``, first existing column wins.
+COOWNER_NAME_PATTERNS = ["copropietario_{i}", "copropietario{i}", "coprop_{i}", "copropietario_{i}_nombre",
+                         "nombre_copropietario_{i}", "cotitular_{i}", "cotitular{i}"]
+COOWNER_DOC_PATTERNS = ["dni_coprop_{i}", "dni_copropietario_{i}", "documento_copropietario_{i}", "doc_coprop_{i}",
+                        "dni_cotitular_{i}", "documento_cotitular_{i}"]
+
+
+def coowners_from_columns(procesos: DataFrame, order_col: str = "id_proceso", slots: int = 3) -> DataFrame:
+    """AR-03 + AG-08: co-owners already spread over columns; per slot the first existing alias
+    (PRJ-05), documents normalised (SC-05), then first non-null per slot and proforma."""
+    from tejado.operators.aggregates import first_non_null
+    from tejado.operators.columns import pick_first_existing
+    p = ensure_columns(procesos, ["codigo_proforma"])
+    cols = [F.col("codigo_proforma").cast("string").alias("codigo_proforma"),
+            F.col(order_col if order_col in p.columns else "codigo_proforma").alias("__ord")]
+    for i in range(1, slots + 1):
+        name = pick_first_existing(p, [t.format(i=i) for t in COOWNER_NAME_PATTERNS])
+        doc = pick_first_existing(p, [t.format(i=i) for t in COOWNER_DOC_PATTERNS])
+        cols.append((F.col(name).cast("string") if name else F.lit(None).cast("string")).alias(f"copropietario_{i}"))
+        cols.append((doc_key(F.col(doc)) if doc else F.lit(None).cast("string")).alias(f"dni_coprop_{i}"))
+    rows = p.select(*cols)
+    names = [f"{k}_{i}" for i in range(1, slots + 1) for k in ("copropietario", "dni_coprop")]
+    return rows.groupBy("codigo_proforma").agg(*[first_non_null(n, "__ord").alias(n) for n in names])
+
+
 def sales_base(sources: dict[str, DataFrame], projects=None) -> DataFrame:
     """Every (proforma, item) of active reservations, sold or pending, with unit, client and co-owners."""
     base = reservations(sources["procesos"]).join(silver_sales(sources["procesos"]), on="codigo_proforma", how="left")
