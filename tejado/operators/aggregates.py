@@ -143,8 +143,8 @@ def date_coverage(df: DataFrame, cols: list[str] | None = None, dayfirst: bool =
         (F.col("registros_con_dato") - F.col("fechas_validas")).alias("fechas_invalidas"),
         (F.col("total_filas") - F.col("registros_con_dato")).alias("valores_nulos"),
         "fecha_inicio", "fecha_final",
-        F.floor((F.unix_micros(F.col("fecha_final").cast("timestamp")) -
-                 F.unix_micros(F.col("fecha_inicio").cast("timestamp"))) / 86400000000).cast("int").alias("rango_dias"))
+        # whole days between the wall-clock values, independent of the session time zone
+        F.timestamp_diff("DAY", F.col("fecha_inicio"), F.col("fecha_final")).cast("int").alias("rango_dias"))
 
 
 # Histogram frequencies and the Spark truncation unit for each.
