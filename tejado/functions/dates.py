@@ -39,8 +39,10 @@ def parse_timestamp(c, dayfirst: bool = False, formats=None) -> Column:
     """Text -> TIMESTAMP_NTZ; every row tries every format; unparsable -> null."""
     s = ustrip(col_of(c).cast("string"))
     fmts = formats or (DATE_FORMATS_DAYFIRST if dayfirst else DATE_FORMATS)
-    tries = [F.try_to_timestamp(s, F.lit(f)) for f in fmts]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    # try_to_timestamp only decides whether a format fits; the value comes from
+    # to_timestamp_ntz, so it is the wall-clock time whatever the session time zone
+    tries = [F.when(F.try_to_timestamp(s, F.lit(f)).isNotNull(), F.to_timestamp_ntz(s, F.lit(f))) for f in fmts]
+    return F.coalesce(*tries)
 
 
 def as_timestamp(df: DataFrame, name: str, dayfirst: bool = False) -> Column:

@@ -161,8 +161,8 @@ def search_rows(df: DataFrame, term: str, cols: list[str] | None = None) -> Data
 
 def date_window(df: DataFrame, col: str, start: str, end: str, inclusive_end_day: bool = False) -> DataFrame:
     """FLT-13 date part: ``start <= col <= end``; ``end`` is midnight unless ``inclusive_end_day`` (T-15)."""
-    lo = F.to_timestamp(F.lit(start)).cast("timestamp_ntz")
-    hi = F.to_timestamp(F.lit(end)).cast("timestamp_ntz")
+    lo = F.to_timestamp_ntz(F.lit(start))
+    hi = F.to_timestamp_ntz(F.lit(end))
     if inclusive_end_day:
         return df.filter((F.col(col) >= lo) & (F.col(col) < F.date_add(hi.cast("date"), 1).cast("timestamp_ntz")))
     return df.filter((F.col(col) >= lo) & (F.col(col) <= hi))
