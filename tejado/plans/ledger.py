@@ -58,10 +58,11 @@ def lookups(master: DataFrame) -> tuple[DataFrame, DataFrame]:
     exact_vals = [c for c in ["efac_comp_key_flex"] + TARGETS + CARRIED if c != "efac_comp_key_flex"]
     flex_vals = TARGETS + CARRIED
 
+    # every master row counts for its own group and for ALL: one scan, one aggregate per key
+    both_groups = rows.withColumn("__grp", F.explode(F.array(F.col("efac_group"), F.lit("ALL"))))
+
     def both(key, vals, count_col):
-        per_group = _compact(rows.withColumn("__grp", F.col("efac_group")), ["__grp", key], vals, count_col)
-        every = _compact(rows.withColumn("__grp", F.lit("ALL")), ["__grp", key], vals, count_col)
-        return per_group.unionByName(every)
+        return _compact(both_groups, ["__grp", key], vals, count_col)
 
     return (both("efac_comp_key_exact", exact_vals, "efac_match_count_exact"),
             both("efac_comp_key_flex", flex_vals, "efac_match_count_flex"))
