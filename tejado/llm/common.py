@@ -48,3 +48,9 @@ def fresh(df: DataFrame, name: str) -> str:
         n += 1
         out = f"{name}_{n}"
     return out
+
+
+def bounded_sample(df: DataFrame, by: Column, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df`` (all, if it has no more), chosen by a hash of ``by``: reruns choose the same."""
+    n = df.count()
+    return df if n <= rows else df.where(F.pmod(F.xxhash64(by, F.lit(17)), F.lit(1 << 30)) < int((1 << 30) * (rows / n)))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tejado.llm import bpe, exact_dedup, source_mix
+from tejado.llm import bpe, exact_dedup, quality_rules, source_mix
 from tejado.llm.common import read_table
 
 
@@ -22,6 +22,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 with_ids=False)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    rules = quality_rules.learn(docs, read_table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules)[0].drop("text")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -31,6 +37,7 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_quality_rules": (op1_quality_rules, None),
     "op2_exact_dedup": (op2_exact_dedup, exact_dedup.SQL),
     "op3_source_mix": (op3_source_mix, source_mix.SQL),
     "op7_byte_bpe": (op7_byte_bpe, None),
