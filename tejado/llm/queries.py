@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tejado.llm import bpe, exact_dedup, quality_rules, source_mix
+from tejado.llm import bpe, exact_dedup, quality_rules, simhash, source_mix, url_boost
 from tejado.llm.common import read_table
 
 
@@ -14,6 +14,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_boost.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), length=3, distance=2)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -40,5 +48,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_exact_dedup": (op2_exact_dedup, exact_dedup.SQL),
     "op3_source_mix": (op3_source_mix, source_mix.SQL),
+    "op5_url_filter": (op5_url_filter, None),
+    "op6_simhash": (op6_simhash, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
 }
