@@ -18,7 +18,7 @@ from tejado.llm.common import bounded_sample, fresh, let, written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 UNIT = 1_000_000
 FEATURES = ("length", "host_length", "depth", "labels", "digit_ratio", "mark_ratio", "entropy", "n_params", "has_fragment",
-            "suffix_count", "suffix_block", "folder_block")
+            "suffix_block", "folder_block")
 
 
 @dataclass(frozen=True)
@@ -100,12 +100,10 @@ def lexical(pages: DataFrame, url: str) -> tuple[DataFrame, dict[str, str]]:
 
 
 def with_statistics(df: DataFrame, name: dict[str, str], suffixes: DataFrame, folders: DataFrame) -> DataFrame:
-    """Join the suffix statistics; what has none counts as never seen."""
-    s = suffixes.toDF("s_key", "s_count", "s_block")
-    f = folders.toDF("f_key", "f_block")
+    """Join the shares of blocked URLs by host suffix and by first folder; without labelled URLs a share is a half."""
+    s, f = suffixes.toDF("s_key", "s_block"), folders.toDF("f_key", "f_block")
     df = df.join(s, F.col(name["url_suffix"]) == F.col("s_key"), "left").join(f, F.col(name["url_folder"]) == F.col("f_key"), "left")
-    return df.withColumns({name["suffix_count"]: F.round(F.log1p(F.coalesce("s_count", F.lit(0))), 6),
-                           name["suffix_block"]: F.coalesce("s_block", F.lit(0.5)), name["folder_block"]: F.coalesce("f_block", F.lit(0.5))}).drop("s_key", "s_count", "s_block", "f_key", "f_block")
+    return df.withColumns({name["suffix_block"]: F.coalesce("s_block", F.lit(0.5)), name["folder_block"]: F.coalesce("f_block", F.lit(0.5))}).drop("s_key", "s_block", "f_key", "f_block")
 
 
 @dataclass
@@ -213,7 +211,7 @@ def judge(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES, f
     df = df.withColumn(name["rule"], rule_of(host, path, rules)).withColumn(name["verdict"], verdict_of(rule, rules))
     thin = df.select(name["url_suffix"], name["url_folder"], (verdict == "block").cast("int").alias("block"))
     share = (F.sum("block") + 1) / (F.count("block") + 2)
-    suffixes = written(thin.groupBy(name["url_suffix"]).agg(F.count(F.lit(1)), F.round(share, 6)).toDF("s_key", "s_count", "s_block"), "url-suffixes")
+    suffixes = written(thin.groupBy(name["url_suffix"]).agg(F.round(share, 6)).toDF("s_key", "s_block"), "url-suffixes")
     folders = written(thin.groupBy(name["url_folder"]).agg(F.round(share, 6)).toDF("f_key", "f_block"), "url-folders")
     full = with_statistics(df, name, suffixes, folders)
     labelled = full.where(verdict.isNotNull())
