@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tejado.llm import bpe, exact_dedup, quality_rules, simhash, source_mix, url_boost
+from tejado.llm import bpe, exact_dedup, quality_rules, simhash, source_mix, toxicity, url_boost
 from tejado.llm.common import read_table
 
 
@@ -44,6 +44,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(documents(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return toxicity.scores(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_exact_dedup": (op2_exact_dedup, exact_dedup.SQL),
@@ -51,4 +56,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_url_filter": (op5_url_filter, None),
     "op6_simhash": (op6_simhash, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
+    "op9_toxicity": (op9_toxicity, None),
 }
