@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tejado.llm import bpe, exact_dedup, quality_rules, simhash, source_mix, toxicity, url_boost
+from tejado.llm import bpe, exact_dedup, line_templates, quality_rules, simhash, source_mix, toxicity, url_boost
 from tejado.llm.common import read_table
 
 
@@ -14,6 +15,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, _ = line_templates.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return df.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_boost.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
 
@@ -53,6 +59,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_exact_dedup": (op2_exact_dedup, exact_dedup.SQL),
     "op3_source_mix": (op3_source_mix, source_mix.SQL),
+    "op4_line_dedup": (op4_line_dedup, line_templates.SQL),
     "op5_url_filter": (op5_url_filter, None),
     "op6_simhash": (op6_simhash, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
