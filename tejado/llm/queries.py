@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tejado.llm import bpe, exact_dedup, line_templates, quality_rules, simhash, source_mix, toxicity, url_boost
+from tejado.llm import bpe, exact_dedup, line_templates, quality_rules, simhash, source_mix, suffix_dedup, toxicity, url_boost
 from tejado.llm.common import read_table
 
 
@@ -50,6 +50,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(documents(spark, sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = suffix_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"), span=50)
+    return df.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return toxicity.scores(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
@@ -63,5 +68,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_url_filter": (op5_url_filter, None),
     "op6_simhash": (op6_simhash, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
+    "op8_substring_dedup": (op8_substring_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
 }
