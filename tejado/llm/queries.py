@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tejado.llm import bpe, exact_dedup, line_templates, quality_rules, simhash, source_mix, suffix_dedup, toxicity, url_boost
+from tejado.llm import bpe, exact_dedup, line_templates, passage_dedup, quality_rules, simhash, source_mix, suffix_dedup, toxicity, url_boost
 from tejado.llm.common import read_table
 
 
@@ -60,6 +60,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.passage_classes(documents(spark, sf_dir).select("doc_id", "text"), words=50, similarity=0.8, size=5)
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_exact_dedup": (op2_exact_dedup, exact_dedup.SQL),
@@ -70,4 +74,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op8_substring_dedup": (op8_substring_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
+    "op10_passage_dedup": (op10_passage_dedup, None),
 }
