@@ -6,26 +6,105 @@ other places are variable fields and become ``<*>`` too. What results is a line'
 least ``min_docs`` documents hold it, at least ``min_constants`` of its places are constant and at least ``min_share`` of
 them; its lines are dropped from all these documents but the first (smallest id).
 
-Leaves that one document alone visits can't hold a recurring template, so only lines of the others are parsed further;
-equal lines of a leaf are counted first and parsed once, so a line that a third of the documents hold is one row.
+Leaves that one document alone visits can't hold a recurring template, so only lines of the others are parsed further. A
+bitmap of fixed size tells most of them when the texts are read again; a join then tells exactly. Equal lines of a leaf
+are counted first and parsed once, so a line that a third of the documents hold is one row. Tokens, lines and leaves go
+by their 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tejado.llm.common import INK, fresh, let, words, written
-
-FIELD = "<*>"
-
-
-def _lines(docs: DataFrame, depth: int) -> DataFrame:
-    """doc_id, doc_hash, place, masked tokens and leaf of every line with tokens. ``docs``: doc_id, text."""
-    line = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    masked = F.transform(words(F.col("line")), lambda t: F.when(t.rlike("[0-9]"), FIELD).otherwise(t))
-    line = line.select("doc_id", "doc_hash", "place", masked.alias("masked")).where(F.size("masked") > 0)
-    return line.withColumn("leaf", F.xxhash64(F.size("masked"), F.slice("masked", 1, depth)))
+from tejado.llm.common import INK, fresh, let, written
+
+FIELD = b"<*>"
+DIGIT = re.compile(rb"[0-9]")
+BITS, CHUNK = 26, 19  # of the bitmap: 2**26 bits, made and sent in chunks of 2**19
+
+
+def parsed(text: bytes, depth: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(place, leaf, masked tokens) of every line that has tokens. Bytes split at the six ASCII spaces only."""
+    from xxhash import xxh64_intdigest
+
+    digits = DIGIT.search(text) is not None
+    for place, line in enumerate(text.split(b"\n")):
+        token = line.split()
+        if token:
+            if digits and DIGIT.search(line):
+                token = [FIELD if DIGIT.search(t) else t for t in token]
+            yield place, xxh64_intdigest(b"%d %s" % (len(token), b" ".join(token[:depth]))), token
+
+
+def _signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+def _shared_leaves(docs: DataFrame, depth: int) -> DataFrame:
+    """Leaves that more than one document visits."""
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf, doc = [], []
+            for text, d in zip(batch.column("body"), batch.column("doc_hash").to_pylist()):
+                own = {x for _, x, _ in parsed(text.as_py(), depth)}
+                leaf += own
+                doc += [d] * len(own)
+            yield pa.RecordBatch.from_arrays([_signed(leaf), pa.array(doc, pa.int64())], names=["leaf", "doc"])
+
+    seen = docs.select("body", F.xxhash64("doc_id").alias("doc_hash")).mapInArrow(visits, "leaf long, doc long")
+    return written(seen.groupBy("leaf").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("leaf"), "line-leaves")
+
+
+def _bitmap(leaves: DataFrame) -> np.ndarray:
+    """Bits of the leaves' last BITS bits; 8 MB, whatever the number of leaves."""
+    def chunk(table: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << CHUNK, bool)
+        bits[table.column("bit").to_numpy() & (1 << CHUNK) - 1] = True
+        return pa.table({"chunk": table.column("chunk").slice(0, 1), "body": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+    bit = F.col("leaf").bitwiseAND(F.lit((1 << BITS) - 1))
+    rows = leaves.select(bit.alias("bit"), F.shiftright(bit, CHUNK).alias("chunk")).groupBy("chunk").applyInArrow(chunk, "chunk long, body binary").collect()
+    out = np.zeros(1 << BITS - 3, np.uint8)
+    for r in rows:
+        out[r["chunk"] << CHUNK - 3:r["chunk"] + 1 << CHUNK - 3] = np.frombuffer(r["body"], np.uint8)
+    return out
+
+
+def _candidates(docs: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
+    """leaf, line, doc_id, doc_hash, place and tokens of the lines in shared leaves; tokens only once for equal lines of a batch."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(leaves))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        bits = bitmap.value
+        for batch in batches:
+            row, leaves_, line, place, tokens, known = [], [], [], [], [], set()
+            for k, text in enumerate(batch.column("body")):
+                for at, leaf, token in parsed(text.as_py(), depth):
+                    low = leaf & (1 << BITS) - 1
+                    if not bits[low >> 3] >> (low & 7) & 1:
+                        continue
+                    key = xxh64_intdigest(b" ".join(token))
+                    row.append(k)
+                    leaves_.append(leaf)
+                    line.append(key)
+                    place.append(at)
+                    tokens.append(None if key in known else np.array([0 if t == FIELD else xxh64_intdigest(t) | 1 for t in token], np.uint64).view(np.int64))
+                    known.add(key)
+            take = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([_signed(leaves_), _signed(line), batch.column("doc_id").take(take), batch.column("doc_hash").take(take), pa.array(place, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))],
+                                             names=["leaf", "line", "doc_id", "doc_hash", "place", "tokens"])
+
+    found = docs.mapInArrow(lines, f"leaf long, line long, doc_id {kind}, doc_hash long, place int, tokens array<long>")
+    return written(found.join(leaves, "leaf", "left_semi"), "line-candidates")
 
 
 def _document(doc_id: Column) -> Column:
@@ -34,21 +113,18 @@ def _document(doc_id: Column) -> Column:
 
 
 def recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 3, min_share: float = 0.75, min_constants: int = 3) -> DataFrame:
-    """doc_id, doc_hash, places: the line numbers to drop from each document that loses any. ``docs``: doc_id, text."""
-    lines = _lines(docs, depth)
-    visited = lines.groupBy("leaf").agg(F.min(F.xxhash64("doc_id")).alias("a"), F.max(F.xxhash64("doc_id")).alias("b")).where("a <> b").select("leaf")
-    shared = written(visited, "line-leaves")
-    lines = written(lines.join(shared, "leaf", "left_semi").withColumn("line_key", F.xxhash64("masked")), "line-candidates")
-    distinct = written(lines.groupBy("leaf", "line_key").agg(F.first("masked").alias("masked"), F.count(F.lit(1)).alias("n")), "line-distinct")
-    token = distinct.select("leaf", "line_key", "n", F.posexplode("masked").alias("at", "token"))
+    """doc_id, doc_hash (XXH64 of the text), places: the lines to drop from each document that loses any. ``docs``: doc_id, text."""
+    docs = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), F.encode("text", "UTF-8").alias("body"))
+    lines = _candidates(docs, _shared_leaves(docs, depth), depth)
+    distinct = written(lines.groupBy("leaf", "line").agg(F.first("tokens", ignorenulls=True).alias("tokens"), F.count(F.lit(1)).alias("n")), "line-distinct")
+    token = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("at", "token"))
     held = token.groupBy("leaf", "at", "token").agg(F.sum("n").alias("held"))
-    field = token.join(held, ["leaf", "at", "token"]).select(
-        "leaf", "line_key", F.struct("at", F.when(F.col("held") >= min_docs, F.col("token")).otherwise(FIELD).alias("token")).alias("place"))
-    template = field.groupBy("leaf", "line_key").agg(F.sort_array(F.collect_list("place"))["token"].alias("template"))  # a line's own tokens
-    constants = F.size(F.filter("template", lambda t: t != FIELD))
+    field = token.join(held, ["leaf", "at", "token"]).select("leaf", "line", F.struct("at", F.when(F.col("held") >= min_docs, F.col("token")).otherwise(0).alias("token")).alias("place"))
+    template = field.groupBy("leaf", "line").agg(F.sort_array(F.collect_list("place"))["token"].alias("template"))  # a line's own tokens
+    constants = F.size(F.array_remove("template", 0))
     template = template.where((constants >= min_constants) & (constants >= min_share * F.size("template")))
-    template = template.select("leaf", "line_key", F.xxhash64("leaf", "template").alias("template"))
-    placed = written(lines.join(template, ["leaf", "line_key"]).select("template", "doc_id", "doc_hash", "place"), "line-placed")
+    template = template.select("leaf", "line", F.xxhash64("leaf", "template").alias("template"))
+    placed = written(lines.drop("tokens").join(template, ["leaf", "line"]).select("template", "doc_id", "doc_hash", "place"), "line-placed")
     per_doc = placed.select("template", "doc_id").distinct()
     counts = per_doc.groupBy("template").agg(F.count(F.lit(1)).alias("n_docs"), F.min(_document(F.col("doc_id"))).alias("first")).where(F.col("n_docs") >= min_docs)
     drop = placed.join(counts, "template").where(~F.col("doc_id").eqNullSafe(F.col("first.id")))
