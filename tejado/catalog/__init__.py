@@ -21,12 +21,6 @@ def register(name: str, sql: str | None = None):
 
 
 def all_queries() -> dict[str, tuple[Callable, str | None]]:
-    from tejado.catalog import stock_queries  # noqa: F401
-    for mod in ("sales_queries", "ledger_queries", "lead_queries", "operator_queries", "io_queries",
-                "report_queries", "coverage_queries"):
-        try:
-            __import__(f"tejado.catalog.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"tejado.catalog.{mod}":
-                raise
+    from tejado.catalog import (coverage_queries, io_queries, lead_queries, ledger_queries, operator_queries,  # noqa: F401
+                                report_queries, sales_queries, stock_queries)
     return REGISTRY

@@ -12,7 +12,7 @@ from tejado.plans import sales as sl
 SEPR = f"""
 SELECT fecha_inicio AS fecha_separacion, codigo_proforma, documento_cliente, codigo_unidad AS codigo_principal,
   codigo_proyecto, coalesce(usuario_separacion, usuario, asesor) AS usuario_separacion, estado, tipo_financiamiento,
-  codigo_unidades_asignadas AS adicionales_sep_raw
+  codigo_unidades_asignadas AS adicionales_sep_raw, id_proceso
 FROM procesos WHERE {nt('nombre')} = 'SEPARACION' AND {nt('estado')} = 'ACTIVO' AND codigo_proforma IS NOT NULL"""
 RBASE = "SELECT s.*, v.fecha_minuta, v.adicionales_ven_raw FROM sepr s LEFT JOIN sven v ON v.codigo_proforma = s.codigo_proforma"
 
@@ -67,8 +67,10 @@ SELECT proyecto, codigo_proyecto, documento_cliente, {dockey('documento_cliente'
   min(fecha_separacion) AS primera_separacion, max(fecha_minuta) AS ultima_minuta
 FROM rdf GROUP BY proyecto, codigo_proyecto, documento_cliente"""
 
-CTE_RECEIVABLES = CTE_SILVER + [("sepr", SEPR), ("rbase", RBASE), ("ritems0", _items0("rbase", _RCOMMON, "[,]")),
-                                ("ritems", f"SELECT {_RCOMMON}, codigo_item, min(origen_item) AS origen_item FROM ritems0 GROUP BY ALL"),
+CTE_RECEIVABLES = CTE_SILVER + [("sepr", SEPR), ("rbase", RBASE), ("ritems0", _items0("rbase", _RCOMMON + ", id_proceso", "[,]")),
+                                # one row per (proforma, item): by origin, then in file order
+                                ("ritems", "SELECT * EXCLUDE (id_proceso) FROM " + first_row(
+                                    "SELECT * FROM ritems0", "codigo_proforma, codigo_item", "origen_item, id_proceso")),
                                 ("runits0", RUNITS), ("runits", "SELECT * EXCLUDE (orden_fila) FROM runits0"),
                                 ("ritems_cat", RITEMS_CAT), ("rcli0", RCLI),
                                 ("rcli", "SELECT * EXCLUDE (orden_fila) FROM rcli0"), ("rdf", RDF)]

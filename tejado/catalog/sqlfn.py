@@ -143,12 +143,13 @@ def group_of(x):
 
 def company_of(x):
     """SC-18 (company rules)."""
-    from tejado.functions.keys import COMPANY_RULES, _py_norm_alnum
+    from tejado.functions.keys import COMPANY_RULES
+    from tejado.functions.text import fold_words
     key = norm_alnum(f"string_split({s(x)}, '/')[-1]")
     whens = []
     for company, sales_file, master_file, tokens in COMPANY_RULES:
-        conds = [f"{key} = '{_py_norm_alnum(sales_file)}'", f"{key} = '{_py_norm_alnum(master_file)}'"]
-        conds += [f"contains({key}, '{_py_norm_alnum(t)}')" for t in tokens]
+        conds = [f"{key} = '{fold_words(sales_file)}'", f"{key} = '{fold_words(master_file)}'"]
+        conds += [f"contains({key}, '{fold_words(t)}')" for t in tokens]
         whens.append(f"WHEN {' OR '.join(conds)} THEN '{company}'")
     return "(CASE " + " ".join(whens) + " END)"
 

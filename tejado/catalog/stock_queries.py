@@ -25,8 +25,9 @@ SELECT codigo, codigo AS codigo_item, codigo_proyecto, proyecto AS proyecto_from
 FROM unidades""", "codigo", "orden_fila")
 SU_SEL = "SELECT * EXCLUDE (orden_fila) FROM su0"
 
-SP = first_row(f"SELECT codigo AS codigo_proyecto, nombre AS proyecto, {nt('nombre')} AS proyecto_norm FROM proyectos",
-               "codigo_proyecto", "proyecto")
+SP = "SELECT * EXCLUDE (orden_fila) FROM " + first_row(
+    f"SELECT codigo AS codigo_proyecto, nombre AS proyecto, {nt('nombre')} AS proyecto_norm, orden_fila FROM proyectos",
+    "codigo_proyecto", "orden_fila")
 
 SC = first_row(f"""
 SELECT documento AS documento_cliente, {dockey('documento')} AS dni_comprador,

@@ -1,7 +1,5 @@
 """Scalar functions: ``Column -> Column`` builders, all native Spark expressions.
 
-The one exception is :func:`tejado.functions.contacts.fix_email_domains`, an
-Arrow-batched pandas UDF applied to distinct domains only.
 """
 
 from tejado.functions import contacts, dates, keys, numbers, rules, text  # noqa: F401

@@ -1,8 +1,9 @@
 """Lenient date parsing (SC-07).
 
-pandas infers one format from the first value and nulls the rest (T-06). We try
-an explicit list of formats on every row instead; the day-first list swaps the
-order of the slash formats.
+pandas infers one format from the first value and nulls the rest (T-06). Here
+every row is read by its own shape: year first, or day and month first, with
+one or two digits, ``-`` or ``/`` or ``.`` between, an optional time with
+fractions, and an optional zone mark, which is dropped (wall-clock time).
 """
 
 from __future__ import annotations
@@ -14,35 +15,37 @@ from pyspark.sql import types as T
 from tejado.functions._util import col_of
 from tejado.functions.text import ustrip
 
-# Accepted text formats, month-first (pandas default) and day-first.
-DATE_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
-    "dd-MM-yyyy",
-]
-DATE_FORMATS_DAYFIRST = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy",
-    "dd-MM-yyyy",
-]
+_TIME = r"(?:[T ]+(\d{1,2}):(\d{1,2})(?::(\d{1,2})(\.\d{1,9})?)?)?(?: ?(?:Z|UTC|[+-]\d{2}:?\d{2}))?$"
+#: Year first; year first without separators; day and month before the year (groups: three date parts, then the time).
+SHAPES = {
+    "year": r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _TIME,
+    "packed": r"^(\d{4})(\d{2})(\d{2})" + _TIME,
+    "slash": r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _TIME,
+    "dash": r"^(\d{1,2})[-.](\d{1,2})[-.](\d{4})" + _TIME,
+}
+
+
+def _read(s: Column, pattern: str, order: tuple[int, int, int]) -> Column:
+    """Timestamp from a text of the given shape; ``order``: the groups of year, month and day."""
+    def part(i):
+        return F.coalesce(F.nullif(F.regexp_extract(s, pattern, i), F.lit("")), F.lit("0"))
+
+    seconds = (F.concat(part(6), F.regexp_extract(s, pattern, 7))).cast("decimal(16,6)")
+    made = F.try_make_timestamp_ntz(*[part(i).cast("int") for i in order], part(4).cast("int"), part(5).cast("int"), seconds)
+    return F.when(s.rlike(pattern), made)
 
 
 def parse_timestamp(c, dayfirst: bool = False, formats=None) -> Column:
-    """Text -> TIMESTAMP_NTZ; every row tries every format; unparsable -> null."""
+    """Text -> TIMESTAMP_NTZ; unparsable -> null. ``dayfirst`` reads ``1/5/2024`` as 1 May; dashes always do.
+
+    ``formats``: Spark patterns to try in order instead.
+    """
     s = ustrip(col_of(c).cast("string"))
-    fmts = formats or (DATE_FORMATS_DAYFIRST if dayfirst else DATE_FORMATS)
-    # try_to_timestamp only decides whether a format fits; the value comes from
-    # to_timestamp_ntz, so it is the wall-clock time whatever the session time zone
-    tries = [F.when(F.try_to_timestamp(s, F.lit(f)).isNotNull(), F.to_timestamp_ntz(s, F.lit(f))) for f in fmts]
-    return F.coalesce(*tries)
+    if formats:
+        return F.coalesce(*[F.when(F.try_to_timestamp(s, F.lit(f)).isNotNull(), F.to_timestamp_ntz(s, F.lit(f))) for f in formats])
+    slash = (3, 2, 1) if dayfirst else (3, 1, 2)
+    return F.coalesce(_read(s, SHAPES["year"], (1, 2, 3)), _read(s, SHAPES["packed"], (1, 2, 3)),
+                      _read(s, SHAPES["slash"], slash), _read(s, SHAPES["dash"], (3, 2, 1)))
 
 
 def as_timestamp(df: DataFrame, name: str, dayfirst: bool = False) -> Column:

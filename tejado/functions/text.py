@@ -1,15 +1,15 @@
 """Text keys and cleaning as native Spark expressions (SC-01..04, SC-10, SC-12, SC-34).
 
-Spark has no Unicode NFKD function, so the accent fold is two native steps
-built from :mod:`unicodedata` at import time (a rule, not a copied table):
+Spark has no Unicode NFKD or casefold function, so a fold is two native steps
+built from :mod:`unicodedata` (a rule over all code points, not a copied table):
 
-* ``translate`` for every BMP character whose NFKD form keeps exactly one
-  ASCII character (``á`` -> ``a``, NBSP -> space);
-* a map lookup per character for the few whose fold is longer (``½`` ->
+* ``translate`` for every character that folds to exactly one (``á`` -> ``a``,
+  NBSP -> space, ``𝐀`` -> ``A``);
+* a lookup per character for those whose fold is longer or empty (``½`` ->
   ``12``, ``ﬁ`` -> ``fi``), evaluated only on rows that contain one.
 
-Everything else that is not ASCII is then removed, which is what
-``normalize("NFKD").encode("ascii", "ignore")`` does.
+For the ASCII fold everything else that is not ASCII is then removed, which is
+what ``normalize("NFKD").encode("ascii", "ignore")`` does.
 """
 
 from __future__ import annotations
@@ -30,30 +30,46 @@ PACKED_NULL_WORDS = ["<NA>", "NAN", "NONE", "NULL"]
 _WS = r"[\s\x1c-\x1f]"  # Python str.split() also treats \x1c-\x1f as whitespace
 
 
+def fold_text(value, upper: bool = True) -> str:
+    """SC-01's fold for a driver-side name or literal: NFKD, ASCII only, stripped, single spaces."""
+    ascii_only = unicodedata.normalize("NFKD", str(value)).encode("ascii", "ignore").decode("ascii")
+    out = " ".join(ascii_only.split())
+    return out.upper() if upper else out
+
+
+def fold_words(value) -> str:
+    """SC-03's key for a driver-side name or literal: the fold with anything but letters and digits as one space."""
+    return " ".join("".join(ch if ch.isalnum() else " " for ch in fold_text(value)).split())
+
+
+def _without_marks(text: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+
+# one character's fold, by kind of key
+FOLDS = {
+    "ascii": lambda ch: unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii"),
+    "compare": lambda ch: _without_marks(ch.casefold()),
+}
+
+
 @functools.lru_cache(maxsize=None)
-def _fold_tables(keep_non_ascii: bool = False):
-    """(from, to) strings for translate, and {char: fold} for longer folds."""
-    src, dst, long_map = [], [], {}
-    for cp in range(0x80, 0x10000):
-        ch = chr(cp)
+def _fold_tables(kind: str):
+    """(from, to) strings for translate, and {char: fold} for folds of no or several characters."""
+    src, dst, other = [], [], {}
+    for cp in range(0x80, 0x110000):
         if 0xD800 <= cp <= 0xDFFF:
             continue
-        nf = unicodedata.normalize("NFKD", ch)
-        if keep_non_ascii:
-            folded = "".join(c for c in nf if not unicodedata.combining(c))
-        else:
-            folded = nf.encode("ascii", "ignore").decode("ascii")
+        ch = chr(cp)
+        folded = FOLDS[kind](ch)
         if folded == ch:
             continue
         if len(folded) == 1:
             src.append(ch)
             dst.append(folded)
-        elif len(folded) > 1:
-            long_map[ch] = folded
-        # len 0: removed later by the non-ASCII strip (ascii mode) or below
-        elif keep_non_ascii:
-            long_map[ch] = ""
-    return "".join(src), "".join(dst), long_map
+        elif folded or kind != "ascii":  # the ASCII fold drops what is left anyway
+            other[ch] = folded
+    return "".join(src), "".join(dst), other
 
 
 def _char_class(chars) -> str:
@@ -90,25 +106,25 @@ def _apply_long_folds(c: Column, long_map: dict) -> Column:
 
 
 def fold_ascii(c) -> Column:
-    """NFKD + drop non-ASCII, exact for the Basic Multilingual Plane.
+    """NFKD + drop non-ASCII.
 
     ASCII-only values (most keys) skip the fold: one cheap regex test decides.
     """
     c = col_of(c)
-    src, dst, long_map = _fold_tables(False)
+    src, dst, other = _fold_tables("ascii")
     out = F.translate(c, src, dst)
-    out = _apply_long_folds(out, long_map)
+    out = _apply_long_folds(out, other)
     out = F.regexp_replace(out, r"[^\x00-\x7F]", "")
     return F.when(c.rlike(r"[^\x00-\x7F]"), out).otherwise(c)
 
 
-def strip_marks(c) -> Column:
-    """NFKD and drop combining marks only; other non-ASCII letters stay (SC-02)."""
+def fold_compare(c) -> Column:
+    """Casefold, NFKD, combining marks dropped; other letters stay (SC-02)."""
     c = col_of(c)
-    src, dst, long_map = _fold_tables(True)
-    out = F.translate(c, src, dst)
-    out = _apply_long_folds(out, long_map)
-    return F.regexp_replace(out, r"\p{M}", "")
+    src, dst, other = _fold_tables("compare")
+    upper = "".join(map(chr, range(65, 91)))  # in the same step: what a character folds to isn't folded again
+    out = _apply_long_folds(F.translate(c, src + upper, dst + upper.lower()), other)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), out).otherwise(F.lower(c))
 
 
 def ustrip(c) -> Column:
@@ -141,14 +157,12 @@ def norm_ascii(c) -> Column:
 
 def norm_compare(c) -> Column:
     """SC-02: null -> "", strip, casefold, drop combining marks."""
-    s = F.lower(ustrip(F.coalesce(col_of(c).cast("string"), F.lit(""))))
-    return strip_marks(s)
+    return fold_compare(ustrip(F.coalesce(col_of(c).cast("string"), F.lit(""))))
 
 
 def norm_compare_literal(value) -> str:
-    """Driver-side fold of a literal for SC-02 comparisons (constant folding by hand)."""
-    txt = unicodedata.normalize("NFKD", str(value).strip().casefold())
-    return "".join(ch for ch in txt if not unicodedata.combining(ch))
+    """The same key for a driver-side literal."""
+    return _without_marks(str(value).strip().casefold())
 
 
 def norm_alnum(c) -> Column:
@@ -192,8 +206,8 @@ def unit_name(nombre, codigo=None) -> Column:
 
 
 def safe_label(c, max_len: int = 80, default: str = "Sin Asesor", replacement: str = "_") -> Column:
-    """SC-34: illegal file-name characters replaced, whitespace collapsed, cut; blank -> default."""
-    s = F.regexp_replace(col_of(c).cast("string"), r'[\\/*?:"<>|\[\]]', replacement)
+    """SC-34: each run of illegal file-name characters replaced, whitespace collapsed, cut; blank -> default."""
+    s = F.regexp_replace(col_of(c).cast("string"), r'[\\/:*?"<>|]+', replacement)
     s = F.trim(F.regexp_replace(s, r"\s+", " "))
     s = F.substring(s, 1, max_len)
     return F.coalesce(F.nullif(F.trim(s), F.lit("")), F.lit(default))

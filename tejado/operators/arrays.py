@@ -19,12 +19,12 @@ def _tagger(label: str):
 
 def explode_items(base: DataFrame, principal: str, packed: list[tuple[str, str]], keep: list[str],
                   separators: str = ",;|", item_col: str = "codigo_item", origin_col: str = "origen_item",
-                  key: str = "codigo_proforma", dedup: bool = True) -> DataFrame:
+                  key: str = "codigo_proforma", order: str | None = None) -> DataFrame:
     """AR-01 + WD-03: main unit first, then each packed list with its label; one row per (key, item).
 
-    Row-wise ``explode`` (no shuffle), then a ``groupBy(key, item)`` that keeps
-    the alphabetically first origin; the grouping columns ``keep`` are constant
-    per key, so they ride along as grouping keys.
+    Row-wise ``explode`` (no shuffle), then one ``groupBy(key, item)`` that keeps the alphabetically first origin and,
+    of equal origins, the first row in ``order`` with its ``keep`` columns. ``order`` may be left out only where
+    ``base`` has one row per key.
     """
     p = ustrip(F.col(principal).cast("string"))
     main = F.when(p.isNotNull() & (p != ""),
@@ -33,11 +33,12 @@ def explode_items(base: DataFrame, principal: str, packed: list[tuple[str, str]]
     parts = [main]
     for col, label in packed:
         parts.append(F.transform(split_codes(F.col(col), separators), _tagger(label)))
-    items = base.select(key, *keep, F.explode(F.concat(*parts)).alias("__it"))
-    items = items.select(key, *keep, F.col("__it.i").alias(item_col), F.col("__it.o").alias(origin_col))
-    if not dedup:
-        return items
-    return items.groupBy(key, item_col, *keep).agg(F.min(origin_col).alias(origin_col))
+    place = [F.col(order).alias("__ord")] if order else []
+    items = base.select(key, *keep, *place, F.explode(F.concat(*parts)).alias("__it"))
+    items = items.select(key, *keep, *[F.col("__ord")] * bool(order), F.col("__it.i").alias(item_col), F.col("__it.o").alias(origin_col))
+    rank = F.struct(origin_col, *["__ord"] * bool(order))
+    first = items.groupBy(key, item_col).agg(F.min_by(F.struct(origin_col, *keep), rank).alias("__first"))
+    return first.select(key, item_col, *[F.col(f"__first.{c}").alias(c) for c in (*keep, origin_col)])
 
 
 def distinct_docs(cols: list[Column], normalize) -> Column:

@@ -9,6 +9,7 @@ of the table in one task.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,12 +32,6 @@ def keep_last(df: DataFrame, keys: list[str], order_by) -> DataFrame:
     return keep_first(df, keys, order_by, _desc=True)
 
 
-def keep_first_sorted(df: DataFrame, keys: list[str], priority: str, order_by=None) -> DataFrame:
-    """WD-03: sort by keys + priority column, keep the first per key (priority is alphabetical, T-14)."""
-    order = [F.col(priority)] + ([col_of(c) for c in order_by] if order_by else [])
-    return keep_first(df, keys, order)
-
-
 def group_size(df: DataFrame, keys: list[str], out: str = "group_size") -> DataFrame:
     """WD-05: size of each row's group.
 
@@ -55,25 +50,38 @@ def with_file_order(df: DataFrame, out: str = "row_order") -> DataFrame:
     return df.withColumn(out, F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index")))
 
 
-def ordered_slots(arr, n: int = 3) -> list[Column]:
-    """WD-07: first ``n`` distinct values in list order, as ``n`` columns (null when absent)."""
-    distinct = F.array_distinct(col_of(arr))
-    return [F.get(distinct, i) for i in range(n)]
+def order_of(df: DataFrame, order_col: str) -> tuple[DataFrame, str]:
+    """``df`` with its row order, and that column's name: ``order_col`` if present, else the order in its files.
+
+    A table that has neither has no "first" or "last" row, so this raises.
+    """
+    if order_col in df.columns:
+        return df, order_col
+    try:
+        return with_file_order(df, order_col), order_col
+    except AnalysisException as e:
+        raise ValueError(f"the table has no column {order_col!r} and isn't read straight from files; "
+                         f"its row order is unknown (columns: {', '.join(df.columns)})") from e
 
 
 def unique_labels(df: DataFrame, col: str, out: str, max_len: int = 31, default: str = "SIN_PROYECTO",
                   order_by=None) -> DataFrame:
-    """WD-08: sanitised label; repeats get ``_2``, ``_3``... within ``max_len`` characters.
+    """WD-08: sanitised label; one that is taken gets ``_2``, ``_3``... within ``max_len`` characters.
 
-    The group of one label is ranked in ``order_by`` order (default: the raw value).
+    Rows choose in ``order_by`` order (default: the raw value): the first of base, base_2, base_3... that no earlier row
+    has. A row starts at its place among the rows of one base (the labels before are theirs); while a label is claimed
+    by several rows, the first keeps it and the others go on to their next. For tables of one row per label.
     """
     base = F.regexp_replace(F.coalesce(col_of(col).cast("string"), F.lit(default)), r"[\\/*?:\[\]]", " ")
     base = F.substring(F.trim(F.regexp_replace(base, r"\s+", " ")), 1, max_len)
     base = F.coalesce(F.nullif(base, F.lit("")), F.lit(default))
-    tmp = df.withColumn("__base", base)
-    w = Window.partitionBy("__base").orderBy(*(_orders(order_by, False) if order_by else [F.col(col).asc_nulls_last()]))
-    rn = F.row_number().over(w)
-    suffix = F.concat(F.lit("_"), rn.cast("string"))
-    label = F.when(rn == 1, F.col("__base")).otherwise(
+    order = _orders(order_by, False) if order_by else [F.col(col).asc_nulls_last()]
+    suffix = F.concat(F.lit("_"), F.col("__n").cast("string"))
+    label = F.when(F.col("__n") == 1, F.col("__base")).otherwise(
         F.concat(F.col("__base").substr(F.lit(1), F.lit(max_len) - F.length(suffix)), suffix))
-    return tmp.withColumn(out, label).drop("__base")
+    now = df.withColumn("__base", base).withColumn("__n", F.row_number().over(Window.partitionBy("__base").orderBy(*order)))
+    while True:
+        now = now.withColumn(out, label).withColumn("__place", F.row_number().over(Window.partitionBy(out).orderBy(*order)))
+        if now.where(F.col("__place") > 1).isEmpty():
+            return now.drop("__base", "__n", "__place")
+        now = now.withColumn("__n", F.col("__n") + (F.col("__place") > 1).cast("int"))

@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tejado.functions.text import is_blank, norm_compare, norm_compare_literal, norm_text
+from tejado.functions.text import fold_text, is_blank, norm_compare, norm_compare_literal, norm_text
 from tejado.operators.columns import require_columns
 
 
@@ -116,16 +116,8 @@ def normalize_project_list(projects) -> list[str] | None:
         return None
     if isinstance(projects, str):
         projects = [projects]
-    import unicodedata
-    out = []
-    for p in projects:
-        if p is None:
-            continue
-        t = unicodedata.normalize("NFKD", str(p).strip()).encode("ascii", "ignore").decode("ascii").upper()
-        t = " ".join(t.split())
-        if t:
-            out.append(t)
-    return sorted(set(out)) or None
+    out = [fold_text(p) for p in projects if p is not None]
+    return sorted(set(filter(None, out))) or None
 
 
 def project_filter(df: DataFrame, norm_col: str, projects) -> DataFrame:
@@ -167,7 +159,3 @@ def date_window(df: DataFrame, col: str, start: str, end: str, inclusive_end_day
         return df.filter((F.col(col) >= lo) & (F.col(col) < F.date_add(hi.cast("date"), 1).cast("timestamp_ntz")))
     return df.filter((F.col(col) >= lo) & (F.col(col) <= hi))
 
-
-def non_empty_key(df: DataFrame, key: str) -> DataFrame:
-    """FLT-18."""
-    return df.filter(F.col(key).isNotNull() & (F.col(key) != ""))

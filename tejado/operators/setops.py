@@ -42,12 +42,6 @@ def schema_diff(df: DataFrame, expected: list[str]) -> tuple[list[str], list[str
     return [c for c in expected if c not in have], [c for c in df.columns if c not in set(expected)]
 
 
-def sort_nulls_last(df: DataFrame, cols: list[str], ascending: list[bool] | bool = True) -> DataFrame:
-    """SO-01 / SO-02: multi-key sort, nulls last in either direction."""
-    asc = ascending if isinstance(ascending, list) else [ascending] * len(cols)
-    return df.orderBy(*[F.col(c).asc_nulls_last() if a else F.col(c).desc_nulls_last() for c, a in zip(cols, asc)])
-
-
 def head(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     """SO-03: first ``n`` rows in a stated order (a top-k; Spark plans TakeOrderedAndProject)."""
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(n)

@@ -10,7 +10,7 @@ Every view reads whole tables. Modulo expressions on keys only *shape values*
 (which rows get a blank, a typo, a null); no view filters rows by key, so the
 work grows with the data. All row-wise views are narrow (no shuffle); only
 ``procesos`` aggregates line items per order (partial aggregation first) and
-``proyectos`` takes the distinct brands.
+``proyectos`` groups the brands.
 """
 
 from __future__ import annotations
@@ -88,11 +88,14 @@ FROM {d.t('part')}"""
 
 
 def proyectos(d: Dialect) -> str:
-    # one brand is left out on purpose, so unit and process rows with an unknown project exist
+    # one brand has another code, so unit and process rows with an unknown project exist; every code comes a second
+    # time, later in the file and with a name that sorts before the first
     return f"""
-SELECT p_brand AS codigo, 'Edificio Módena ' || p_brand AS nombre
-FROM (SELECT DISTINCT p_brand FROM {d.t('part')}) b
-WHERE p_brand <> 'Brand#7'"""
+SELECT CASE WHEN p_brand = 'Brand#7' THEN 'Brand#7 (antiguo)' ELSE p_brand END AS codigo,
+  CASE WHEN g = 0 THEN 'Edificio Módena ' || p_brand ELSE 'Anterior ' || p_brand END AS nombre,
+  k * 2 + g AS orden_fila
+FROM (SELECT p_brand, min(p_partkey) AS k FROM {d.t('part')} GROUP BY p_brand) b
+{d.gen(2, 'g')}"""
 
 
 def clientes(d: Dialect) -> str:
@@ -134,18 +137,18 @@ def procesos(d: Dialect) -> str:
     return f"""
 SELECT
   {k} * 4 + g AS id_proceso,
-  CASE WHEN g = 0 THEN CASE {k} % 3 WHEN 0 THEN 'Separación' WHEN 1 THEN 'SEPARACION' ELSE ' separacion ' END
+  CASE WHEN g IN (0, 3) THEN CASE {k} % 3 WHEN 0 THEN 'Separación' WHEN 1 THEN 'SEPARACION' ELSE ' separacion ' END
        ELSE CASE {k} % 2 WHEN 0 THEN 'Venta' ELSE 'VENTA ' END END AS nombre,
   CASE WHEN o.o_orderstatus = 'P' THEN 'Anulado' ELSE 'Activo' END AS estado,
   'PF-' || {d.s(k)} AS codigo_proforma,
-  {d.pad(ck, 8)} AS documento_cliente,
+  CASE WHEN g = 3 THEN {d.pad(ck + ' + 1', 8)} ELSE {d.pad(ck, 8)} END AS documento_cliente,
   CASE WHEN li.pmin IS NULL THEN NULL ELSE 'U-' || {d.s('li.pmin')} END AS codigo_unidad,
-  CASE WHEN g = 0 THEN {packed_sep} WHEN g = 1 THEN NULL ELSE {packed_ven} END AS codigo_unidades_asignadas,
+  CASE WHEN g IN (0, 3) THEN {packed_sep} WHEN g = 1 THEN NULL ELSE {packed_ven} END AS codigo_unidades_asignadas,
   CASE WHEN {k} % 7 = 0 THEN NULL ELSE {brand} END AS codigo_proyecto,
   'Edificio Módena ' || {brand} AS nombre_proyecto,
   CASE WHEN li.pmin IS NULL THEN NULL ELSE {_type_text(d, 'p.p_type', None)} END AS tipo_unidad_principal,
   o.o_orderdate AS fecha_inicio,
-  CASE g WHEN 0 THEN NULL WHEN 1 THEN li.ship_min ELSE li.ship_max END AS fecha_fin,
+  CASE WHEN g IN (0, 3) THEN NULL WHEN g = 1 THEN li.ship_min ELSE li.ship_max END AS fecha_fin,
   CASE WHEN {k} % 11 IN (0, 1) THEN NULL ELSE 'asesor' || {d.s('1 + ' + ck + ' % 9')} END AS usuario_separacion,
   CASE WHEN {k} % 11 = 1 THEN 'usuario' || {d.s('1 + ' + ck + ' % 5')} ELSE NULL END AS usuario,
   CASE WHEN {k} % 17 = 0 THEN NULL WHEN {k} % 13 = 0 THEN '  '
@@ -160,8 +163,8 @@ LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS pmin, max(l_partkey) AS pmax,
                   min(l_shipdate) AS ship_min, max(l_shipdate) AS ship_max
            FROM {d.t('lineitem')} GROUP BY l_orderkey) li ON li.l_orderkey = {k}
 LEFT JOIN {d.t('part')} p ON p.p_partkey = li.pmin
-{d.gen(3, 'g')}
-WHERE g = 0 OR o.o_orderstatus = 'F'"""
+{d.gen(4, 'g')}
+WHERE g = 0 OR (g IN (1, 2) AND o.o_orderstatus = 'F') OR (g = 3 AND {k} % 10 = 3)"""
 
 
 def leads(d: Dialect) -> str:

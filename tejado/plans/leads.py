@@ -14,7 +14,7 @@ from tejado.functions.dates import as_timestamp
 from tejado.functions.rules import contact_state, exclusion_reason
 from tejado.functions.text import ustrip
 from tejado.operators.columns import ensure_columns, require_columns
-from tejado.operators.dedup import keep_last
+from tejado.operators.dedup import keep_last, order_of
 from tejado.operators.filters import date_window
 
 
@@ -76,6 +76,7 @@ EXCLUSION_COLS = ["nombre", "documento_exclusion", "correo_exclusion", "telefono
 def exclusion_list(leads: DataFrame, order_col: str = "orden_fila") -> DataFrame:
     """JOB-11: contacts with an exclusion reason (SC-24), keys cleaned (SC-25), last row per
     (document, e-mail, phone) in file order (WD-04; blanks are values)."""
+    leads, order_col = order_of(leads, order_col)
     df = ensure_columns(leads, ["nombre", "documento", "correo", "telefono", "proyecto", "estado_lead", "observacion",
                                 "fecha_registro"], default="")
     df = df.select(
@@ -85,8 +86,7 @@ def exclusion_list(leads: DataFrame, order_col: str = "orden_fila") -> DataFrame
         clean_text("documento").alias("documento_exclusion"),
         exclusion_reason(F.col("estado_lead"), F.col("observacion")).alias("motivo_exclusion"),
     ).where(F.col("motivo_exclusion").isNotNull())
-    order = order_col if order_col in df.columns else "documento_exclusion"
-    last = keep_last(df, ["documento_exclusion", "correo_exclusion", "telefono_exclusion"], order)
+    last = keep_last(df, ["documento_exclusion", "correo_exclusion", "telefono_exclusion"], order_col)
     return last.select(*EXCLUSION_COLS)
 
 

@@ -18,7 +18,7 @@ from tejado.functions.text import norm_text, ustrip
 from tejado.operators.aggregates import join_unique, sum_zero
 from tejado.operators.arrays import ADD_RESERVATION, ADD_SALE, explode_items
 from tejado.operators.columns import ensure_columns
-from tejado.operators.dedup import keep_first
+from tejado.operators.dedup import keep_first, order_of
 from tejado.operators.filters import project_filter, stage_filter
 from tejado.plans.stock import silver_projects, silver_sales
 
@@ -31,9 +31,10 @@ RECEIVABLES_COLS = ["proyecto", "codigo_proyecto", "documento_cliente", "documen
                     "total_depositos", "total_venta_items", "primera_separacion", "ultima_minuta"]
 
 
-def reservations(procesos: DataFrame) -> DataFrame:
+def reservations(procesos: DataFrame, order_col: str = "id_proceso") -> DataFrame:
     """FLT-07: active reservations (no de-duplication by proforma, T-18); advisor falls back
     from the reservation user to the user, then the advisor column."""
+    procesos, order_col = order_of(procesos, order_col)
     p = ensure_columns(procesos, ["fecha_inicio", "codigo_proforma", "documento_cliente", "codigo_unidad",
                                   "codigo_proyecto", "usuario_separacion", "usuario", "asesor", "estado",
                                   "tipo_financiamiento", "codigo_unidades_asignadas", "nombre"])
@@ -47,10 +48,12 @@ def reservations(procesos: DataFrame) -> DataFrame:
         F.coalesce("usuario_separacion", "usuario", "asesor").cast("string").alias("usuario_separacion"),
         F.col("estado").cast("string").alias("estado"),
         F.col("tipo_financiamiento").cast("string").alias("tipo_financiamiento"),
-        F.col("codigo_unidades_asignadas").cast("string").alias("adicionales_sep_raw"))
+        F.col("codigo_unidades_asignadas").cast("string").alias("adicionales_sep_raw"),
+        F.col(order_col).alias("__ord"))
 
 
 def clients(clientes: DataFrame, order_col: str = "orden_fila") -> DataFrame:
+    clientes, order_col = order_of(clientes, order_col)
     c = ensure_columns(clientes, ["documento", "nombres", "apellidos", "cliente", "medio_captacion", "celulares",
                                   "email"])
     full = ustrip(F.concat(F.coalesce("nombres", F.lit("")), F.lit(" "), F.coalesce("apellidos", F.lit(""))))
@@ -60,18 +63,19 @@ def clients(clientes: DataFrame, order_col: str = "orden_fila") -> DataFrame:
                    F.col("medio_captacion").cast("string").alias("medio_captacion"),
                    F.col("celulares").cast("string").alias("celulares"),
                    F.col("email").cast("string").alias("email"),
-                   F.col(order_col if order_col in c.columns else "documento").alias("__ord"))
+                   F.col(order_col).alias("__ord"))
     return keep_first(out, ["documento_cliente"], "__ord").drop("__ord")
 
 
 def units(unidades: DataFrame, order_col: str = "orden_fila") -> DataFrame:
+    unidades, order_col = order_of(unidades, order_col)
     u = ensure_columns(unidades, ["codigo", "nombre", "tipo_unidad", "precio_venta"])
     out = u.select(F.col("codigo").cast("string").alias("codigo_item"),
                    F.col("nombre").cast("string").alias("item_nombre"),
                    F.col("tipo_unidad").cast("string").alias("tipo_unidad"),
                    to_number("precio_venta").alias("precio_venta"),
                    norm_text("tipo_unidad").alias("tipo_unidad_norm"),
-                   F.col(order_col if order_col in u.columns else "codigo").alias("__ord"))
+                   F.col(order_col).alias("__ord"))
     return keep_first(out, ["codigo_item"], "__ord").drop("__ord")
 
 
@@ -82,7 +86,7 @@ def items(sources: dict[str, DataFrame]) -> DataFrame:
               "tipo_financiamiento"]
     codes = explode_items(base, "codigo_principal",
                           [("adicionales_sep_raw", ADD_RESERVATION), ("adicionales_ven_raw", ADD_SALE)],
-                          common, separators=",")
+                          common, separators=",", order="__ord")
     out = codes.join(units(sources["unidades"]), on="codigo_item", how="inner")
     return out.withColumn("categoria", receivable_category(F.col("tipo_unidad_norm")))
 

@@ -16,7 +16,7 @@ from tejado.functions.numbers import to_number
 from tejado.functions.rules import operation_status, unit_number, unit_type_sales
 from tejado.operators.arrays import ADD_RESERVATION, ADD_SALE, explode_items
 from tejado.operators.columns import CalculatedColumns, ensure_columns, select_columns
-from tejado.operators.dedup import keep_first, keep_last
+from tejado.operators.dedup import keep_first, keep_last, order_of
 from tejado.operators.filters import active_if_any, project_filter, stage_filter
 from tejado.plans.stock import silver_clients, silver_coowners, silver_projects, silver_sales
 
@@ -42,6 +42,7 @@ HEADERS = {
 
 
 def reservations(procesos: DataFrame, order_col: str = "id_proceso") -> DataFrame:
+    procesos, order_col = order_of(procesos, order_col)
     p = ensure_columns(procesos, ["fecha_inicio", "codigo_proforma", "documento_cliente", "codigo_unidad",
                                   "codigo_proyecto", "usuario_separacion", "usuario", "asesor", "estado",
                                   "tipo_financiamiento", "codigo_unidades_asignadas", "nombre"])
@@ -55,11 +56,12 @@ def reservations(procesos: DataFrame, order_col: str = "id_proceso") -> DataFram
         F.coalesce("usuario_separacion", "usuario", "asesor").cast("string").alias("usuario_separacion"),
         F.col("tipo_financiamiento").cast("string").alias("tipo_financiamiento"),
         F.col("codigo_unidades_asignadas").cast("string").alias("adicionales_sep_raw"),
-        F.col(order_col if order_col in p.columns else "codigo_proforma").alias("__ord"))
+        F.col(order_col).alias("__ord"))
     return keep_last(out, ["codigo_proforma"], "__ord").drop("__ord")
 
 
 def units(unidades: DataFrame, order_col: str = "orden_fila") -> DataFrame:
+    unidades, order_col = order_of(unidades, order_col)
     u = ensure_columns(unidades, ["codigo", "nombre", "tipo_unidad", "precio_venta", "precio_base_proforma"])
     out = u.select(F.col("codigo").cast("string").alias("codigo_item"),
                    F.col("nombre").cast("string").alias("item_nombre"),
@@ -68,7 +70,7 @@ def units(unidades: DataFrame, order_col: str = "orden_fila") -> DataFrame:
                    to_number("precio_base_proforma").alias("precio_lista_al_comprar"),
                    to_number("precio_venta").alias("precio_venta"),
                    unit_type_sales("tipo_unidad").alias("tipo_unidad"),
-                   F.col(order_col if order_col in u.columns else "codigo").alias("__ord"))
+                   F.col(order_col).alias("__ord"))
     return keep_first(out, ["codigo_item"], "__ord").drop("__ord")
 
 
@@ -84,9 +86,10 @@ def coowners_from_columns(procesos: DataFrame, order_col: str = "id_proceso", sl
     (PRJ-05), documents normalised (SC-05), then first non-null per slot and proforma."""
     from tejado.operators.aggregates import first_non_null
     from tejado.operators.columns import pick_first_existing
+    procesos, order_col = order_of(procesos, order_col)
     p = ensure_columns(procesos, ["codigo_proforma"])
     cols = [F.col("codigo_proforma").cast("string").alias("codigo_proforma"),
-            F.col(order_col if order_col in p.columns else "codigo_proforma").alias("__ord")]
+            F.col(order_col).alias("__ord")]
     for i in range(1, slots + 1):
         name = pick_first_existing(p, [t.format(i=i) for t in COOWNER_NAME_PATTERNS])
         doc = pick_first_existing(p, [t.format(i=i) for t in COOWNER_DOC_PATTERNS])

@@ -20,7 +20,7 @@ from tejado.functions.contacts import client_name
 from tejado.operators.aggregates import first_non_null
 from tejado.operators.arrays import ADD_RESERVATION, ADD_SALE, distinct_docs, explode_items
 from tejado.operators.columns import clean_missing_markers, ensure_columns, first_existing
-from tejado.operators.dedup import keep_first, keep_last
+from tejado.operators.dedup import keep_first, keep_last, order_of
 from tejado.operators.filters import active_if_any, stage_filter
 from tejado.operators.joins import left_join_nonnull
 
@@ -58,14 +58,11 @@ STOCK_HEADERS = {
 }
 
 
-def _order(df: DataFrame, order_col: str, fallback: str) -> str:
-    return order_col if order_col in df.columns else fallback
-
-
 def silver_units(unidades: DataFrame, order_col: str = "orden_fila") -> DataFrame:
     """Unit master: aliases coalesced per row, type label, prices parsed; first row per code."""
     tipo_col = first_existing(unidades, ["tipo_de_unidad", "tipo_unidad"])
     estado_col = first_existing(unidades, ["estado_comercial", "estado"])
+    unidades, order_col = order_of(unidades, order_col)
     u = ensure_columns(unidades, ["codigo", "nombre", "codigo_proyecto", "proyecto", "torre"])
     purchase = coalesce_numbers(u, PURCHASE_LIST_PRICE)
     tipo = F.col(tipo_col).cast("string") if tipo_col else F.lit(None).cast("string")
@@ -84,30 +81,34 @@ def silver_units(unidades: DataFrame, order_col: str = "orden_fila") -> DataFram
         F.coalesce(coalesce_numbers(u, CURRENT_LIST_PRICE), purchase).alias("precio_de_lista_actual"),
         coalesce_percents(u, DISCOUNT_PCT).alias("descuento_actual_raw"),
         coalesce_numbers(u, DISCOUNT_AMOUNT).alias("monto_actual_dscto_raw"),
-        F.col(_order(u, order_col, "codigo")).alias("__ord"),
+        F.col(order_col).alias("__ord"),
     )
     return keep_first(clean_missing_markers(out), ["codigo"], "__ord").drop("__ord")
 
 
-def silver_projects(proyectos: DataFrame) -> DataFrame:
+def silver_projects(proyectos: DataFrame, order_col: str = "orden_fila") -> DataFrame:
+    """Projects: the first row per code, in file order."""
+    proyectos, order_col = order_of(proyectos, order_col)
     p = ensure_columns(proyectos, ["codigo", "nombre"])
     out = p.select(F.col("codigo").cast("string").alias("codigo_proyecto"),
                    F.col("nombre").cast("string").alias("proyecto"),
-                   norm_text(F.col("nombre")).alias("proyecto_norm"))
-    return keep_first(out, ["codigo_proyecto"], "proyecto")
+                   norm_text(F.col("nombre")).alias("proyecto_norm"), F.col(order_col).alias("__ord"))
+    return keep_first(out, ["codigo_proyecto"], "__ord").drop("__ord")
 
 
 def silver_clients(clientes: DataFrame, order_col: str = "orden_fila") -> DataFrame:
+    clientes, order_col = order_of(clientes, order_col)
     c = ensure_columns(clientes, ["documento", "nombres", "apellidos", "cliente"])
     out = c.select(F.col("documento").cast("string").alias("documento_cliente"),
                    doc_key(F.col("documento")).alias("dni_comprador"),
                    client_name(F.col("cliente"), F.col("nombres"), F.col("apellidos")).alias("comprador"),
-                   F.col(_order(c, order_col, "documento")).alias("__ord"))
+                   F.col(order_col).alias("__ord"))
     return keep_first(out, ["documento_cliente"], "__ord").drop("__ord")
 
 
 def silver_reservations(procesos: DataFrame, order_col: str = "id_proceso") -> DataFrame:
     """Reservations (active only if any is active), last row per proforma."""
+    procesos, order_col = order_of(procesos, order_col)
     p = ensure_columns(procesos, ["fecha_inicio", "codigo_proforma", "documento_cliente", "codigo_unidad",
                                   "codigo_proyecto", "estado", "tipo_financiamiento", "codigo_unidades_asignadas",
                                   "nombre"])
@@ -119,26 +120,28 @@ def silver_reservations(procesos: DataFrame, order_col: str = "id_proceso") -> D
                      F.col("codigo_proyecto").cast("string").alias("codigo_proyecto"),
                      F.col("tipo_financiamiento").cast("string").alias("tipo_financiamiento"),
                      F.col("codigo_unidades_asignadas").cast("string").alias("adicionales_sep_raw"),
-                     F.col(_order(p, order_col, "codigo_proforma")).alias("__ord"))
+                     F.col(order_col).alias("__ord"))
     return keep_last(out, ["codigo_proforma"], "__ord").drop("__ord")
 
 
 def silver_sales(procesos: DataFrame, order_col: str = "id_proceso") -> DataFrame:
     """AG-01: per proforma, last signing date and first non-null packed list (partial aggregation)."""
+    procesos, order_col = order_of(procesos, order_col)
     p = ensure_columns(procesos, ["fecha_fin", "codigo_proforma", "codigo_unidades_asignadas", "nombre"])
     ven = stage_filter(p, "VENTA")
     return (ven.groupBy(F.col("codigo_proforma").cast("string").alias("codigo_proforma"))
                .agg(F.max(as_timestamp(p, "fecha_fin")).alias("fecha_minuta"),
                     first_non_null(F.col("codigo_unidades_asignadas").cast("string"),
-                                   F.col(_order(p, order_col, "codigo_proforma"))).alias("adicionales_ven_raw")))
+                                   F.col(order_col)).alias("adicionales_ven_raw")))
 
 
 def client_names_by_doc(clientes: DataFrame, order_col: str = "orden_fila") -> DataFrame:
     """JN-08 dictionary as a table: normalised document -> client name, first row per document."""
+    clientes, order_col = order_of(clientes, order_col)
     c = ensure_columns(clientes, ["documento", "nombres", "apellidos", "cliente"])
     t = c.select(doc_key(F.col("documento")).alias("doc_key"),
                  client_name(F.col("cliente"), F.col("nombres"), F.col("apellidos")).alias("nombre_doc"),
-                 F.col(_order(c, order_col, "documento")).alias("__ord")).where(F.col("doc_key").isNotNull())
+                 F.col(order_col).alias("__ord")).where(F.col("doc_key").isNotNull())
     return keep_first(t, ["doc_key"], "__ord").drop("__ord")
 
 
@@ -146,11 +149,12 @@ def silver_coowners(procesos: DataFrame, clientes: DataFrame, order_col: str = "
                     slots: int = 3) -> DataFrame:
     """AR-02 + AG-08: up to three co-owner documents per process row (co-owners column, then spouse,
     distinct, in list order), names looked up, then merged per proforma slot by slot."""
+    procesos, order_col = order_of(procesos, order_col)
     p = ensure_columns(procesos, ["codigo_proforma", "documento_copropietarios", "documento_conyuge"])
     docs = distinct_docs([F.col("documento_copropietarios"), F.col("documento_conyuge")], doc_key)
     rows = p.where(F.col("codigo_proforma").isNotNull()).select(
         F.col("codigo_proforma").cast("string").alias("codigo_proforma"),
-        F.col(_order(p, order_col, "codigo_proforma")).alias("__ord"),
+        F.col(order_col).alias("__ord"),
         F.posexplode_outer(F.slice(docs, 1, slots)).alias("__pos", "doc_key"))
     named = left_join_nonnull(rows, client_names_by_doc(clientes), "doc_key", ["codigo_proforma", "__ord", "__pos"])
     aggs = []

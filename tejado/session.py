@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every entry point wants; the cluster may override any of them.
 DEFAULT_CONF = {
@@ -55,11 +55,13 @@ def get_session(master: str | None = None, app: str = "tejado", shuffle_partitio
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local runs and tests) do we make our own
-    folder under the system temp dir.
+    Only where the setting is absent and the master is local (tests, bench) do we make our own folder under the
+    system temp dir; on a cluster each machine would have its own, so there the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tejado-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -71,13 +73,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder path inside the shared checkpoint folder (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder; survives executor loss (no localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def local_cores() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

@@ -82,8 +82,6 @@ def test_group_size_and_slots(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, "e")], "k int, v string")
     got = sorted(rows(dd.group_size(df, ["k"]), "v", "group_size"))
     assert got == [("a", 2), ("b", 2), ("c", 2), ("d", 2), ("e", 1)]
-    arr = spark.createDataFrame([(["1", "2", "2", "3", "4"],), (["1"],)], "a array<string>")
-    assert rows(arr.select(*dd.ordered_slots(F.col("a"), 3))) == [("1", "2", "3"), ("1", None, None)]
 
 
 def test_unique_labels(spark):
@@ -184,3 +182,39 @@ def test_unmatchable_keys_spread_and_never_match(spark):
     out = jn.left_join_nonnull(left, right, "k", ["i"])
     assert out.count() == 300
     assert out.where("v IS NOT NULL").count() == 100 and out.where("v = 2").count() == 0
+
+
+def test_unique_labels_skip_taken_ones(spark):
+    names = ["Proyecto Uno", "Proyecto Dos", "Proyec_2", "Proyecto Tres", "Otro", None, "  "]
+    df = spark.createDataFrame(list(enumerate(names)), "i int, n string")
+    got = [r[1] for r in sorted(rows(dd.unique_labels(df, "n", "lab", max_len=8, default="SIN", order_by=["i"]), "i", "lab"))]
+    used, expected = set(), []
+    for name in names:  # the rule, one name after the other
+        base = " ".join((name or "SIN").split())[:8] or "SIN"
+        label, n = base, 2
+        while label in used:
+            label, n = base[:8 - len(f"_{n}")] + f"_{n}", n + 1
+        used.add(label)
+        expected.append(label)
+    assert got == expected and len(set(got)) == len(got)
+
+
+def test_explode_items_one_row_per_key_and_item(spark):
+    base = spark.createDataFrame([("P", "U1", "U2", "bob", 2), ("P", "U1", "U2", "ann", 1), ("P", "U2", None, "cid", 3)],
+                                 "codigo_proforma string, main string, sep string, who string, o int")
+    out = ar.explode_items(base, "main", [("sep", ar.ADD_RESERVATION)], ["who"], order="o")
+    assert sorted(rows(out, "codigo_item", "origen_item", "who")) == [("U1", ar.PRINCIPAL, "ann"), ("U2", ar.ADD_RESERVATION, "ann")]
+
+
+def test_row_order_is_never_guessed(spark, tmp_path):
+    rows_ = [("a", 1), ("b", 2), ("a", 3)]
+    spark.createDataFrame(rows_, "k string, v int").coalesce(1).write.parquet(str(tmp_path / "t"))
+    df, order = dd.order_of(spark.read.parquet(str(tmp_path / "t")), "orden_fila")
+    assert sorted(rows(dd.keep_last(df, ["k"], order), "k", "v")) == [("a", 3), ("b", 2)]
+    with pytest.raises(ValueError, match="row order is unknown"):
+        dd.order_of(spark.createDataFrame(rows_, "k string, v int").groupBy("k").count(), "orden_fila")
+
+
+def test_display_headers_differ_without_case(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert co.rename_for_display(df, {"a": "Estado", "b": "estado", "c": "ESTADO"}).columns == ["Estado", "estado (2)", "ESTADO (3)"]

@@ -84,3 +84,15 @@ def test_unit_code_from_type(spark):
     df = spark.createDataFrame([(" estacionamiento ", "12.0"), ("Departamento", "1201")], "t string, n string")
     got = [r[0] for r in df.select(keys.unit_code_from_type(F.col("t"), F.col("n"))).collect()]
     assert got == ["FX-E12", "FX-1201"]
+
+
+def test_folds_cover_all_code_points(spark):
+    import unicodedata
+    values = ["\U0001d400bc", "stra\u00dfe", "\u03a3\u03c2\u03c3", "\ufb01n", "\u00bd", "\U0001f1e6", "\u0130", "\ud55c", "a\u0301", "\U00010400"]
+    ascii_only = [unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode() for v in values]
+    assert one_col(spark, values, text.fold_ascii) == ascii_only
+    assert one_col(spark, values, text.norm_compare) == [text.norm_compare_literal(v) for v in values]
+
+
+def test_label_replaces_a_run_once(spark):
+    assert one_col(spark, ["a/:*b", "a[b]", "x" * 90], text.safe_label) == ["a_b", "a[b]", "x" * 80]

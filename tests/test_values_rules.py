@@ -101,3 +101,18 @@ def test_discount_waterfall(spark):
     pct = rules.discount_pct(F.col("p"), F.col("a"), F.col("l"), F.col("t"))
     got = [(r[0], r[1]) for r in df.select(pct.alias("x"), rules.discount_amount(F.col("a"), F.col("l"), pct)).collect()]
     assert got == [(0.05, 5.0), (0.08, 8.0), (0.0, 0.0), (None, None), (0.08, 5.0)]
+
+
+def test_date_spellings(spark):
+    import datetime as dt
+    from tejado.functions.dates import parse_timestamp
+    good = {
+        "1/5/2024": dt.datetime(2024, 1, 5), "1-5-2024": dt.datetime(2024, 5, 1), "2024-05-01 10:11": dt.datetime(2024, 5, 1, 10, 11),
+        "2024-05-01 10:11:12.123": dt.datetime(2024, 5, 1, 10, 11, 12, 123000), "2024-05-01T10:11:12Z": dt.datetime(2024, 5, 1, 10, 11, 12),
+        "2024-05-01T10:11:12.123456": dt.datetime(2024, 5, 1, 10, 11, 12, 123456), "20240501": dt.datetime(2024, 5, 1),
+        "01/05/2024 10:11": dt.datetime(2024, 1, 5, 10, 11), "2024/5/1": dt.datetime(2024, 5, 1), " 2024-05-01 ": dt.datetime(2024, 5, 1),
+        "2024-05-01T10:11:12+05:00": dt.datetime(2024, 5, 1, 10, 11, 12),
+    }
+    assert one_col(spark, list(good), parse_timestamp) == list(good.values())
+    assert one_col(spark, ["1/5/2024", "31/12/2024"], lambda c: parse_timestamp(c, dayfirst=True)) == [dt.datetime(2024, 5, 1), dt.datetime(2024, 12, 31)]
+    assert one_col(spark, ["", None, "x", "2024-13-01", "2024-02-30", "31/12/2024", "12345678901", "2024-05-01 25:00"], parse_timestamp) == [None] * 8
