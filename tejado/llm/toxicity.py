@@ -8,7 +8,7 @@ The inverse root of the landmarks' own kernel matrix turns kernel values into Ny
 them scores every word, and every run of letters that stand spaced out. It is trained on one witness for each labelled text,
 the word nearest to any landmark. A text's probability is a logistic curve over its most toxic word's margin, over how
 many words look toxic, and over how many words it has. Words are screened by the landmarks' letter pairs (next to each other in the landmark,
-up to three apart in the word) before their kernel is computed; what the screen drops counts as 0.
+up to three apart in the word) before their kernel is computed; what the screen drops, and very small values, count as 0.
 """
 
 from __future__ import annotations
@@ -26,9 +26,10 @@ from pyspark.sql import types as T
 
 from tejado.llm.common import SPACE, bounded_sample, fresh, written
 
-DECAY, POWER, SIZES = 0.6, 3, (2, 3)
+DECAY, POWER, SIZES = 0.8, 4, (2, 3)
 PAIRS = 8  # letter pairs per landmark in the screen: one byte
-NEED = 0.6  # share of them that a word must hold
+NEED = 0.75  # share of them that a word must hold
+LEAST = 0.05  # smaller kernel values count as 0
 STEMS = (4, 5, 6, 7, 8)  # lengths of word beginnings that may be landmarks
 CHUNK = 3_000_000  # characters of text looked at together
 PIECE = 32  # longer words are read in pieces of so many letters, each half over the next
@@ -144,9 +145,11 @@ class Landmarks:
             x, k, word = (np.concatenate(part) for part in zip(*found))
             if not len(x):
                 continue
-            for w, mark, v in zip(word, k, self._kernel(x, k)):
+            value = self._kernel(x, k)
+            near = value >= LEAST
+            for w, mark, v in zip(word[near].tolist(), k[near].tolist(), value[near].tolist()):
                 of = out.setdefault(words[w], {})
-                of[int(mark)] = max(of.get(int(mark), 0.0), float(v))
+                of[mark] = max(of.get(mark, 0.0), v)
         return out
 
     def matrix(self) -> np.ndarray:
