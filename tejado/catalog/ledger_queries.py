@@ -10,12 +10,13 @@ from tejado.plans.adapters import view
 
 TARGETS = ["tipos_unidad_efac", "u1_tipo_efac", "u1_n_efac"]
 CARRIED = ["efac_comprobante_raw", "efac_source_file", "efac_source_sheet", "efac_group", "efac_proyecto",
-           "efac_concepto"]
-LEDGER_COLS = ["nro_comprobante", "source_file", "l_orderkey", "l_linenumber", "l_partkey", "monto"]
+           "efac_estado_proyecto", "efac_descripcion_xml", "efac_concepto"]
+LEDGER_COLS = ["nro_comprobante", "source_file", "tablon_file", "l_orderkey", "l_linenumber", "l_partkey", "monto"]
 
 MROWS = f"""
 SELECT id_comprobante AS efac_comprobante_raw, {inv_key('id_comprobante')} AS ex, {inv_flex('id_comprobante')} AS fx,
   tipos_unidad AS tipos_unidad_efac, u1_tipo AS u1_tipo_efac, u1_n AS u1_n_efac, proyecto AS efac_proyecto,
+  estado_proyecto AS efac_estado_proyecto, descripcion_xml AS efac_descripcion_xml,
   concepto AS efac_concepto, master_file AS efac_source_file, hoja AS efac_source_sheet,
   coalesce({group_of('master_file')}, 'UNKNOWN') AS efac_group, orden_fila
 FROM master WHERE {inv_key('id_comprobante')} <> ''"""
@@ -101,14 +102,14 @@ def job09_by_company(spark, sf):
 
 
 @register("ag16_company_audit", with_ctes(["ledger", "master"], CTE_COMPANY) + """
-SELECT 'ledger' AS tablon_file, audit_company AS source_company, CAST(count(*) AS BIGINT) AS rows,
+SELECT tablon_file, audit_company AS source_company, CAST(count(*) AS BIGINT) AS rows,
   CAST(count(efac_match_method) AS BIGINT) AS matched_rows,
   CAST(count(*) - count(efac_match_method) AS BIGINT) AS unmatched_rows,
   round(count(efac_match_method) / count(*), 6) AS match_rate,
   CASE audit_company WHEN 'URSA' THEN 'MAESTRO_COMPROBANTES_URSA.xlsx'
     WHEN '10_DE_ABRIL' THEN 'MAESTRO_COMPROBANTES_10_DE_ABRIL.xlsx' WHEN 'LYNX' THEN 'MAESTRO_COMPROBANTES_LYNX.xlsx'
     WHEN 'CYGNUS' THEN 'MAESTRO_COMPROBANTES_CYGNUS.xlsx' END AS expected_master
-FROM by_company GROUP BY audit_company""")
+FROM by_company GROUP BY tablon_file, audit_company""")
 def ag16_company_audit(spark, sf):
     """AG-16 (company-aware audit)."""
     enriched = lg.enrich_by_company(view(spark, sf, "ledger"), view(spark, sf, "master"), keep_company=True)

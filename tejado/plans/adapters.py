@@ -203,6 +203,7 @@ SELECT
   CASE l_suppkey % 5 WHEN 0 THEN 'VENTA URSA 2026.xlsx' WHEN 1 THEN 'tablon_10_DE_ABRIL.parquet'
                WHEN 2 THEN 'Tablon LYNX marzo.csv' WHEN 3 THEN 'data/tablones/tablon_cygnus_2026.parquet'
                ELSE NULL END AS source_file,
+  'tablon_' || {d.s(ln + ' % 3')} || '.parquet' AS tablon_file,
   l_orderkey, l_linenumber, l_partkey, l_extendedprice AS monto
 FROM {d.t('lineitem')}"""
 
@@ -221,6 +222,8 @@ SELECT
   CASE WHEN {k} % 4 = 0 OR dup = 1 THEN NULL ELSE {d.s('100 + ' + k + ' % 900')} END AS u1_n,
   'Proyecto Brand#' || {d.s('1 + o_custkey % 25')} AS proyecto,
   o_orderpriority AS concepto,
+  CASE WHEN {k} % 5 = 0 THEN ' ' ELSE 'Estado ' || o_orderstatus END AS estado_proyecto,
+  CASE WHEN dup = 1 THEN NULL ELSE 'Venta de ' || {d.s(k)} END AS descripcion_xml,
   CASE {k} % 4 WHEN 0 THEN 'URSA' WHEN 1 THEN '10_DE_ABRIL' WHEN 2 THEN 'LYNX' ELSE 'CYGNUS' END AS company,
   'MAESTRO_COMPROBANTES_' || CASE {k} % 4 WHEN 0 THEN 'URSA' WHEN 1 THEN '10_DE_ABRIL' WHEN 2 THEN 'LYNX'
        ELSE 'CYGNUS' END || '.xlsx' AS master_file,

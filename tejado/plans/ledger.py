@@ -13,16 +13,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tejado.functions.keys import (COMPANY_RULES, GROUP_ALIASES, with_canonical_key,
-                                   with_company, with_group, with_invoice_keys)
+from tejado.functions.keys import (COMPANY_RULES, company_from_name, with_canonical_key, with_company, with_group,
+                                   with_invoice_keys)
 from tejado.functions.rules import any_not_null
-from tejado.operators.aggregates import concat_unique_first_seen, first_non_blank
-from tejado.operators.columns import drop_prior, place_after
+from tejado.functions.text import ustrip
+from tejado.operators.columns import drop_prior, find_column, place_after
 from tejado.operators.joins import spread_unmatchable
 
+# Names an invoice-number column may have.
+INVOICE_COLUMNS = ["N° Comprobante", "Nº Comprobante", "N Comprobante", "nro_comprobante", "numero_comprobante",
+                   "comprobante", "COMPROBANTE", "ID Comprobante", "id_comprobante"]
 TARGETS = ["tipos_unidad_efac", "u1_tipo_efac", "u1_n_efac"]
-EXTRAS = ["efac_proyecto", "efac_concepto"]
-CARRIED = ["efac_comprobante_raw", "efac_source_file", "efac_source_sheet", "efac_group"] + EXTRAS
+# Master columns carried along (names by rule PRJ-06), and what they are called after the match.
+EXTRAS = {"efac_proyecto": "Proyecto", "efac_estado_proyecto": "Estado Proyecto",
+          "efac_descripcion_xml": "Descripcion XML", "efac_concepto": "Concepto"}
+TARGET_SOURCES = {"tipos_unidad_efac": "Tipos Unidad", "u1_tipo_efac": "U1 Tipo", "u1_n_efac": "U1 N"}
+CARRIED = ["efac_comprobante_raw", "efac_source_file", "efac_source_sheet", "efac_group", *EXTRAS]
 AUDIT = ["efac_match_method", "efac_match_count", "efac_source_file", "efac_source_sheet"]
 
 # Match-method labels.
@@ -31,14 +37,29 @@ FLEX = "FLEX_SERIE_NUMERO"
 SOURCE_AWARE = "SOURCE_FILE_PLUS_COMPROBANTE"
 
 
-def master_rows(master: DataFrame, key_col: str = "id_comprobante", file_col: str = "master_file",
+def invoice_column(df: DataFrame, given: str | None) -> str:
+    """The invoice-number column: the one given, else found by name; raises if there is none."""
+    found = given or find_column(df, INVOICE_COLUMNS)
+    if found is None or found not in df.columns:
+        raise KeyError(f"no invoice column ({given or INVOICE_COLUMNS}); available: {', '.join(df.columns)}")
+    return found
+
+
+def _named(df: DataFrame, sources: dict[str, str]) -> list:
+    """Columns by their rule names, under their new names; absent ones are null."""
+    out = []
+    for new, name in sources.items():
+        found = find_column(df, [name], contains=None)
+        out.append((F.col(f"`{found}`").cast("string") if found else F.lit(None).cast("string")).alias(new))
+    return out
+
+
+def master_rows(master: DataFrame, key_col: str | None = None, file_col: str = "master_file",
                 sheet_col: str = "hoja", order_col: str = "orden_fila") -> DataFrame:
     """Standardised master rows with both keys; rows with a blank exact key dropped (FLT-18)."""
     out = master.select(
-        F.col(key_col).cast("string").alias("efac_comprobante_raw"),
-        F.col("tipos_unidad").alias("tipos_unidad_efac"), F.col("u1_tipo").alias("u1_tipo_efac"),
-        F.col("u1_n").alias("u1_n_efac"), F.col("proyecto").alias("efac_proyecto"),
-        F.col("concepto").alias("efac_concepto"), F.col(file_col).alias("efac_source_file"),
+        F.col(f"`{invoice_column(master, key_col)}`").cast("string").alias("efac_comprobante_raw"),
+        *_named(master, TARGET_SOURCES), *_named(master, EXTRAS), F.col(file_col).alias("efac_source_file"),
         F.col(sheet_col).alias("efac_source_sheet"), F.col(order_col).alias("__ord"))
     out = with_invoice_keys(out, "efac_comprobante_raw", "efac_comp_key_exact", "efac_comp_key_flex")
     out = with_group(out, "efac_source_file", "efac_group").withColumn(
@@ -46,36 +67,54 @@ def master_rows(master: DataFrame, key_col: str = "id_comprobante", file_col: st
     return out.where(F.col("efac_comp_key_exact") != "")
 
 
-def _compact(rows: DataFrame, keys: list[str], values: list[str], count_col: str) -> DataFrame:
-    """AG-15 + AG-03: first non-blank value per column and the row count per key."""
-    return rows.groupBy(*keys).agg(*[first_non_blank(c, "__ord").alias(c) for c in values],
-                                   F.count(F.lit(1)).alias(count_col))
+def _compact(rows: DataFrame, keys: list[str], values: list[str], extra: list | None = None) -> DataFrame:
+    """AG-15 + AG-03: per key the first non-blank value of each column, where it stood (``<column>__o``), and the row
+    count ``__n``. Values are carried per key so that coarser keys can be made from these rows (:func:`_merge`)."""
+    aggs = []
+    for c in values:
+        at = F.when(F.col(c).isNotNull() & (ustrip(F.col(c).cast("string")) != ""), F.col("__ord"))
+        aggs += [F.min_by(F.col(c), at).alias(c), F.min(at).alias(f"{c}__o")]
+    return rows.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("__n"), *(extra or []))
+
+
+def _merge(parts: DataFrame, keys: list, values: list[str], extra: list | None = None) -> DataFrame:
+    """The same for coarser keys, from compacted rows."""
+    aggs = []
+    for c in values:
+        aggs += [F.min_by(c, f"{c}__o").alias(c), F.min(f"{c}__o").alias(f"{c}__o")]
+    return parts.groupBy(*keys).agg(*aggs, F.sum("__n").alias("__n"), *(extra or []))
 
 
 def lookups(master: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exact and flexible lookups per group plus the ``ALL`` group, keyed by (``__grp``, key)."""
-    rows = master_rows(master)
-    exact_vals = [c for c in ["efac_comp_key_flex"] + TARGETS + CARRIED if c != "efac_comp_key_flex"]
-    flex_vals = TARGETS + CARRIED
+    """Exact and flexible lookups per group plus the ``ALL`` group, keyed by (``__grp``, key).
 
-    # every master row counts for its own group and for ALL: one scan, one aggregate per key
-    both_groups = rows.withColumn("__grp", F.explode(F.array(F.col("efac_group"), F.lit("ALL"))))
+    The master rows are shuffled once, compacted by group and exact key; the flexible key depends on the exact one, and
+    ``ALL`` on the groups, so the other three are merges of what is left.
+    """
+    values = TARGETS + CARRIED
+    by_exact = _compact(master_rows(master).withColumn("__grp", F.col("efac_group")),
+                        ["__grp", "efac_comp_key_exact"], values, [F.first("efac_comp_key_flex").alias("efac_comp_key_flex")])
+    by_flex = _merge(by_exact, ["__grp", "efac_comp_key_flex"], values)
 
-    def both(key, vals, count_col):
-        return _compact(both_groups, ["__grp", key], vals, count_col)
+    def with_all(parts: DataFrame, key: str, count_col: str) -> DataFrame:
+        everything = _merge(parts, [F.lit("ALL").alias("__grp"), key], values)
+        cols = ["__grp", key, *values, F.col("__n").alias(count_col)]
+        return parts.select(*cols).unionByName(everything.select(*cols))
 
-    return (both("efac_comp_key_exact", exact_vals, "efac_match_count_exact"),
-            both("efac_comp_key_flex", flex_vals, "efac_match_count_flex"))
+    return (with_all(by_exact, "efac_comp_key_exact", "efac_match_count_exact"),
+            with_all(by_flex, "efac_comp_key_flex", "efac_match_count_flex"))
 
 
-def enrich_two_tier(ledger: DataFrame, master: DataFrame, comp_col: str = "nro_comprobante",
+def enrich_two_tier(ledger: DataFrame, master: DataFrame, comp_col: str | None = None,
                     file_col: str = "source_file", force_all: bool = False) -> DataFrame:
     """JOB-08 / JN-09 / JN-11: exact key first; rows still without a method try the flexible key.
 
+    Targets and audit columns come directly after the invoice column (PRJ-12), which is found by name if not given.
     The lookup group is the ledger file's company group, or ``ALL`` when forced,
     unknown, or when the masters hold no file of that group.
     """
     exact, flex = lookups(master)
+    comp_col = invoice_column(ledger, comp_col)
     led = drop_prior(ledger, TARGETS + CARRIED + ["efac_match_method", "efac_match_count"])
     salt = list(led.columns)  # the ledger's own columns give each row a stable hash
     if force_all:
@@ -104,7 +143,7 @@ def enrich_two_tier(ledger: DataFrame, master: DataFrame, comp_col: str = "nro_c
     m = m.withColumn("efac_match_count", F.coalesce("efac_match_count", "efac_match_count_flex_flex"))
     m = m.drop(*[c for c in m.columns if c.endswith("_flex") or c.startswith("__")],
                "efac_comp_key_exact", "efac_match_count_exact", "__known")
-    return place_after(m, comp_col, TARGETS, AUDIT)
+    return place_after(m, comp_col, TARGETS + AUDIT)
 
 
 def match_summary(enriched: DataFrame, by: list[str]) -> DataFrame:
@@ -117,46 +156,55 @@ def match_summary(enriched: DataFrame, by: list[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- company-aware variant
 
-def company_masters(master: DataFrame, company_col: str = "company", key_col: str = "id_comprobante",
+META = ["source_company", "efac_expected_master", "efac_source_file", "efac_source_sheet", "efac_match_count",
+        "efac_match_method"]
+
+
+def company_masters(master: DataFrame, company_col: str = "company", key_col: str | None = None,
                     file_col: str = "master_file", sheet_col: str = "hoja", order_col: str = "orden_fila") -> DataFrame:
-    """JOB-09 masters: canonical key per company, compacted (count, first non-empty values,
-    sheets in first-seen order)."""
+    """JOB-09 masters: canonical key per company, compacted (count, first non-empty values, sheets in first-seen order).
+
+    First by company, key and sheet, then by company and key: one scan, and a key's list holds a row per sheet only.
+    """
     rows = master.select(
-        F.col(company_col).alias("source_company"), F.col(file_col).alias("efac_expected_master"),
-        F.col(file_col).alias("efac_source_file"), F.col(sheet_col).alias("efac_source_sheet"),
-        F.col(key_col).alias("__raw"),
-        F.col("tipos_unidad").alias("tipos_unidad_efac"), F.col("u1_tipo").alias("u1_tipo_efac"),
-        F.col("u1_n").alias("u1_n_efac"), F.col(order_col).alias("__ord"),
-    )
+        F.col(company_col).alias("source_company"), F.col(company_col).alias("__company"),
+        F.col(file_col).alias("efac_expected_master"), F.col(file_col).alias("efac_source_file"),
+        F.nullif(ustrip(F.col(sheet_col).cast("string")), F.lit("")).alias("__sheet"),
+        F.col(f"`{invoice_column(master, key_col)}`").alias("__raw"), *_named(master, TARGET_SOURCES), F.col(order_col).alias("__ord"))
     rows = with_canonical_key(rows, "__raw").drop("__raw").where(F.col("efac_comprobante_key") != "")
+    values = ["source_company", "efac_expected_master", "efac_source_file", *TARGETS]
     keys = ["__company", "efac_comprobante_key"]
-    rows = rows.withColumn("__company", F.col("source_company"))
-    vals = ["source_company", "efac_expected_master", "efac_source_file"] + TARGETS
-    agg = rows.groupBy(*keys).agg(*[first_non_blank(c, "__ord").alias(c) for c in vals],
-                                  F.count(F.lit(1)).alias("efac_match_count"))
-    sheets = concat_unique_first_seen(rows, keys, "efac_source_sheet", "__ord", "efac_source_sheet")
-    return agg.join(sheets, on=keys, how="left")
+    by_sheet = _compact(rows, [*keys, "__sheet"], values, [F.min("__ord").alias("__first")])
+    sheets = F.array_sort(F.collect_list(F.when(F.col("__sheet").isNotNull(), F.struct("__first", "__sheet"))))
+    out = _merge(by_sheet, keys, values, [F.nullif(F.array_join(sheets["__sheet"], " | "), F.lit("")).alias("efac_source_sheet")])
+    return out.select(*keys, *values, F.col("__n").alias("efac_match_count"), "efac_source_sheet")
 
 
 def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro_comprobante",
-                      file_col: str = "source_file", keep_company: bool = False) -> DataFrame:
-    """JOB-09 / JN-10: one left join on (company from the file name, canonical key).
-
-    Rows whose company is unknown, or has no master, stay unmatched with empty
-    audit columns. Row order is not reordered here; callers sort at the sink (WD-06).
+                      file_col: str = "source_file", table_name: str | None = None, rules=None,
+                      keep_company: bool = False) -> DataFrame:
+    """JOB-09 / JN-10: one left join on (company, canonical key).
+
+    The company comes from the row's source file; a ledger without that column belongs to the company that its own
+    name tells (``table_name``, else its file's name). ``rules``: company rules in place of ``COMPANY_RULES``. Rows whose
+    company is unknown, or has no master, stay unmatched with empty audit columns. New columns come directly after the
+    invoice column. Row order is not kept; callers sort at the sink (WD-06).
     """
-    meta = ["source_company", "efac_expected_master", "efac_source_file", "efac_source_sheet", "efac_match_count",
-            "efac_match_method"]
-    led = drop_prior(ledger, TARGETS + meta + ["efac_comprobante_key", "__company_to_match"])
+    rules = rules or COMPANY_RULES
+    led = drop_prior(ledger, TARGETS + META + ["efac_comprobante_key", "__company_to_match"])
+    comp_col = invoice_column(led, comp_col)
     salt = list(led.columns)
+    if file_col in led.columns:
+        led = with_company(led, file_col, "__company", rules)
+    else:
+        name = F.lit(table_name) if table_name else F.col("_metadata.file_name")
+        led = led.withColumn("__company", company_from_name(name, rules))
     led = with_canonical_key(led, comp_col, "efac_comprobante_key")
-    led = with_company(led, file_col, "__company")
     masters = company_masters(master)
-    # companies holding a master, restricted to the fixed rule list (a ledger company always comes
-    # from it), so the broadcast side has at most len(COMPANY_RULES) rows
-    rule_companies = [c for c, _s, _m, _t in COMPANY_RULES]
+    # companies holding a master, restricted to the rule list (a ledger company always comes from it), so the broadcast
+    # side has at most len(rules) rows
     have = F.broadcast(masters.select(F.col("__company").alias("__have")).distinct()
-                       .where(F.col("__have").isin(rule_companies)))
+                       .where(F.col("__have").isin([c for c, _s, _m, _t in rules])))
     led = led.join(have, on=led["__company"] == have["__have"], how="left")
     # blank keys and unknown companies never match: salted so they spread over the shuffle
     unmatchable = (F.col("efac_comprobante_key") == "") | F.col("__company").isNull()
@@ -164,27 +212,31 @@ def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro
     mk = masters.withColumnRenamed("__company", "__mc").withColumnRenamed("efac_comprobante_key", "__mk")
     out = led.join(mk, on=[led["__company"] == mk["__mc"], led["__jk"] == mk["__mk"]], how="left") \
              .drop("__mc", "__mk", "__jk")
-    expected = F.create_map(*[x for company, _s, mfile, _t in COMPANY_RULES for x in (F.lit(company), F.lit(mfile))])
     known = F.col("__have").isNotNull()
     out = out.withColumn("efac_match_method", F.when(any_not_null(*TARGETS), F.lit(SOURCE_AWARE)))
     out = out.withColumn("source_company", F.when(known, F.coalesce("source_company", "__company")))
     out = out.withColumn("efac_expected_master",
-                         F.when(known, F.coalesce(F.col("efac_expected_master"), F.element_at(expected, F.col("__company")))))
-    out = out.drop("__have")
+                         F.when(known, F.coalesce(F.col("efac_expected_master"), F.element_at(_masters_of(rules), F.col("__company")))))
+    out = place_after(out.drop("__have"), comp_col, [*TARGETS, *META, "efac_comprobante_key"])
     return out if keep_company else out.drop("__company")
 
 
-def company_audit(enriched: DataFrame, tablon: str = "ledger") -> DataFrame:
-    """AG-16 (company-aware): per company (``SIN_COMPANY`` when unknown) rows, matched, rate, expected master.
+def _masters_of(rules):
+    return F.create_map(*[x for company, _s, mfile, _t in rules for x in (F.lit(company), F.lit(mfile))])
 
-    Takes the output of ``enrich_by_company(..., keep_company=True)``.
+
+def company_audit(enriched: DataFrame, table: str | None = "tablon_file", name: str = "ledger", rules=None) -> DataFrame:
+    """AG-16 (company-aware): per table and company (``SIN_COMPANY`` when unknown) rows, matched, rate, expected master.
+
+    Takes the output of ``enrich_by_company(..., keep_company=True)``. ``table``: the column that tells the ledger
+    tables apart; None: all rows are of the table ``name``.
     """
-    company = F.coalesce(F.col("__company"), F.lit("SIN_COMPANY"))
-    expected = F.create_map(*[x for company_, _s, mfile, _t in COMPANY_RULES for x in (F.lit(company_), F.lit(mfile))])
-    out = match_summary(enriched.withColumn("__c", company), ["__c"])
-    return out.select(F.lit(tablon).alias("tablon_file"), F.col("__c").alias("source_company"),
+    tagged = enriched.withColumn("__c", F.coalesce(F.col("__company"), F.lit("SIN_COMPANY"))) \
+                     .withColumn("__t", F.col(table) if table else F.lit(name))
+    out = match_summary(tagged, ["__t", "__c"])
+    return out.select(F.col("__t").alias("tablon_file"), F.col("__c").alias("source_company"),
                       F.col("rows"), F.col("matched").alias("matched_rows"), F.col("unmatched").alias("unmatched_rows"),
-                      "match_rate", F.element_at(expected, F.col("__c")).alias("expected_master"))
+                      "match_rate", F.element_at(_masters_of(rules or COMPANY_RULES), F.col("__c")).alias("expected_master"))
 
 
 def majority_company(ledger: DataFrame, file_col: str = "source_file") -> DataFrame:
@@ -194,6 +246,3 @@ def majority_company(ledger: DataFrame, file_col: str = "source_file") -> DataFr
     # most rows first, then the smaller name
     return counts.agg(F.min_by("company", F.struct((-F.col("n")).alias("a"), F.col("company").alias("b")))
                        .alias("company"), F.max("n").alias("rows"))
-
-
-GROUPS = [g for g, _a in GROUP_ALIASES]

@@ -155,8 +155,8 @@ def test_columns_helpers(spark):
     t = spark.createDataFrame([(None, "v"), (None, "w")], "a string, b string")
     assert co.first_existing(t, ["a", "b", "c"]) == "b" and co.pick_first_existing(t, ["c", "a"]) == "a"
     assert co.select_columns(t, ["b", "zz"], ["a", "b"]).columns == ["b", "zz", "a"]
-    assert co.place_after(spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, n int, m int"), "a", ["n"], ["b"]).columns \
-        == ["a", "n", "m", "b"]
+    assert co.place_after(spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, n int, m int"), "a", ["n", "b"]).columns \
+        == ["a", "n", "b", "m"]
     m = spark.createDataFrame([("None",), ("nan",), ("ok",)], "s string")
     assert rows(co.clean_missing_markers(m)) == [(None,), (None,), ("ok",)]
     assert co.find_column(spark.createDataFrame([(1,)], "`N° Comprobante` int"), ["nro_comprobante"]) == "N° Comprobante"
