@@ -86,10 +86,13 @@ def prj14(spark, sf):
     return co.resolve_suffixed(joined, "codigo_proyecto")
 
 
-@register("prj09_display_headers")
+_SHOWN = {**st.STOCK_HEADERS, "estado_comercial": "Estado comercial (2)"}  # the second header of a name, by the rule
+
+
+@register("prj09_display_headers", with_ctes(STOCK_VIEWS, CTE_STOCK + [("stock", STOCK)])
+          + "SELECT " + ", ".join(f'{c} AS "{h}"' for c, h in _SHOWN.items()) + " FROM stock")
 def prj09(spark, sf):
-    """PRJ-09: the stock mart with its display headers (rows-only: two headers differ only in case,
-    which DuckDB identifiers cannot hold side by side)."""
+    """PRJ-09: the stock mart with its display headers; of two that differ only in case the second gets a number."""
     return co.rename_for_display(st.build_marts(sources(spark, sf))[2], st.STOCK_HEADERS)
 
 
@@ -97,18 +100,23 @@ def prj09(spark, sf):
 SELECT proyecto, estado_comercial, count(codigo) AS unidades,
   round(coalesce(sum(precio_de_lista_actual), 0), 2) AS valor_lista_actual FROM stock GROUP BY 1, 2""")
 def snk09(spark, sf):
-    """SNK-09: summary, detail and per-project parts of one run written as one bundle; the summary is read back."""
-    stock = st.build_marts(sources(spark, sf))[2]
+    """SNK-09: detail, summary and per-project parts of one run written as one bundle. The mart is computed once, for the
+    detail; the other parts are made from what was written. All three are read back and must agree."""
     base = scratch_path(spark, "snk09")
-    paths = wr.write_bundle({"resumen": db.stock_summary(stock), "detalle": stock}, base)
-    wr.split_by_group(stock, "proyecto", f"{base}/por_proyecto", default="SIN_PROYECTO")
-    return spark.read.parquet(paths["resumen"])
-
-
-@register("wd06_file_order")
+    detail = wr.write_bundle({"detalle": st.build_marts(sources(spark, sf))[2]}, base)["detalle"]
+    stock = spark.read.parquet(detail)
+    paths = wr.write_bundle({"resumen": db.stock_summary(stock)}, base)
+    parts = wr.split_by_group(stock, "proyecto", f"{base}/por_proyecto", default="SIN_PROYECTO")
+    whole = spark.read.parquet(f"{base}/por_proyecto").groupBy("proyecto").agg(F.count("codigo").alias("__n"))
+    assert parts.agg(F.sum("filas")).first()[0] == stock.count()
+    resumen = spark.read.parquet(paths["resumen"])
+    keep = resumen.join(whole, resumen["proyecto"].eqNullSafe(whole["proyecto"]), "left_semi")
+    return keep
+
+
+@register("wd06_file_order", "SELECT o_orderkey, row_number() OVER () - 1 AS fila FROM orders")
 def wd06(spark, sf):
-    """WD-06: file row order from ``_metadata`` (file name, row index) carried as a column (rows-only:
-    SQL has no file row order without reader options)."""
+    """WD-06: file row order from ``_metadata`` (file name, row index) carried as a column."""
     o = dd.with_file_order(read_base(spark, sf, "orders"))
     return o.select("o_orderkey", F.col("row_order.row_index").alias("fila"))
 

@@ -12,6 +12,7 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from tejado.catalog import register
+from tejado.catalog.ledger_queries import CTE_COMPANY
 from tejado.catalog.sqlfn import ustrip, with_ctes
 from tejado.catalog.stock_queries import CTE_STOCK, STOCK, STOCK_VIEWS
 from tejado.plans import exports as ex
@@ -56,14 +57,15 @@ STATUS_COMPANY = {"F": "URSA", "O": "LYNX", "P": "CYGNUS"}
 
 
 @register("src07_tagged_union", "SELECT *, CASE o_orderstatus " + " ".join(
-    f"WHEN '{k}' THEN '{v}'" for k, v in STATUS_COMPANY.items()) + " END AS company FROM orders")
+    f"WHEN '{k}' THEN '{v}'" for k, v in STATUS_COMPANY.items()) + " END AS company, 'part' AS source_file FROM orders")
 def src07(spark, sf):
-    """SRC-07 + SE-01: files of three folders read in one scan, rows tagged with their company (SC-18)."""
+    """SRC-07 + SE-01: files of three folders read in one scan, rows tagged with their file and company (SC-18). Spark
+    names the files, so the check is on the constant beginning of their names."""
     base = scratch_path(spark, "src07")
     o = read_base(spark, sf, "orders")
     for status, folder in STATUS_FOLDER.items():
         o.where(F.col("o_orderstatus") == status).write.mode("overwrite").parquet(f"{base}/{folder}")
-    return rd.read_tagged(spark, base, glob="*.parquet").drop("source_file")
+    return rd.read_tagged(spark, base, glob="*.parquet").withColumn("source_file", F.substring_index("source_file", "-", 1))
 
 
 @register("src08_grid_header", """
@@ -162,25 +164,27 @@ _SENS = ["documento", "nombres", "apellidos", "cliente", "celulares", "telefono"
 
 def _anon(c):
     t = ustrip(c)
-    return f"CASE WHEN {c} IS NULL THEN NULL WHEN {t} = '' THEN {t} ELSE 'anon_' || substr(sha256({t}), 1, 10) END AS {c}"
+    return f"CASE WHEN {c} IS NULL THEN NULL WHEN {t} = '' THEN NULL ELSE 'anon_' || substr(sha256({t}), 1, 10) END AS {c}"
 
 
 @register("job14_anonymised_sample", with_ctes(["clientes"], []) + "SELECT " + ", ".join(
     [_anon(c) for c in _SENS] + ["medio_captacion", "estado", "orden_fila"])
     + " FROM (SELECT * FROM clientes ORDER BY documento LIMIT 20) q")
 def job14(spark, sf):
-    """JOB-14 / SNK-11 / SC-27: 20 rows in key order, sensitive columns hashed, written as CSV."""
+    """JOB-14 / SNK-11 / SC-27: 20 rows in key order, sensitive columns hashed, written as CSV and read back (a CSV
+    doesn't tell a blank from a null)."""
     path = scratch_path(spark, "job14")
     cli = view(spark, sf, "clientes")
     report = ex.samples({"clientes": (cli, ["documento"])}, path)
     if report[0]["estado"] != "ok":
         raise RuntimeError(report[0]["estado"])
-    return wr.sample_rows(cli, ["documento"], 20)
+    return rd.read_csv(spark, f"{path}/clientes", schema=cli.schema)
 
 
-@register("snk10_master_rebuild")
+@register("snk10_master_rebuild", with_ctes(["ledger", "master"], CTE_COMPANY)
+          + "SELECT coalesce(source_company, 'SIN_COMPANY') AS __empresa, count(*) AS filas FROM by_company GROUP BY 1")
 def snk10(spark, sf):
-    """SNK-10: the enriched ledger written as the master table, partitioned by company (rows-only)."""
+    """SNK-10: the enriched ledger written as the master table, partitioned by company."""
     from tejado.plans import ledger as lg
     path = scratch_path(spark, "snk10")
     wr.rebuild_master(lg.enrich_by_company(view(spark, sf, "ledger"), view(spark, sf, "master")), path)

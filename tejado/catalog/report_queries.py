@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tejado.catalog import register
 from tejado.catalog.sqlfn import first_row, nc, strict_doc, ustrip, with_ctes
 from tejado.catalog.stock_queries import CTE_STOCK, STOCK, STOCK_VIEWS, sources
+from tejado.functions.contacts import DOMAIN_TYPOS, EMAIL_STRICT, KNOWN_DOMAINS
 from tejado.plans import deliveries as dl
 from tejado.plans import parking as pk
 from tejado.plans import quality as qa
 from tejado.plans import stock as st
 from tejado.plans.adapters import view
+from tejado.session import scratch_path
 
 # ---------------------------------------------------------------- JOB-07
 PROJECTS = [f"BRAND#{i}" for i in range(1, 11)]
@@ -60,11 +64,18 @@ def ar04_by_project(spark, sf):
     return pk.at_risk_by_project(_park(spark, sf)[2])
 
 
-@register("snk07_run_summary")
+@register("snk07_run_summary", with_ctes(["procesos"], CTE_PARK) + """
+SELECT (SELECT count(*) FROM procesos) AS filas_procesos_originales,
+  (SELECT count(*) FROM rel) AS filas_procesos_activos_relevantes,
+  (SELECT count(*) FROM risk) AS filas_cocheras_activas_sin_unidad_asignada,
+  (SELECT count(*) FROM rel WHERE tipo_unidad_homologado = 'departamento') AS filas_departamentos_activos,
+  coalesce(nombre_proyecto, 'None') AS proyecto, count(*) AS cocheras FROM risk GROUP BY coalesce(nombre_proyecto, 'None')""")
 def snk07_summary(spark, sf):
-    """SNK-07: one-row run summary with the per-project map (rows-only: map column)."""
-    procesos, rel, risk, flats = _park(spark, sf)
-    return pk.run_summary(procesos, rel, risk, flats, PROJECTS)
+    """SNK-07 + AR-04: the run summary written and read back, its per-project map unfolded into rows."""
+    path = scratch_path(spark, "snk07")
+    pk.run_summary(view(spark, sf, "procesos"), PROJECTS).write.parquet(path)
+    row = spark.read.parquet(path)
+    return row.select(*[c for c in row.columns if c.startswith("filas_")], F.explode("cocheras_por_proyecto").alias("proyecto", "cocheras"))
 
 
 # ---------------------------------------------------------------- JOB-12
@@ -115,16 +126,25 @@ def _owners(spark, sf, fix_emails=False):
     return dl.owners(view(spark, sf, "clientes"), fix_emails=fix_emails)
 
 
+_EM = f"replace(replace(regexp_replace(lower({ustrip('email')}), '\\s+', '', 'g'), ',', '.'), '..', '.')"
+_DOM = f"trim(string_split({_EM}, '@')[-1], '.')"
+_NEAR = ", ".join(f"{{'d': levenshtein({_DOM}, '{k}'), 'i': {i}, 'k': '{k}'}}" for i, k in enumerate(KNOWN_DOMAINS))
+_FIXED = (f"(CASE {_DOM} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in DOMAIN_TYPOS.items()) + " ELSE coalesce("
+          f"list_sort(list_filter([{_NEAR}], lambda x: x.d * 100 <= 12 * greatest(length({_DOM}), length(x.k))))[1].k, {_DOM}) END)")
+EMAIL = (f"(CASE WHEN email IS NULL THEN NULL WHEN NOT contains({_EM}, '@') THEN {_EM} "
+         f"ELSE trim(split_part({_EM}, '@', 1), '.') || '@' || {_FIXED} END)")
+
+
 @register("sc19_owner_phones", with_ctes(DEL_VIEWS, CTE_DEL) + "SELECT * FROM own")
 def sc19_owner_phones(spark, sf):
     """FLT-17 + SC-19 (notebook variant: 51 and 0051 prefixes) + SC-20 flags."""
     return _owners(spark, sf)
 
 
-@register("job12_owner_contacts")
+@register("job12_owner_contacts", with_ctes(DEL_VIEWS, CTE_DEL) + f"""
+SELECT own.*, {EMAIL} AS email_clean, coalesce(regexp_matches({EMAIL}, '{EMAIL_STRICT}'), false) AS email_ok FROM own""")
 def job12_owner_contacts(spark, sf):
-    """SC-22 + SC-23: owners' e-mails cleaned, typo table then fuzzy domain per distinct domain
-    (pandas UDF with difflib; rows-only, no SQL form)."""
+    """SC-22 + SC-23: owners' e-mails cleaned, domains mended by the typo table, else to a known one by edit distance."""
     return _owners(spark, sf, fix_emails=True)
 
 

@@ -115,7 +115,7 @@ SELECT
   CASE {k} % 6 WHEN 0 THEN 'cliente' || {d.s(k)} || '@gmail.com'
                WHEN 1 THEN ' Cliente' || {d.s(k)} || ' @Gmial.com'
                WHEN 2 THEN 'cli,' || {d.s(k)} || '@hotmial.com'
-               WHEN 3 THEN 'c' || {d.s(k)} || '@outlook.es'
+               WHEN 3 THEN CASE WHEN {k} % 4 = 3 THEN 'c..' || {d.s(k)} || '.@gmaill.com' ELSE 'c' || {d.s(k)} || '@outlook.es' END
                WHEN 4 THEN NULL
                ELSE 'sin-arroba-' || {d.s(k)} END AS email,
   CASE WHEN {k} % 2 = 0 THEN 'Propietario' ELSE 'Prospecto' END AS estado,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tejado.functions.rules import unit_type_process
 from tejado.operators.columns import require_columns
-from tejado.operators.filters import declarative_filter, filter_report
+from tejado.operators.filters import build_predicate, declarative_filter, filter_report
 
 REQUIRED = ["estado", "codigo_proyecto", "nombre_proyecto", "tipo_unidad_principal", "codigo_unidades_asignadas"]
 
@@ -39,30 +39,38 @@ def scope_report(procesos: DataFrame, projects, active: str = "Activo") -> DataF
     return filter_report(procesos, cond, "proyectos activos relevantes")
 
 
+AT_RISK = {"tipo_unidad_homologado": "estacionamiento", "codigo_unidades_asignadas": {"op": "vacio"}}
+FLATS = {"tipo_unidad_homologado": "departamento"}
+
+
 def parking_at_risk(relevant: DataFrame) -> DataFrame:
     """FLT-16: parking processes whose packed unit list is empty."""
-    return declarative_filter(relevant, {"tipo_unidad_homologado": "estacionamiento",
-                                         "codigo_unidades_asignadas": {"op": "vacio"}})
+    return declarative_filter(relevant, AT_RISK)
 
 
 def active_flats(relevant: DataFrame) -> DataFrame:
-    return declarative_filter(relevant, {"tipo_unidad_homologado": "departamento"})
-
-
-def run_summary(procesos: DataFrame, relevant: DataFrame, at_risk: DataFrame, flats: DataFrame, projects) -> DataFrame:
-    """SNK-07 + AR-04: one row of stage counts plus the at-risk count per project name as a map."""
-    per_project = at_risk.groupBy(F.coalesce(F.col("nombre_proyecto").cast("string"), F.lit("None")).alias("k")) \
-                         .agg(F.count(F.lit(1)).alias("v"))
-    counts_map = per_project.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v"))))
-                                 .alias("cocheras_por_proyecto"))
-    # the stage counts ride along as scalar subqueries (one value each, no joins)
-    return counts_map.select(
-        procesos.agg(F.count(F.lit(1))).scalar().alias("filas_procesos_originales"),
-        relevant.agg(F.count(F.lit(1))).scalar().alias("filas_procesos_activos_relevantes"),
-        at_risk.agg(F.count(F.lit(1))).scalar().alias("filas_cocheras_activas_sin_unidad_asignada"),
-        flats.agg(F.count(F.lit(1))).scalar().alias("filas_departamentos_activos"),
-        "cocheras_por_proyecto",
-        F.array(*[F.lit(p) for p in _scope(projects)]).alias("proyectos_considerados"))
+    return declarative_filter(relevant, FLATS)
+
+
+def run_summary(procesos: DataFrame, projects, active: str = "Activo") -> DataFrame:
+    """SNK-07 + AR-04: one row of stage counts plus the at-risk count per project name as a map.
+
+    One pass: every process is tested for each stage, counted per project name, and the few project rows are added up.
+    """
+    require_columns(procesos, REQUIRED)
+    scope = _scope(projects)
+    typed = procesos.withColumn("tipo_unidad_homologado", unit_type_process(F.col("tipo_unidad_principal")))
+    inside = build_predicate(typed, {"estado": {"op": "igual_ci", "valor": active}, "codigo_proyecto": {"op": "en_ci", "valores": scope}})
+    per_project = typed.groupBy(F.coalesce(F.col("nombre_proyecto").cast("string"), F.lit("None")).alias("k")).agg(
+        F.count(F.lit(1)).alias("todas"), F.count_if(inside).alias("relevantes"),
+        F.count_if(inside & build_predicate(typed, AT_RISK)).alias("cocheras"), F.count_if(inside & build_predicate(typed, FLATS)).alias("departamentos"))
+    at_risk = F.collect_list(F.when(F.col("cocheras") > 0, F.struct("k", F.col("cocheras").alias("v"))))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return per_project.agg(
+        total("todas").alias("filas_procesos_originales"), total("relevantes").alias("filas_procesos_activos_relevantes"),
+        total("cocheras").alias("filas_cocheras_activas_sin_unidad_asignada"), total("departamentos").alias("filas_departamentos_activos"),
+        F.map_from_entries(F.array_sort(at_risk)).alias("cocheras_por_proyecto"),
+    ).withColumn("proyectos_considerados", F.array(*[F.lit(p) for p in scope]))
 
 
 def at_risk_by_project(at_risk: DataFrame) -> DataFrame:
