@@ -72,17 +72,22 @@ def src07(spark, sf):
 SELECT CAST(s_suppkey AS VARCHAR) AS "N° Comprobante", s_name AS "Proveedor", CAST(s_nationkey AS VARCHAR) AS "Nacion"
 FROM supplier""")
 def src08(spark, sf):
-    """SRC-08 + SRC-09: a headerless grid (title lines, header with COMPROBANTE, technical row,
-    blank row, data) written as one CSV file, read back as a table."""
+    """SRC-08 + SRC-09: headerless grids (title lines, header with COMPROBANTE, technical row, blank row, data) written
+    as four CSV files, one with two columns swapped, and read back as a table."""
     path = scratch_path(spark, "src08")
     s = read_base(spark, sf, "supplier")
     top = spark.createDataFrame(
         [(0, "Reporte de ventas", None, None), (1, None, None, None), (2, "N° Comprobante", "Proveedor", "Nacion"),
          (3, "ID_COMPROBANTE", "proveedor", "nacion"), (4, None, None, None)], "o long, a string, b string, c string")
-    body = s.select((F.col("s_suppkey") + 10).alias("o"), F.col("s_suppkey").cast("string").alias("a"),
-                    F.col("s_name").alias("b"), F.col("s_nationkey").cast("string").alias("c"))
-    top.unionByName(body).orderBy("o").drop("o").coalesce(1).write.mode("overwrite").csv(path)
-    return rd.read_grid(spark, path)
+    top = top.select(F.explode(F.sequence(F.lit(0), F.lit(3))).alias("archivo"), "*")
+    body = s.select((F.col("s_suppkey") % 4).cast("int").alias("archivo"), (F.col("s_suppkey") + 10).alias("o"),
+                    F.col("s_suppkey").cast("string").alias("a"), F.col("s_name").alias("b"), F.col("s_nationkey").cast("string").alias("c"))
+    swap = F.col("archivo") == 1
+    rows = top.unionByName(body).select("archivo", "o", "a", F.when(swap, F.col("c")).otherwise(F.col("b")).alias("b"),
+                                        F.when(swap, F.col("b")).otherwise(F.col("c")).alias("c"))
+    rows.repartition("archivo").sortWithinPartitions("archivo", "o").select("archivo", "a", "b", "c") \
+        .write.mode("overwrite").partitionBy("archivo").csv(path)
+    return rd.read_grid(spark, f"{path}/archivo=*")
 
 
 @register("snk06_versioned_write", "SELECT * FROM part")
@@ -147,8 +152,7 @@ def job13(spark, sf):
                  .select("corrida", "tabla", "estado", "filas"))
 
 
-_LABEL = ("coalesce(nullif(trim(substr(trim(regexp_replace(regexp_replace(asesor, '[\\\\/*?:\"<>|\\[\\]]', '_', 'g'), "
-          "'\\s+', ' ', 'g')), 1, 80)), ''), 'Sin Asesor')")
+_LABEL = f"coalesce(nullif({ustrip('asesor')}, ''), 'Sin Asesor')"
 
 
 @register("job17_export_by_advisor", with_ctes(["procesos"], []) + f"""

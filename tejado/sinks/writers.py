@@ -1,21 +1,21 @@
 """Writers (SNK-01..11).
 
 Everything writes through ``DataFrameWriter`` to the given folder; callers on a
-cluster pass folders on shared storage. Multi-output writes persist the base
-once so it is not recomputed per output.
+cluster pass folders on shared storage. Where several outputs hold the same
+rows, the later ones are made from the first as written.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tejado.functions.contacts import anonymise_frame
-from tejado.functions.text import safe_label
+from tejado.functions.text import safe_label, ustrip
+from tejado.operators.dedup import unique_labels
 
 
 def with_lineage(df: DataFrame, prefix: str = "_bronze") -> DataFrame:
@@ -31,43 +31,42 @@ def cast_void(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> list[str]:
-    """SNK-01 / SNK-03: ``parquet``, ``csv`` or ``both`` (base persisted once); unknown -> error."""
+    """SNK-01 / SNK-03: ``parquet``, ``csv`` or ``both`` (the CSV copy is made from the Parquet one); unknown -> error."""
     if fmt not in ("parquet", "csv", "both"):
         raise ValueError(f"unknown output format {fmt!r}")
     df = cast_void(df)
-    out = []
-    if fmt == "both":
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if fmt in ("csv", "both"):
-            df.write.mode(mode).option("header", True).csv(path + ("_csv" if fmt == "both" else ""))
-            out.append(path + ("_csv" if fmt == "both" else ""))
-        if fmt in ("parquet", "both"):
-            df.write.mode(mode).parquet(path)
-            out.append(path)
-    finally:
-        if fmt == "both":
-            df.unpersist()
-    return out
-
-
-def split_by_group(df: DataFrame, group_col: str, path: str, default: str = "Sin Asesor", max_len: int = 80) -> DataFrame:
-    """SNK-05: one folder per group (null/blank -> ``default``) plus a manifest sorted by rows.
-
-    The label is made before ``partitionBy`` because Spark folds null and ``""``
-    into one default partition. Returns the manifest (group, rows, folder).
+    if fmt == "csv":
+        df.write.mode(mode).option("header", True).csv(path)
+        return [path]
+    df.write.mode(mode).parquet(path)
+    if fmt == "parquet":
+        return [path]
+    df.sparkSession.read.schema(df.schema).parquet(path).write.mode(mode).option("header", True).csv(path + "_csv")
+    return [path + "_csv", path]
+
+
+def split_by_group(df: DataFrame, group_col: str, path: str, default: str = "Sin Asesor", max_len: int = 80,
+                   rows_per_file: int = 1_000_000) -> DataFrame:
+    """SNK-05: one folder per value of the group column (stripped; null/blank -> ``default``) plus a manifest.
+
+    Values make the groups; the label (illegal characters replaced, cut, made unique without regard to case) only names
+    the folder. Rows are dealt by label and, in groups of over ``rows_per_file`` rows, by a hash, so a group gets as many
+    files as it needs and no more. Returns the manifest (grupo, filas, etiqueta, carpeta), most rows first.
     """
-    labelled = df.withColumn("__grupo", safe_label(F.col(group_col), max_len=max_len, default=default)).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        labelled.write.mode("overwrite").partitionBy("__grupo").parquet(path)
-        manifest = labelled.groupBy(F.col("__grupo").alias("grupo")).agg(F.count(F.lit(1)).alias("filas"))
-        manifest = manifest.withColumn("carpeta", F.concat(F.lit(path.rstrip("/") + "/__grupo="),
-                                                           F.col("grupo")))
-        manifest = manifest.cache()  # one row per group
-        manifest.count()
-    finally:
-        labelled.unpersist()
+    spark = df.sparkSession
+    value = F.coalesce(F.nullif(ustrip(F.col(f"`{group_col}`").cast("string")), F.lit("")), F.lit(default))
+    counts = df.groupBy(value.alias("grupo")).agg(F.count(F.lit(1)).alias("filas"))  # one row per group
+    counts = counts.withColumn("__label", F.lower(safe_label(F.col("grupo"), max_len=max_len - 6, default=default)))
+    labels = unique_labels(counts, "__label", "__unique", max_len=max_len, order_by=["grupo"])
+    shown = F.concat(safe_label(F.col("grupo"), max_len=max_len - 6, default=default), F.substring("__unique", F.length("__label") + 1, F.lit(max_len)))
+    table = labels.select("grupo", "filas", shown.alias("etiqueta"))
+    manifest_path = f"{path.rstrip('/')}/_manifest"
+    table.withColumn("carpeta", F.concat(F.lit(path.rstrip("/") + "/__grupo="), "etiqueta")).write.mode("overwrite").parquet(manifest_path)
+    manifest = spark.read.parquet(manifest_path)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)]), F.ceil(F.col("filas") / rows_per_file))
+    rows = df.withColumn("__value", value).join(manifest.select(F.col("grupo").alias("__value"), "filas", F.col("etiqueta").alias("__grupo")), "__value")
+    rows = rows.withColumn("__salt", salt).repartition("__grupo", "__salt")
+    rows.select(*[f"`{c}`" for c in df.columns], "__grupo").write.mode("append").partitionBy("__grupo").parquet(path)
     return manifest.orderBy(F.col("filas").desc(), F.col("grupo"))
 
 
@@ -89,11 +88,6 @@ def current_version(spark, ledger_path: str, name: str) -> str | None:
     return row["ruta"] if row else None
 
 
-def write_summary(summary: DataFrame, path: str) -> None:
-    """SNK-07: a one-row summary as JSON (the row is tiny by construction)."""
-    summary.coalesce(1).write.mode("overwrite").json(path)
-
-
 LOG_SCHEMA = "ts timestamp, libreria string, paso string, estado string, mensaje string, metricas string, fecha date"
 
 

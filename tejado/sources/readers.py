@@ -98,32 +98,34 @@ def read_grid(spark: SparkSession, path: str, marker: str = "COMPROBANTE", max_r
               technical_first: tuple[str, ...] = ("ID_COMPROBANTE", "ID COMPROBANTE")) -> DataFrame:
     """SRC-08 + SRC-09: headerless CSV grids -> table.
 
-    Per file, the header is the first row with a cell containing ``marker`` when
-    fewer than ``max_rows`` rows precede it, else the first row; all-blank rows
-    drop; a technical second header (first cell ``ID_COMPROBANTE``) right after
-    the header drops. Positions come from per-file aggregates over a row id
-    (no window holds a whole file in one task). All files are assumed to share
-    one layout; only the header row (one per file) reaches the driver.
+    Per file, the header is the first row with a cell containing ``marker``, else the first row; all-blank rows drop; a
+    technical second header (first cell ``ID_COMPROBANTE``) right after the header drops. Every file's cells go by its
+    own header, so files may have their columns in any order; a name that a file lacks is null there. A marker that
+    stands only after ``max_rows`` rows raises.
+
+    Positions come from per-file aggregates over a row id (no window holds a whole file in one task); the joins carry one
+    row per file. Only the distinct headers reach the driver.
     """
     raw = spark.read.option("header", False).csv(path)
     cells = raw.columns
-    raw = raw.withColumn("__file", F.col("_metadata.file_path")).withColumn("__id", F.monotonically_increasing_id())
-    has_marker = F.greatest(F.lit(False), *[F.coalesce(norm_ascii(F.col(c)).contains(marker), F.lit(False))
-                                            for c in cells])
-    ids = raw.groupBy("__file").agg(F.min("__id").alias("__first"),
-                                    F.min(F.when(has_marker, F.col("__id"))).alias("__mark"))
-    per_file = F.broadcast(ids)  # one row per input file
-    before = (raw.join(per_file, "__file").where(F.col("__id") < F.col("__mark"))
-                 .groupBy("__file").agg(F.count(F.lit(1)).alias("__before")))
-    hdr = ids.join(before, "__file", "left").select(
-        "__file", F.when(F.col("__mark").isNotNull() & (F.coalesce("__before", F.lit(0)) < max_rows), F.col("__mark"))
-                   .otherwise(F.col("__first")).alias("__hdr"))
-    tagged = raw.join(F.broadcast(hdr), "__file")
-    header = tagged.where(F.col("__id") == F.col("__hdr")).orderBy("__file").select(*cells).first()
-    names = [str(h).strip() if h is not None and str(h).strip() else f"col_{i}" for i, h in enumerate(header or [])]
-    body = tagged.where((F.col("__id") > F.col("__hdr")) & F.greatest(F.lit(False), *[F.col(c).isNotNull() for c in cells]))
+    raw = raw.select(F.array(*cells).alias("__cells"), F.col("_metadata.file_path").alias("__file"),
+                     F.monotonically_increasing_id().alias("__id"))
+    has_marker = F.exists("__cells", lambda c: F.coalesce(norm_ascii(c).contains(marker), F.lit(False)))
+    mark = F.when(has_marker, F.col("__id"))
+    files = raw.groupBy("__file").agg(F.min("__id").alias("__first"), F.min(mark).alias("__mark"),
+                                      F.min_by("__cells", mark).alias("__named"), F.min_by("__cells", "__id").alias("__top"))
+    # ids of a file's first rows follow each other (they are in one split), so a late marker shows as a large difference
+    late = F.col("__mark") - F.col("__first") >= max_rows
+    names = F.transform(F.coalesce("__named", "__top"), lambda h, i: F.coalesce(
+        F.nullif(F.trim(h), F.lit("")), F.concat(F.lit("col_"), i.cast("string"))))
+    files = files.select("__file", F.coalesce("__mark", "__first").alias("__hdr"), names.alias("__names"), F.coalesce(late, F.lit(False)).alias("__late"))
+    layouts = files.select("__names", "__late").distinct().collect()  # one row per distinct header
+    if any(r["__late"] for r in layouts):
+        raise ValueError(f"a cell with {marker!r} stands only after the first {max_rows} rows of a file in {path}")
+    header = list(dict.fromkeys(n for r in sorted(layouts, key=lambda r: r["__names"]) for n in r["__names"]))
+    body = raw.join(files, "__file").where((F.col("__id") > F.col("__hdr")) & F.exists("__cells", lambda c: c.isNotNull()))
     second = body.groupBy("__file").agg(F.min("__id").alias("__second"))
-    body = body.join(F.broadcast(second), "__file")
-    tech = (F.col("__id") == F.col("__second")) & F.coalesce(norm_ascii(F.col(cells[0])).isin(*technical_first),
-                                                              F.lit(False))
-    return body.where(~tech).select(*[F.col(c).alias(n) for c, n in zip(cells, names)])
+    body = body.join(second, "__file")
+    tech = (F.col("__id") == F.col("__second")) & F.coalesce(norm_ascii(F.get("__cells", 0)).isin(*technical_first), F.lit(False))
+    at = lambda n: F.get("__cells", F.array_position("__names", n).cast("int") - 1)
+    return body.where(~tech).select(*[F.when(F.array_contains("__names", n), at(n)).alias(n) for n in header])

@@ -43,11 +43,18 @@ def test_write_formats_and_void_columns(spark, tmp_path):
 
 
 def test_split_by_group_labels_blank_and_null(spark, tmp_path):
-    df = spark.createDataFrame([("Ana",), ("  ",), (None,), ("Ana",), ("Luis/Ruiz",)], "asesor string")
+    long = "x" * 100
+    names = ["Ana", "  ", None, " Ana ", "Luis/Ruiz", "Luis:Ruiz", "ANA", long + "a", long + "b"]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "asesor string, i int")
     man = wr.split_by_group(df, "asesor", str(tmp_path / "out"))
-    assert rows(man, "grupo", "filas") == [("Ana", 2), ("Sin Asesor", 2), ("Luis_Ruiz", 1)]
-    back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.count() == 5
+    got = rows(man, "grupo", "filas")
+    assert got[:2] == [("Ana", 2), ("Sin Asesor", 2)]
+    assert sorted(got[2:]) == sorted([("Luis/Ruiz", 1), ("Luis:Ruiz", 1), ("ANA", 1), (long + "a", 1), (long + "b", 1)])
+    labels = [r[0].lower() for r in rows(man, "etiqueta")]
+    assert len(set(labels)) == len(labels) and max(map(len, labels)) <= 80
+    for grupo, etiqueta in rows(man, "grupo", "etiqueta"):
+        held = spark.read.parquet(str(tmp_path / "out" / f"__grupo={etiqueta}".replace(":", "%3A")))
+        assert {(r[0] or "").strip() or "Sin Asesor" for r in rows(held, "asesor")} == {grupo}
 
 
 def test_versioned_writes_and_log(spark, tmp_path):
