@@ -33,8 +33,8 @@ def build_bronze(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
 def build_silver(spark: SparkSession, base: str, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     silver = st.silver(bronze)
-    for name, df in silver.items():
-        df.write.mode("overwrite").parquet(_p(base, "silver", name))
+    for name in SILVER_TABLES:
+        silver[name].write.mode("overwrite").parquet(_p(base, "silver", name))
     return load_silver(spark, base)
 
 
@@ -47,7 +47,7 @@ def build_gold(spark: SparkSession, base: str, silver: dict[str, DataFrame]) ->
     owners = st.owners(silver)
     owners.write.mode("overwrite").parquet(_p(base, "gold", "mart_propietarios"))
     owners = read_required(spark, _p(base, "gold", "mart_propietarios"))
-    stock = st.stock(silver, owners)
+    stock = st.sorted_stock(st.stock(silver, owners))
     stock.write.mode("overwrite").parquet(_p(base, "gold", "mart_stock_unidades_completo"))
     return load_gold(spark, base)
 

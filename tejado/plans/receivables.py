@@ -92,7 +92,7 @@ def items(sources: dict[str, DataFrame]) -> DataFrame:
 
 
 def receivables(sources: dict[str, DataFrame], projects=None, items_df: DataFrame | None = None,
-                sort: bool = True) -> DataFrame:
+                sort: bool = False) -> DataFrame:
     """JOB-05: one row per (project, project code, client)."""
     it = items_df if items_df is not None else items(sources)
     df = it.join(silver_projects(sources["proyectos"]), on="codigo_proyecto", how="left")

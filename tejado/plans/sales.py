@@ -10,15 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tejado.functions.dates import as_timestamp
 from tejado.functions.keys import doc_key
 from tejado.functions.numbers import to_number
 from tejado.functions.rules import operation_status, unit_number, unit_type_sales
 from tejado.operators.arrays import ADD_RESERVATION, ADD_SALE, explode_items
 from tejado.operators.columns import CalculatedColumns, ensure_columns, select_columns
-from tejado.operators.dedup import keep_first, keep_last, order_of
-from tejado.operators.filters import active_if_any, project_filter, stage_filter
-from tejado.plans.stock import silver_clients, silver_coowners, silver_projects, silver_sales
+from tejado.operators.dedup import keep_first, order_of
+from tejado.operators.filters import project_filter
+from tejado.plans.stock import process_facts, silver_clients, silver_coowners, silver_projects
 
 # Default exported columns, and the optional ones a user may add by name.
 DEFAULT_COLUMNS = ["proyecto", "tipo_unidad", "num_unidad", "comprador", "dni_comprador", "copropietario_1",
@@ -41,25 +40,6 @@ HEADERS = {
 }
 
 
-def reservations(procesos: DataFrame, order_col: str = "id_proceso") -> DataFrame:
-    procesos, order_col = order_of(procesos, order_col)
-    p = ensure_columns(procesos, ["fecha_inicio", "codigo_proforma", "documento_cliente", "codigo_unidad",
-                                  "codigo_proyecto", "usuario_separacion", "usuario", "asesor", "estado",
-                                  "tipo_financiamiento", "codigo_unidades_asignadas", "nombre"])
-    sep = active_if_any(stage_filter(p, "SEPARACION"))
-    out = sep.select(
-        as_timestamp(p, "fecha_inicio").alias("fecha_separacion"),
-        F.col("codigo_proforma").cast("string").alias("codigo_proforma"),
-        F.col("documento_cliente").cast("string").alias("documento_cliente"),
-        F.col("codigo_unidad").cast("string").alias("codigo_principal"),
-        F.col("codigo_proyecto").cast("string").alias("codigo_proyecto"),
-        F.coalesce("usuario_separacion", "usuario", "asesor").cast("string").alias("usuario_separacion"),
-        F.col("tipo_financiamiento").cast("string").alias("tipo_financiamiento"),
-        F.col("codigo_unidades_asignadas").cast("string").alias("adicionales_sep_raw"),
-        F.col(order_col).alias("__ord"))
-    return keep_last(out, ["codigo_proforma"], "__ord").drop("__ord")
-
-
 def units(unidades: DataFrame, order_col: str = "orden_fila") -> DataFrame:
     unidades, order_col = order_of(unidades, order_col)
     u = ensure_columns(unidades, ["codigo", "nombre", "tipo_unidad", "precio_venta", "precio_base_proforma"])
@@ -102,7 +82,7 @@ def coowners_from_columns(procesos: DataFrame, order_col: str = "id_proceso", sl
 
 def sales_base(sources: dict[str, DataFrame], projects=None) -> DataFrame:
     """Every (proforma, item) of active reservations, sold or pending, with unit, client and co-owners."""
-    base = reservations(sources["procesos"]).join(silver_sales(sources["procesos"]), on="codigo_proforma", how="left")
+    base = process_facts(sources["procesos"]).where("con_separacion")
     base = base.withColumn("estado_operacion", operation_status(F.col("fecha_minuta")))
     common = ["documento_cliente", "codigo_proyecto", "fecha_separacion", "fecha_minuta", "tipo_financiamiento",
               "estado_operacion"]
@@ -120,7 +100,7 @@ def sales_base(sources: dict[str, DataFrame], projects=None) -> DataFrame:
 
 
 def sales(sources: dict[str, DataFrame], projects=None, columns: list[str] | None = None,
-          extra: list[str] | None = None, registry: CalculatedColumns | None = None, sort: bool = True) -> DataFrame:
+          extra: list[str] | None = None, registry: CalculatedColumns | None = None, sort: bool = False) -> DataFrame:
     """JOB-06: the sales catalogue with the requested columns."""
     df = sales_base(sources, projects)
     if sort:

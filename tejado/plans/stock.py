@@ -135,6 +135,39 @@ def silver_sales(procesos: DataFrame, order_col: str = "id_proceso") -> DataFram
                                    F.col(order_col)).alias("adicionales_ven_raw")))
 
 
+def process_facts(procesos: DataFrame, order_col: str = "id_proceso") -> DataFrame:
+    """Reservations and sales of a proforma in one row, from one pass over the processes.
+
+    One ``groupBy(codigo_proforma)``: the last reservation, the last active one, and the sale's date and packed list
+    (AG-01, AG-02). Which reservation counts depends on whether any in the table is active (FLT-08): a scalar subquery
+    over these rows, whose shuffle Spark reuses. Columns: those of the silver reservations and sales, ``usuario_separacion``,
+    ``con_separacion`` and ``con_venta``.
+    """
+    procesos, order_col = order_of(procesos, order_col)
+    p = ensure_columns(procesos, ["fecha_inicio", "fecha_fin", "codigo_proforma", "documento_cliente", "codigo_unidad",
+                                  "codigo_proyecto", "estado", "tipo_financiamiento", "codigo_unidades_asignadas", "nombre",
+                                  "usuario_separacion", "usuario", "asesor"])
+    text = lambda c: F.col(c).cast("string")
+    rows = p.where(F.col("codigo_proforma").isNotNull()).select(
+        text("codigo_proforma").alias("codigo_proforma"), F.col(order_col).alias("__ord"),
+        norm_text(F.col("nombre")).alias("__etapa"), F.coalesce(norm_text(F.col("estado")) == "ACTIVO", F.lit(False)).alias("__activa"),
+        as_timestamp(p, "fecha_fin").alias("__fin"), text("codigo_unidades_asignadas").alias("__packed"),
+        F.struct(as_timestamp(p, "fecha_inicio").alias("fecha_separacion"), text("documento_cliente").alias("documento_cliente"),
+                 text("codigo_unidad").alias("codigo_principal"), text("codigo_proyecto").alias("codigo_proyecto"),
+                 text("tipo_financiamiento").alias("tipo_financiamiento"), text("codigo_unidades_asignadas").alias("adicionales_sep_raw"),
+                 F.coalesce("usuario_separacion", "usuario", "asesor").cast("string").alias("usuario_separacion")).alias("__sep"))
+    is_sep, is_sale = F.coalesce(F.col("__etapa") == "SEPARACION", F.lit(False)), F.coalesce(F.col("__etapa") == "VENTA", F.lit(False))
+    facts = rows.groupBy("codigo_proforma").agg(
+        F.max_by("__sep", F.when(is_sep, F.col("__ord"))).alias("__any"),
+        F.max_by("__sep", F.when(is_sep & F.col("__activa"), F.col("__ord"))).alias("__active"),
+        F.max(F.when(is_sale, F.col("__fin"))).alias("fecha_minuta"),
+        first_non_null("__packed", F.when(is_sale, F.col("__ord"))).alias("adicionales_ven_raw"),
+        F.max(is_sale).alias("con_venta"))
+    some_active = facts.agg(F.coalesce(F.max(F.col("__active").isNotNull()), F.lit(False))).scalar()
+    chosen = facts.withColumn("__r", F.when(some_active, F.col("__active")).otherwise(F.col("__any")))
+    return chosen.select("codigo_proforma", "__r.*", "fecha_minuta", "adicionales_ven_raw", "con_venta", F.col("__r").isNotNull().alias("con_separacion"))
+
+
 def client_names_by_doc(clientes: DataFrame, order_col: str = "orden_fila") -> DataFrame:
     """JN-08 dictionary as a table: normalised document -> client name, first row per document."""
     clientes, order_col = order_of(clientes, order_col)
@@ -166,20 +199,26 @@ def silver_coowners(procesos: DataFrame, clientes: DataFrame, order_col: str = "
 
 
 def silver(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """JOB-01: the six silver tables."""
+    """JOB-01: the six silver tables, and the process facts that two of them are columns of."""
+    facts = process_facts(sources["procesos"])
     return {
+        "procesos_por_proforma": facts,
         "silver_unidades": silver_units(sources["unidades"]),
         "silver_proyectos": silver_projects(sources["proyectos"]),
         "silver_clientes": silver_clients(sources["clientes"]),
-        "silver_separaciones": silver_reservations(sources["procesos"]),
-        "silver_ventas": silver_sales(sources["procesos"]),
+        "silver_separaciones": facts.where("con_separacion").select(
+            "fecha_separacion", "codigo_proforma", "documento_cliente", "codigo_principal", "codigo_proyecto",
+            "tipo_financiamiento", "adicionales_sep_raw"),
+        "silver_ventas": facts.where("con_venta").select("codigo_proforma", "fecha_minuta", "adicionales_ven_raw"),
         "silver_copropietarios": silver_coowners(sources["procesos"], sources["clientes"]),
     }
 
 
 def owners(s: dict[str, DataFrame]) -> DataFrame:
     """JOB-02: one row per (unit, proforma) of every signed sale."""
-    base = s["silver_separaciones"].join(s["silver_ventas"], on="codigo_proforma", how="inner")
+    facts = s.get("procesos_por_proforma")
+    base = (facts.where("con_separacion AND con_venta") if facts is not None
+            else s["silver_separaciones"].join(s["silver_ventas"], on="codigo_proforma", how="inner"))
     common = ["documento_cliente", "codigo_proyecto", "fecha_separacion", "fecha_minuta", "tipo_financiamiento"]
     codes = explode_items(base, "codigo_principal",
                           [("adicionales_sep_raw", ADD_RESERVATION), ("adicionales_ven_raw", ADD_SALE)], common)
@@ -206,8 +245,11 @@ OWNER_COLS_FOR_STOCK = ["codigo", "comprador", "dni_comprador", "copropietario_1
                         "dni_coprop_2", "copropietario_3", "dni_coprop_3", "precio_venta"]
 
 
-def stock(s: dict[str, DataFrame], owners_df: DataFrame, sort: bool = True) -> DataFrame:
-    """JOB-03: every unit, its owner if sold, commercial status and discount waterfall."""
+STOCK_ORDER = ["proyecto", "tipo_de_unidad", "nombre"]
+
+
+def stock(s: dict[str, DataFrame], owners_df: DataFrame) -> DataFrame:
+    """JOB-03: every unit, its owner if sold, commercial status and discount waterfall. Unsorted: see :func:`sorted_stock`."""
     st = s["silver_unidades"].join(s["silver_proyectos"], on="codigo_proyecto", how="left")
     st = st.select("*", F.coalesce("proyecto", "proyecto_from_unidades").alias("__p"),
                    F.coalesce("tipo_de_unidad", "tipo_de_unidad_norm").alias("__t"),
@@ -223,10 +265,12 @@ def stock(s: dict[str, DataFrame], owners_df: DataFrame, sort: bool = True) -> D
                    pct.alias("descuento_actual"))
     df = df.withColumn("monto_actual_dscto", discount_amount(F.col("monto_actual_dscto_raw"),
                                                              F.col("precio_de_lista_actual"), F.col("descuento_actual")))
-    out = clean_missing_markers(df.select(*STOCK_COLS))
-    if sort:
-        out = out.orderBy(*[F.col(c).asc_nulls_last() for c in ["proyecto", "tipo_de_unidad", "nombre"]])
-    return out
+    return clean_missing_markers(df.select(*STOCK_COLS))
+
+
+def sorted_stock(stock_df: DataFrame) -> DataFrame:
+    """SO-01, for the sink: the stock mart in display order."""
+    return stock_df.orderBy(*[F.col(c).asc_nulls_last() for c in STOCK_ORDER])
 
 
 def build_marts(sources: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:

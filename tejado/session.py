@@ -7,7 +7,6 @@ cut lineage into the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
