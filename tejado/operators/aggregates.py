@@ -7,12 +7,14 @@ single result row; no per-column jobs.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tejado.functions._util import col_of
 from tejado.functions.text import ustrip
+from tejado.session import scratch_path
 
 
 def first_non_null(x, order) -> Column:
@@ -71,8 +73,16 @@ def profile(df: DataFrame, order: str | None = None, approx: bool = False, rsd:
     Counts and examples come from one aggregation pass. Exact distinct counts
     come from a union of one-column aggregates, so each branch scans only its
     column (no 1-row-per-column ``Expand`` of the whole table);
-    ``approx=True`` uses HyperLogLog in the single pass instead.
+    ``approx=True`` uses HyperLogLog in the single pass instead. A derived table is written to the shared scratch folder
+    first, so that the branches read files and don't each compute it again.
     """
+    try:
+        df.select("_metadata")
+    except AnalysisException:
+        if not approx:
+            path = scratch_path(df.sparkSession, "profile")
+            df.write.parquet(path)
+            df = df.sparkSession.read.schema(df.schema).parquet(path)
     cols = [c for c in df.columns if c != order]
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):

@@ -53,27 +53,18 @@ def left_join_nonnull(left: DataFrame, right: DataFrame, key: str, salt_cols: li
     return out.drop("__jk", "__rk")
 
 
-class NotManyToOne(ValueError):
-    pass
-
-
-def assert_unique(df: DataFrame, keys: list[str]) -> None:
-    """Raise when a key repeats (the ``validate="m:1"`` check). One aggregate job."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*[F.col(k) for k in keys]).alias("d")).first()
-    nonnull = df.dropna(subset=keys).count() if row["n"] != row["d"] else row["n"]
-    if nonnull != row["d"]:
-        raise NotManyToOne(f"right side is not unique on {keys}")
-
-
 def left_join_m1(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
-                 indicator: str | None = "_merge", validate: bool = True) -> DataFrame:
+                 indicator: str | None = "_merge", validate: bool = False) -> DataFrame:
     """JN-12: m:1 left join with a ``both`` / ``left_only`` indicator column.
 
-    The caller de-duplicates the right side (WD-01); ``validate`` checks it.
+    The caller has reduced the right side to one row per key (WD-01). ``validate`` checks that inside the plan: the query
+    fails, when it runs, on a key that repeats.
     """
-    if validate:
-        assert_unique(right, [right_on])
     r = right.withColumn("__hit", F.lit(True))
+    if validate:
+        sizes = right.groupBy(F.col(right_on).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+        repeated = F.raise_error(F.concat(F.lit(f"right side is not unique on {right_on}: "), F.col("__k").cast("string")))
+        r = r.join(sizes, on=F.col(right_on) == F.col("__k")).withColumn("__hit", F.when(F.col("__n") > 1, repeated.cast("boolean")).otherwise(True)).drop("__k", "__n")
     out = left.join(r, on=left[left_on] == r[right_on], how="left")
     if indicator:
         out = out.withColumn(indicator, F.when(F.col("__hit"), F.lit("both")).otherwise(F.lit("left_only")))

@@ -15,6 +15,7 @@ work grows with the data. All row-wise views are narrow (no shuffle); only
 
 from __future__ import annotations
 
+import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -274,25 +275,25 @@ VIEWS = {
 }
 
 
-_PLANS: dict = {}
+_PLANS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()  # by session, so a stopped one's frames go with it
 
 
 def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base table; the (lazy) DataFrame is reused within a session to skip repeated file listing."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _PLANS:
-        _PLANS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _PLANS[key]
+    plans, key = _PLANS.setdefault(spark, {}), (sf_dir.rstrip("/"), name)
+    if key not in plans:
+        plans[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return plans[key]
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A domain view on Spark, lazily planned over the base parquet tables."""
-    key = (id(spark), sf_dir.rstrip("/"), "view:" + name)
-    if key not in _PLANS:
+    plans, key = _PLANS.setdefault(spark, {}), (sf_dir.rstrip("/"), "view:" + name)
+    if key not in plans:
         fn, deps = VIEWS[name]
         frames = {t: read_base(spark, sf_dir, t) for t in deps}
-        _PLANS[key] = spark.sql(fn(SPARK), **frames)
-    return _PLANS[key]
+        plans[key] = spark.sql(fn(SPARK), **frames)
+    return plans[key]
 
 
 def duck_cte(*names: str) -> str:

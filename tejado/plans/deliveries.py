@@ -1,7 +1,7 @@
 """Delivery-list completion (JOB-12): owners' contacts, delivery ⋈ owners, delivery ⋈ reservations.
 
-Every lookup side is de-duplicated on its key first and checked unique
-(``validate="m:1"``), so the left joins never multiply delivery rows.
+Every lookup side is reduced to one row per key first,
+so the left joins never multiply delivery rows.
 """
 
 from __future__ import annotations

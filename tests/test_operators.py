@@ -126,8 +126,9 @@ def test_m1_join_indicator_and_nulls(spark):
     assert got == [(1, 10, "both"), (2, None, "left_only"), (3, None, "left_only")]  # T-02
     assert sorted(r[0] for r in rows(jn.unmatched(left, right, "k", "k2"), "i")) == [2, 3]
     dup = spark.createDataFrame([("a", 1), ("a", 2)], "k2 string, v int")
-    with pytest.raises(jn.NotManyToOne):
-        jn.left_join_m1(left, dup, "k", "k2")
+    assert len(rows(jn.left_join_m1(left, right, "k", "k2", validate=True))) == 3
+    with pytest.raises(Exception, match="not unique on k2: a"):
+        jn.left_join_m1(left, dup, "k", "k2", validate=True).collect()
     ns = jn.key_join(left.withColumnRenamed("k", "key"), right.withColumnRenamed("k2", "key"), ["key"], null_safe=True)
     assert sorted(rows(ns, "i", "v")) == [(1, 10), (2, 20), (3, None)]
 
