@@ -19,6 +19,7 @@ import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -35,12 +36,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class PrefixEncoder:
     """Encodes byte strings by the ranks; keeps what it learnt about tokens and pairs."""
 
-    def __init__(self, ranks: dict[bytes, int], pair_memory: int = 1 << 20):
+    def __init__(self, ranks: dict[bytes, int], pair_memory: int = 1 << 19):
+        import ahocorasick
+
         self.ranks = ranks
         self.bytes_of = {r: b for b, r in ranks.items()}
+        self.size_of = {r: len(b) for b, r in ranks.items()}
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.made = {b: r for b, r in ranks.items() if self.split(r)}  # tokens that merges can make
         self.longest = max(map(len, self.made))
+        self.suffixes = ahocorasick.Automaton()
+        for b, r in self.made.items():
+            self.suffixes.add_word(b.decode("latin-1"), (len(b), r))
+        self.suffixes.make_automaton()
         self.valid: dict[int, bool] = {}
         self.pair_memory = pair_memory
 
@@ -95,43 +103,48 @@ class PrefixEncoder:
             else:
                 y_parent, y = y, self.split(y)[0]
 
-    def extend(self, data: bytes, last: array, upto: int | None = None) -> None:
+    def extend(self, data: bytes, last: list[int], upto: int | None = None) -> None:
         """Append to ``last`` the last token of each further prefix of ``data``, up to length ``upto``."""
-        made, longest, valid, is_valid = self.made, self.longest, self.valid, self.is_valid
-        for end in range(len(last) + 1, (len(data) if upto is None else upto) + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                token = made.get(data[start:end])
-                if token is not None:
-                    if start:
-                        left = last[start - 1]
-                        stays = valid.get(left << 32 | token)
-                        if not (is_valid(left, token) if stays is None else stays):
-                            continue
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("the ranks lack a single byte")
-
-    def table(self, data: bytes) -> array:
-        last = array("I")
+        have, end = len(last), len(data) if upto is None else upto
+        known, is_valid, append = self.valid.get, self.is_valid, last.append
+        done = have  # prefixes up to this length have their last token
+        # the tokens that end at each byte, the longest first; a token of the first new prefix starts at most so far back
+        for at, (size, token) in self.suffixes.iter(data.decode("latin-1"), max(0, have + 1 - self.longest), end):
+            if at < done:
+                continue
+            if size <= at:
+                left = last[at - size]
+                stays = known(left << 32 | token)
+                if not (is_valid(left, token) if stays is None else stays):
+                    continue
+            append(token)
+            done += 1
+        if done < end:
+            raise ValueError("the ranks lack a single byte")
+
+    def table(self, data: bytes) -> list[int]:
+        """The last token of every prefix of ``data``, by the prefix's length from 1 on."""
+        last: list[int] = []
         self.extend(data, last)
         return last
 
-    def tokens(self, last: array) -> list[int]:
+    def tokens(self, last: list[int]) -> list[int]:
         """Token ids of the whole byte string whose prefix table is ``last``."""
-        out, end = [], len(last)
+        out, end, size_of = [], len(last), self.size_of
         while end:
-            out.append(last[end - 1])
-            end -= len(self.bytes_of[last[end - 1]])
-        return out[::-1]
+            token = last[end - 1]
+            out.append(token)
+            end -= size_of[token]
+        out.reverse()
+        return out
 
-    def append(self, data: bytes, last: array, more: bytes) -> bytes:
+    def append(self, data: bytes, last: list[int], more: bytes) -> bytes:
         """Lengthen a table in place by ``more``; returns the longer byte string."""
         data += more
         self.extend(data, last)
         return data
 
-    def edit(self, data: bytes, last: array, start: int, end: int, new: bytes) -> tuple[bytes, array]:
+    def edit(self, data: bytes, last: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int]]:
         """Byte string and table after ``data[start:end] = new``; only prefixes near the edit are computed anew."""
         text, shift = data[:start] + new + data[end:], start + len(new) - end
         table, same = last[:start], 0
@@ -154,24 +167,26 @@ class PrefixEncoder:
 
 
 class TextEncoder:
-    """Splits texts into pieces by a pattern and encodes each; remembers up to ``memory`` pieces."""
+    """Splits texts into pieces by a pattern and encodes each; remembers the last ``memory`` to 2 ``memory`` pieces used."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = 250_000):
         import regex
 
         self.bpe = PrefixEncoder(ranks)
         self.pattern = regex.compile(pattern)
         self.memory = memory
         self.seen: dict[str, bytes] = {}
+        self.seen_before: dict[str, bytes] = {}
 
     def _ids(self, piece: str) -> bytes:
-        if len(self.seen) >= self.memory:
-            self.seen.clear()
-        out = self.seen[piece] = array("I", self.bpe.encode_piece(piece.encode())).tobytes()
+        out = self.seen_before.get(piece) or array("I", self.bpe.encode_piece(piece.encode())).tobytes()
+        self.seen[piece] = out
         return out
 
     def encode(self, text: str) -> array:
         """Ids of ``text`` without special tokens, as unsigned 32-bit integers."""
+        if len(self.seen) >= self.memory:
+            self.seen_before, self.seen = self.seen, {}
         seen, out = self.seen, array("I")
         pieces = self.pattern.findall(text) if len(text) < 4_000_000 else (m.group() for m in self.pattern.finditer(text))
         out.frombytes(b"".join([seen.get(p) or self._ids(p) for p in pieces]))
@@ -189,7 +204,7 @@ def _encoder(name: str, ranks, pattern: str) -> TextEncoder:
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", with_ids: bool = True) -> DataFrame:
-    """``docs`` without ``text``, plus token_ids (array<long>), n_tokens, ids_sha256 and decoded_sha256.
+    """``docs`` without ``text``, plus token_ids (array<int>), n_tokens, ids_sha256 and decoded_sha256.
 
     A null text counts as empty: no ids. Empty tables give an empty result with the same columns. Rows pass through one
     by one, so repeated rows and null or repeated ids are kept as they are. Columns of ``docs`` that have one of the new
@@ -202,24 +217,27 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     kept = [c for c in docs.columns if c != text]
     names = [fresh(docs.select(kept), n) for n in ("token_ids", "n_tokens", "ids_sha256", "decoded_sha256")]
-    new = [T.StructField(names[0], T.ArrayType(T.LongType()))] * with_ids + [T.StructField(names[1], T.LongType()), T.StructField(names[2], T.StringType()), T.StructField(names[3], T.StringType())]
+    new = [T.StructField(names[0], T.ArrayType(T.IntegerType()))] * with_ids + [T.StructField(names[1], T.LongType()), T.StructField(names[2], T.StringType()), T.StructField(names[3], T.StringType())]
     schema = T.StructType([docs.schema[c] for c in kept] + new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks_path, ranks, pattern)
         for batch in batches:
             texts = batch.column(len(kept))
-            for low in range(0, len(texts), 256):
-                ids, n, digest, back = [], [], [], []
-                for t in texts[low:low + 256]:
+            for low in range(0, len(texts), 64):
+                ids, n, digest, back = array("I"), [], [], []
+                for t in texts[low:low + 64]:
                     got = encoder.encode(t.as_py() or "")
                     n.append(len(got))
                     digest.append(hashlib.sha256(got.tobytes()).hexdigest())
                     back.append(hashlib.sha256(encoder.bpe.decode(got)).hexdigest())
                     if with_ids:
-                        ids.append(got)
-                columns = [batch.column(i).slice(low, 256) for i in range(len(kept))]
-                columns += [pa.array(ids, pa.list_(pa.int64()))] * with_ids + [pa.array(n, pa.int64()), pa.array(digest), pa.array(back)]
+                        ids += got
+                columns = [batch.column(i).slice(low, 64) for i in range(len(kept))]
+                if with_ids:
+                    ends = pa.array(np.cumsum([0, *n]), pa.int32())
+                    columns.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(ids, np.int32))))
+                columns += [pa.array(n, pa.int64()), pa.array(digest), pa.array(back)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
     return docs.select(*[docs[f"`{c}`"] for c in kept], docs[f"`{text}`"]).mapInArrow(run, schema)
