@@ -139,21 +139,45 @@ def test_op8_query(spark):
     assert rows_of(out) == cut([tuple(r) for r in documents(spark).select("doc_id", "text").collect()], 50)
 
 
-def test_op10_compact_windows_are_the_cartesian_tree():
+def test_op10_compact_windows_are_the_cartesian_trees():
     rng = np.random.default_rng(1)
-    for _ in range(300):
-        n, least = int(rng.integers(1, 60)), int(rng.integers(1, 12))
-        v = rng.integers(0, 25, n).astype(np.uint64)
-        expected = set()
-        for i in range(n):
-            a = b = i
-            while a > 0 and v[a - 1] > v[i]:
-                a -= 1
-            while b < n - 1 and v[b + 1] >= v[i]:
-                b += 1
-            if b - a + 1 >= least:
-                expected.add((a, i, b))
-        assert set(zip(*(c.tolist() for c in passage_dedup.compact_windows(v, least)))) == expected
+    for _ in range(200):
+        count, least = rng.integers(0, 40, int(rng.integers(1, 6))), int(rng.integers(1, 12))
+        v = rng.integers(0, 25, int(count.sum())).astype(np.uint64)
+        expected, begin = set(), 0
+        for t, n in enumerate(count.tolist()):
+            for i in range(begin, begin + n):
+                a = b = i
+                while a > begin and v[a - 1] > v[i]:
+                    a -= 1
+                while b < begin + n - 1 and v[b + 1] >= v[i]:
+                    b += 1
+                if b - a + 1 >= least:
+                    expected.add((t, a, i, b))
+            begin += n
+        assert set(zip(*(c.tolist() for c in passage_dedup.compact_windows(v, count, least)))) == expected
+        for reach in (1, 3, 8):
+            near, begin = passage_dedup.near_least(v, count, reach).tolist(), 0
+            for n in count.tolist():
+                assert near[begin:begin + n] == [min(v[max(begin, i - reach):min(begin + n, i + reach + 1)]) for i in range(begin, begin + n)]
+                begin += n
+
+
+def test_op10_tokens_do_not_depend_on_their_company():
+    texts = [b"One two  three four five six", b"", b"a b", b"x ONE two three\nfour five y", " é one two three four five\u00a0 z".encode()]
+    joined, count = passage_dedup.tokens(texts, 5)
+    alone = [passage_dedup.tokens([t], 5)[0] for t in texts]
+    assert count.tolist() == [2, 0, 0, 3, 3] and joined.tolist() == [x for a in alone for x in a.tolist()]
+    assert alone[0][0] == alone[3][1] and len(set(joined.tolist())) == 7
+
+
+def test_op10_long_texts_in_pieces():
+    rng = random.Random(8)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(3000)).encode()
+    w = passage_dedup.Windows(2, 5, 46, 1, 1, piece=700)
+    rows = [*w.add(1, 2, text), *w.flush()]
+    centres = np.concatenate([packs.unpack(body)[4] for bucket, body in rows if bucket == 0])
+    assert centres.max() > 2900 and len(centres) >= 2 * 2 * 2996 / 47 * 0.8
 
 
 def test_op10_longest_stretch():
