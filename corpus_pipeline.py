@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tejado.llm import bpe, line_templates, quality_rules, simhash, source_mix
-from tejado.llm.common import read_table, written
+from tejado.llm.common import few_files, read_table, written
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,12 +21,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: lines of recurring templates go from all documents but the first, and so do documents left empty."""
-    return line_templates.without_recurring_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    kept = few_files(line_templates.without_recurring_lines(docs))
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup over 3-word shingles, 2 bits: of each group the document of the smallest id stays."""
-    return simhash.one_of_each(docs, length=3, distance=2)
+    return few_files(simhash.one_of_each(docs, length=3, distance=2))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tejado.llm import bpe, exact_dedup, line_templates, passage_dedup, quality_rules, simhash, source_mix, suffix_dedup, toxicity, url_boost
-from tejado.llm.common import read_table
+from tejado.llm.common import few_files, read_table
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +17,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, _ = line_templates.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
-    return df.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+    return few_files(df).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(documents(spark, sf_dir), length=3, distance=2)
+    return few_files(simhash.near_duplicates(documents(spark, sf_dir), length=3, distance=2))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+    return few_files(exact_dedup.exact_duplicates(documents(spark, sf_dir)))
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = suffix_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"), span=50)
-    return df.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return few_files(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passage_dedup.passage_classes(documents(spark, sf_dir).select("doc_id", "text"), words=50, similarity=0.8, size=5)
+    return few_files(passage_dedup.passage_classes(documents(spark, sf_dir).select("doc_id", "text"), words=50, similarity=0.8, size=5))
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {

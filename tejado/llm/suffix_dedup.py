@@ -147,7 +147,7 @@ def span_rows(ids, sigs, start, end, n: int):
 class Factors:
     """Factors of the documents of one task: equal ones are settled here, one of each is sent on."""
 
-    def __init__(self, span: int, gram: int, buckets: int, doc_buckets: int, hot: np.ndarray, most: int = 2_000_000, chunk: int = 2_000_000):
+    def __init__(self, span: int, gram: int, buckets: int, doc_buckets: int, hot: np.ndarray, most: int = 700_000, chunk: int = 1_000_000):
         self.span, self.gram, self.buckets, self.doc_buckets, self.hot, self.most, self.chunk = span, gram, buckets, doc_buckets, hot, most, chunk
         self.texts, self.text_size, self.parts, self.held = [], 0, [], 0
 
@@ -323,7 +323,7 @@ def _hot_anchors(rows: DataFrame, n: int, span: int, gram: int, sample: int, sha
     return np.sort(np.array([r["anchor"] for r in found], np.int64).view(np.uint64))
 
 
-def without_repeats(docs: DataFrame, span: int = 50, gram: int = 20, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 16 << 20,
+def without_repeats(docs: DataFrame, span: int = 50, gram: int = 20, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 8 << 20,
                     hot_sample: int = 4_000, hot_share: float = 0.01, hot_least: int = 50) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the bytes that stay) of every row of ``docs``.
 
