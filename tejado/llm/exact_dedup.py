@@ -95,7 +95,8 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     index = build_index(entries, capacity, max_depth)
     check_bytes(docs, text, index, key)
     best = F.min(F.struct((-F.col("n_chars")).alias("shorter"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("best")
-    groups = index.groupBy("bucket", "key", "text_sha256").agg(best, F.count(F.lit(1)).alias("group_size"))
+    # written, so that the join back is dealt anew and a text with very many copies can be split there
+    groups = written(index.groupBy("bucket", "key", "text_sha256").agg(best, F.count(F.lit(1)).alias("group_size")), "exact-groups")
     return index.join(groups, ["bucket", "key", "text_sha256"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256", "n_chars")
 
