@@ -43,7 +43,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
     return df.withColumn("target", F.least(F.col("most"), F.coalesce(level * F.col("weight"), F.col("most")))).drop("weight", "most", "level")
 
 
-def plan(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, rows_per_range: int = 50_000) -> DataFrame:
+def plan(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, rows_per_range: int = 5_000) -> DataFrame:
     """One row per source: source, source_size, target, and the cut (epochs, cut_key, cut_due, cut_size).
 
     ``sized`` has source, key, size, a row per document. Rows with keys under ``cut_key`` are taken once more than
@@ -91,7 +91,7 @@ def apply_plan(rows: DataFrame, cuts: DataFrame, source: str, key: str, size: st
         (F.col("c.epochs") * n + once_more).cast("long").alias(names["taken"]))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 0, rows_per_range: int = 50_000,
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 0, rows_per_range: int = 5_000,
         doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """doc_id, source, size, source_size, target, taken for every row of ``docs``.
 
@@ -104,7 +104,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, see
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 0,
-                    rows_per_range: int = 50_000, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+                    rows_per_range: int = 5_000, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix as documents: every row as often as the mix takes it, with the columns of ``docs``.
 
     Documents stay whole: the one at a source's cut is taken once more if at least half of it is due. Texts without
