@@ -127,6 +127,7 @@ def recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 3, min_shar
     placed = written(lines.drop("tokens").join(template, ["leaf", "line"]).select("template", "doc_id", "doc_hash", "place"), "line-placed")
     per_doc = placed.select("template", "doc_id").distinct()
     counts = per_doc.groupBy("template").agg(F.count(F.lit(1)).alias("n_docs"), F.min(_document(F.col("doc_id"))).alias("first")).where(F.col("n_docs") >= min_docs)
+    counts = written(counts.select("template", "first"), "line-recurring")  # the join back is dealt anew: a very common template can be split there
     drop = placed.join(counts, "template").where(~F.col("doc_id").eqNullSafe(F.col("first.id")))
     return drop.groupBy("doc_id", "doc_hash").agg(F.collect_set("place").alias("places"))  # a document's own lines
 
