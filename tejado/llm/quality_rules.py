@@ -99,14 +99,14 @@ class DecisionList:
         for k, rule in enumerate(self.rules, 1):
             parts = [(F.col(columns[self.features[x.feature]]) > self.thresholds[x.feature][x.bin]) if x.above
                      else (F.col(columns[self.features[x.feature]]) <= self.thresholds[x.feature][x.bin]) for x in rule]
-            out = out.when(both(parts), F.lit(k))
+            out = out.when(all_of(parts), F.lit(k))
         return out.otherwise(0) if self.rules else F.lit(0)
 
     def __str__(self) -> str:
         return "; ".join(" and ".join(f"{self.features[x.feature]} {'>' if x.above else '<='} {self.thresholds[x.feature][x.bin]:.4g}" for x in r) for r in self.rules)
 
 
-def both(parts: list[Column]) -> Column:
+def all_of(parts: list[Column]) -> Column:
     out = F.lit(True)
     for p in parts:
         out = out & p
@@ -124,13 +124,13 @@ def fit(stats: DataFrame, columns: dict[str, str], bad: str, tie: str, features:
     got = stats.agg(*[F.percentile_approx(columns[f], quantiles, 10_000).alias(f) for f in features]).first()
     values = [sorted(set(got[f] or [])) for f in features]
     thresholds = [[(a + b) / 2 for a, b in zip(v, v[1:])] for v in values]  # halfway, so that a rule keeps off both sides
-    bins = F.array(*[both_sum([(F.col(columns[f]) > t).cast("int") for t in ts]) for f, ts in zip(features, thresholds)])
+    bins = F.array(*[sum(((F.col(columns[f]) > t).cast("int") for t in ts), F.lit(0)) for f, ts in zip(features, thresholds)])
     table = written(stats.select(bins.alias("bins"), F.col(bad).cast("int").alias("bad"), (F.pmod(F.xxhash64(tie, F.lit(5)), F.lit(3)) > 0).alias("grow")), "quality-bins")
     rules: list[list[Literal]] = []
     while len(rules) < max_rules:
         left = table
         for r in rules:
-            left = left.where(~both([x.on_bins() for x in r]))
+            left = left.where(~all_of([x.on_bins() for x in r]))
         rule = prune(left.where("not grow"), grow(left.where("grow"), thresholds, max_literals, min_cover), min_precision)
         if not rule:
             break
@@ -138,17 +138,10 @@ def fit(stats: DataFrame, columns: dict[str, str], bad: str, tie: str, features:
     return DecisionList(features, thresholds, rules)
 
 
-def both_sum(parts: list[Column]) -> Column:
-    out = F.lit(0)
-    for p in parts:
-        out = out + p
-    return out
-
-
 def grow(rows: DataFrame, thresholds: list[list[float]], max_literals: int, min_cover: int) -> list[Literal]:
     rule: list[Literal] = []
     while len(rule) < max_literals:
-        inside = rows.where(both([x.on_bins() for x in rule]))
+        inside = rows.where(all_of([x.on_bins() for x in rule]))
         counts = inside.select("bad", F.posexplode("bins").alias("f", "b")).groupBy("f", "b").agg(F.sum("bad").alias("p"), F.count(F.lit(1)).alias("n")).collect()  # features x bins rows
         table: dict[int, dict[int, tuple[int, int]]] = {}
         for r in counts:
@@ -182,7 +175,7 @@ def prune(rows: DataFrame, rule: list[Literal], min_precision: float) -> list[Li
         return []
     sums = []
     for k in range(1, len(rule) + 1):
-        hit = both([x.on_bins() for x in rule[:k]])
+        hit = all_of([x.on_bins() for x in rule[:k]])
         sums += [F.sum(F.when(hit, F.col("bad"))).alias(f"p{k}"), F.sum(F.when(hit, 1)).alias(f"n{k}")]
     got = rows.agg(*sums).first()
     score = [(got[f"p{k}"] or 0) / got[f"n{k}"] if got[f"n{k}"] else 0.0 for k in range(1, len(rule) + 1)]
