@@ -128,9 +128,9 @@ def _owners(spark, sf, fix_emails=False):
 
 _EM = f"replace(replace(regexp_replace(lower({ustrip('email')}), '\\s+', '', 'g'), ',', '.'), '..', '.')"
 _DOM = f"trim(string_split({_EM}, '@')[-1], '.')"
-_NEAR = ", ".join(f"{{'d': levenshtein({_DOM}, '{k}'), 'i': {i}, 'k': '{k}'}}" for i, k in enumerate(KNOWN_DOMAINS))
+_NEAR = ", ".join(f"{{'d': 2 * levenshtein({_DOM}, '{k}') - abs(length({_DOM}) - {len(k)}), 'i': {i}, 'k': '{k}'}}" for i, k in enumerate(KNOWN_DOMAINS))
 _FIXED = (f"(CASE {_DOM} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in DOMAIN_TYPOS.items()) + " ELSE coalesce("
-          f"list_sort(list_filter([{_NEAR}], lambda x: x.d * 100 <= 12 * greatest(length({_DOM}), length(x.k))))[1].k, {_DOM}) END)")
+          f"list_sort(list_filter([{_NEAR}], lambda x: x.d * 100 <= 12 * (length({_DOM}) + length(x.k))))[1].k, {_DOM}) END)")
 EMAIL = (f"(CASE WHEN email IS NULL THEN NULL WHEN NOT contains({_EM}, '@') THEN {_EM} "
          f"ELSE trim(split_part({_EM}, '@', 1), '.') || '@' || {_FIXED} END)")
 

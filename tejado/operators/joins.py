@@ -45,9 +45,14 @@ def spread_unmatchable(key, salt_cols: list[str], unmatchable=None) -> Column:
     return F.when(bad, salt).otherwise(key)
 
 
-def left_join_nonnull(left: DataFrame, right: DataFrame, key: str, salt_cols: list[str] | None = None) -> DataFrame:
-    """Left join on ``key`` where rows with a null or blank key are spread, not piled on one partition."""
-    salted = left.withColumn("__jk", spread_unmatchable(F.col(key), salt_cols or left.columns))
+def left_join_nonnull(left: DataFrame, right: DataFrame, key: str, salt_cols: list[str] | None = None,
+                      blank_matches: bool = False) -> DataFrame:
+    """Left join on ``key`` where rows with a null or blank key are spread, not piled on one partition.
+
+    ``blank_matches``: blank keys are values like any other; only null ones are spread.
+    """
+    unmatchable = F.col(key).isNull() if blank_matches else None
+    salted = left.withColumn("__jk", spread_unmatchable(F.col(key), salt_cols or left.columns, unmatchable))
     r = right.withColumnRenamed(key, "__rk")
     out = salted.join(r, on=salted["__jk"] == r["__rk"], how="left")
     return out.drop("__jk", "__rk")

@@ -20,6 +20,7 @@ from tejado.operators.arrays import ADD_RESERVATION, ADD_SALE, explode_items
 from tejado.operators.columns import ensure_columns
 from tejado.operators.dedup import keep_first, order_of
 from tejado.operators.filters import project_filter, stage_filter
+from tejado.operators.joins import left_join_nonnull
 from tejado.plans.stock import silver_projects, silver_sales
 
 # Receivables keep these item categories.
@@ -98,7 +99,7 @@ def receivables(sources: dict[str, DataFrame], projects=None, items_df: DataFram
     df = it.join(silver_projects(sources["proyectos"]), on="codigo_proyecto", how="left")
     df = project_filter(df, "proyecto_norm", projects)
     df = df.where(F.col("categoria").isin(KEPT_CATEGORIES))
-    df = df.join(clients(sources["clientes"]), on="documento_cliente", how="left")
+    df = left_join_nonnull(df, clients(sources["clientes"]), "documento_cliente", ["codigo_proforma", "codigo_item"], blank_matches=True)
     price = F.coalesce(F.col("precio_venta"), F.lit(0.0))
 
     def by_cat(cat):

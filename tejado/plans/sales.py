@@ -17,6 +17,7 @@ from tejado.operators.arrays import ADD_RESERVATION, ADD_SALE, explode_items
 from tejado.operators.columns import CalculatedColumns, ensure_columns, select_columns
 from tejado.operators.dedup import keep_first, order_of
 from tejado.operators.filters import project_filter
+from tejado.operators.joins import left_join_nonnull
 from tejado.plans.stock import process_facts, silver_clients, silver_coowners, silver_projects
 
 # Default exported columns, and the optional ones a user may add by name.
@@ -90,7 +91,7 @@ def sales_base(sources: dict[str, DataFrame], projects=None) -> DataFrame:
                           [("adicionales_sep_raw", ADD_RESERVATION), ("adicionales_ven_raw", ADD_SALE)], common)
     df = codes.join(units(sources["unidades"]), on="codigo_item", how="left")
     df = df.join(silver_projects(sources["proyectos"]), on="codigo_proyecto", how="left")
-    df = df.join(silver_clients(sources["clientes"]), on="documento_cliente", how="left")
+    df = left_join_nonnull(df, silver_clients(sources["clientes"]), "documento_cliente", ["codigo_proforma", "codigo_item"], blank_matches=True)
     df = df.join(silver_coowners(sources["procesos"], sources["clientes"]), on="codigo_proforma", how="left")
     df = project_filter(df, "proyecto_norm", projects)
     return df.select(

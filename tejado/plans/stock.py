@@ -227,7 +227,7 @@ def owners(s: dict[str, DataFrame]) -> DataFrame:
     df = df.withColumn("codigo_proyecto", F.coalesce("codigo_proyecto", "codigo_proyecto_unidad"))
     df = df.join(s["silver_proyectos"], on="codigo_proyecto", how="left")
     df = df.withColumn("proyecto", F.coalesce("proyecto", "proyecto_from_unidades"))
-    df = df.join(s["silver_clientes"], on="documento_cliente", how="left")
+    df = left_join_nonnull(df, s["silver_clientes"], "documento_cliente", ["codigo_proforma", "codigo_item"], blank_matches=True)
     df = df.join(s["silver_copropietarios"], on="codigo_proforma", how="left")
     df = df.select(
         "*",

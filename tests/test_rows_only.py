@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test table
 
 def test_closest_domain(spark):
     near = {"gmaill.com": "gmail.com", "gnail.com": "gmail.com", "hotmil.com": "hotmail.com", "contraloria.gob.pr": "contraloria.gob.pe",
-            "contralora.gob.p": "contraloria.gob.pe", "outlook.es": None, "gmail.com": None, "empresa.pe": None, "": None, None: None}
+            "contralora.gob.p": "contraloria.gob.pe", "live.co": "live.com", "gnaill.com": None, "outlook.es": None, "gmail.com": None, "empresa.pe": None, "": None, None: None}
     assert one_col(spark, list(near), closest_domain) == list(near.values())
     assert "gmial.com" in DOMAIN_TYPOS
 
