@@ -67,11 +67,10 @@ def with_fingerprints(docs: DataFrame, text: str, length: int, name: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, bits = batch.column(at), []
-            for low in range(0, len(texts), 500):
-                bits.append(fingerprints([shingle_hashes(t.as_py() or "", length) for t in texts[low:low + 500]]))
-            whole = np.concatenate(bits) if bits else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(whole.view(np.int64))], names=schema.names)
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                bits = fingerprints([shingle_hashes(t.as_py() or "", length) for t in part.column(at)])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bits.view(np.int64))], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
