@@ -33,14 +33,14 @@ def let(value: Column, body) -> Column:
 
 
 def few_files(df: DataFrame) -> DataFrame:
-    """``df`` in at most four partitions for each core of the cluster, without a shuffle: a write then makes no more files.
+    """``df`` in at most eight partitions for each core of the cluster, without a shuffle: a write then makes no more files.
 
     Where executors come and go (dynamic allocation) the cores at hand tell nothing, and ``df`` stays as it is.
     """
     context = df.sparkSession.sparkContext
     if context.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
         return df
-    return df.coalesce(4 * context.defaultParallelism)
+    return df.coalesce(8 * context.defaultParallelism)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
