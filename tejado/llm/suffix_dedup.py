@@ -188,20 +188,18 @@ class Factors:
         for bucket, body in span_rows(ids[later], sigs[later], first[later], first[later] + count[later] + self.span - 1, self.doc_buckets):
             yield self.buckets + bucket, body
         anchor, content, ids, sigs, first, count = (a[~later] for a in (anchor, content, ids, sigs, first, count))
-        low = np.uint64(0xFFFFFFFF)
-        key = (anchor & low) << np.uint64(32) | content >> np.uint64(32)
         for bucket, part in by_key(((anchor >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64)):
             # a document's factors stand together: its id and signature go once, with the number of factors
             i, s = ids[part], sigs[part]
             new = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (s[1:] != s[:-1])])
-            yield bucket, pack(key[part], steps(i[new]), s[new], np.diff(np.r_[new, len(part)]).astype(np.uint32), first[part], count[part])
+            yield bucket, pack(anchor[part], steps(i[new]), s[new], np.diff(np.r_[new, len(part)]).astype(np.uint32), first[part], count[part], content[part])
 
 
 def read_factors(values: list[bytes]):
     out = []
     for v in values:
-        key, ids, sigs, times, first, count = unpack(v)
-        out.append((key, np.repeat(np.cumsum(ids), times), np.repeat(sigs, times), first, count))
+        anchor, ids, sigs, times, first, count, content = unpack(v)
+        out.append((anchor, content, np.repeat(np.cumsum(ids), times), np.repeat(sigs, times), first, count))
     return [np.concatenate(a) for a in zip(*out)]
 
 
@@ -209,24 +207,24 @@ def settle(values: list[bytes], bucket: int, span: int, doc_buckets: int):
     """Rows (document bucket, kind, body) of a bucket of factors: spans (kind 0) and factors to compare (kind 1).
 
     In the order of (anchor, content, document) equal factors are neighbours, and all but the first document's have an
-    earlier copy. Factors of one anchor with different contents may share some of their windows only; if several
+    earlier copy: 64 bits of the anchor and 64 of the content tell them apart. Factors of one anchor with different contents may share some of their windows only; if several
     documents hold such, one of each goes on to be compared by its bytes.
     """
-    key, ids, sigs, first, count = read_factors(values)
-    order = np.lexsort((ids, key))
-    key, ids, sigs, first, count = (a[order] for a in (key, ids, sigs, first, count))
-    head = np.r_[True, key[1:] != key[:-1]]
+    anchor, content, ids, sigs, first, count = read_factors(values)
+    order = np.lexsort((ids, content, anchor))
+    anchor, content, ids, sigs, first, count = (a[order] for a in (anchor, content, ids, sigs, first, count))
+    head = np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]
     of = np.cumsum(head) - 1
     least = ids[head]
     later = ids > least[of]
     for side, body in span_rows(ids[later], sigs[later], first[later], first[later] + count[later] + span - 1, doc_buckets):
         yield side, 0, body
-    group = key[head] >> np.uint64(32)
+    group = anchor[head]
     start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     size = np.diff(np.r_[start, len(group)])
     several = (size > 1) & (np.minimum.reduceat(least, start) < np.maximum.reduceat(least, start))
     ask = np.flatnonzero(np.repeat(several, size)[of] & ~later)
-    name = (np.uint64(bucket) << np.uint64(32) | key >> np.uint64(32)).astype(np.int64)
+    name = (np.uint64(bucket) << np.uint64(32) | anchor & np.uint64(0xFFFFFFFF)).astype(np.int64)  # equal names of different anchors do no harm: bytes are compared
     for side, part in by_key(doc_bucket(ids[ask], sigs[ask], doc_buckets)):
         p = ask[part]
         yield side, 1, pack(name[p], ids[p], sigs[p], first[p], count[p])

@@ -134,6 +134,24 @@ def test_op8_long_texts_in_pieces():
     assert starts == list(range(len(text) - 49))
 
 
+def test_op8_half_equal_content_hashes_are_not_equal_text(spark):
+    """Two texts of one window with one anchor, whose content hashes agree in their upper 32 bits only."""
+    rng = np.random.default_rng(7)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    grams = letters[rng.integers(0, 26, 200_000)]
+    at = int(np.argmin(suffix_dedup.mix(suffix_dedup.Rolling(grams)(20))))
+    texts = letters[rng.integers(0, 26, (250_000, 50))]
+    texts[:, 15:35] = grams[at:at + 20]
+    size = np.full(len(texts), 50, np.int64)
+    anchor, content, doc, _, _ = suffix_dedup.factor_runs(texts.ravel(), np.cumsum(size) - size, size, 50, 20, np.empty(0, np.uint64))
+    assert (anchor == anchor[0]).mean() > 0.99
+    order = np.argsort(content)
+    near = np.flatnonzero((content[order][1:] >> np.uint64(32) == content[order][:-1] >> np.uint64(32)) & (anchor[order][1:] == anchor[order][:-1]))
+    assert len(near)
+    rows = [(k, texts[doc[order[n + k % 2]]].tobytes().decode()) for n in near for k in (2 * int(n), 2 * int(n) + 1)]
+    assert kept(suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == cut(rows, 50)
+
+
 def test_op8_query(spark):
     out = QUERIES["op8_substring_dedup"][0](spark, SF)
     assert rows_of(out) == cut([tuple(r) for r in documents(spark).select("doc_id", "text").collect()], 50)
