@@ -266,6 +266,34 @@ def test_op10_finds_planted_passages(spark):
     assert passage_dedup.passage_classes(df.limit(0)).count() == 0
 
 
+def test_op10_links_past_a_leader_that_fails(spark):
+    """Groups of one plain text between variants of another changed word each, a variant with the smallest id, against brute force."""
+    rng = random.Random(12)
+    fill = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 7))) for _ in range(n)]
+    rows, groups = [], []
+    for g in range(60):
+        passage, ids = fill([51, 55, 60, 70, 80][g % 5]), []
+        for c in range(6):
+            x = list(passage)
+            if c != 3:
+                x[8 + c * (len(x) - 16) // 5] = f"changed{g}x{c}"
+            ids.append(len(rows))
+            rows.append((len(rows), " ".join(fill(rng.randint(0, 80)) + x + fill(rng.randint(0, 80)))))
+        groups.append(ids)
+    token = [passage_dedup.tokens([t.encode()], 5)[0] for _, t in rows]
+    of = {r["doc_id"]: r["class_id"] for r in passage_dedup.passage_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    wanted = missed = 0
+    for ids in groups:
+        for x in ids:
+            for y in ids:
+                if y < x and next(passage_dedup.best_passages(token[x], token[y], 46, 0.8), None):
+                    wanted += 1
+                    missed += of[x] != of[y]
+        assert all(of[x] in ids for x in ids)
+    print("wanted", wanted, "missed", missed)
+    assert wanted > 300 and missed <= 0.02 * wanted
+
+
 def shingles_of(text, start, end):
     w = WORD.findall(text)[start:end]
     return [tuple(w[j:j + 5]) for j in range(len(w) - 4)]
