@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tejado.llm import bpe, exact_dedup, line_templates, passage_dedup, quality_rules, simhash, source_mix, suffix_dedup, toxicity, url_boost
+from tejado.llm import (bpe, exact_dedup, line_templates, passage_dedup, phrases, quality_rules, simhash, source_mix, suffix_dedup, token_counts,
+                        toxicity, url_boost, vector_codes)
 from tejado.llm.common import few_files, read_table
 
 
@@ -64,6 +65,22 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return few_files(passage_dedup.passage_classes(documents(spark, sf_dir).select("doc_id", "text"), words=50, similarity=0.8, size=5))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir), longest=3, min_count=10, contained=50, top=2000)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return vector_codes.encode_vectors(vectors, vector="embedding", parts=8, entries=16, rounds=6)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_exact_dedup": (op2_exact_dedup, exact_dedup.SQL),
@@ -75,4 +92,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_substring_dedup": (op8_substring_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_passage_dedup": (op10_passage_dedup, None),
+    "op11_phrases": (op11_phrases, phrases.SQL),
+    "op12_vector_codes": (op12_vector_codes, vector_codes.SQL),
+    "op13_token_counts": (op13_token_counts, None),
 }
