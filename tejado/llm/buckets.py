@@ -1,4 +1,6 @@
-"""Numbers under 64-bit hashes, dealt to buckets of hash ranges as packed arrays.
+"""Counts under hashes, dealt to buckets of hash ranges as packed arrays.
+
+Of a hash the first ``KEPT`` bits count, which is what a pack stores; hashes that agree in them are one key.
 
 Every flush of a task makes at most ``FAN`` packs, whatever the number of buckets. Where there are more buckets than that,
 a first shuffle gathers the packs of each of ``FAN`` wide ranges; its tasks read them as a stream and deal them out again
@@ -15,6 +17,8 @@ from pyspark.sql import DataFrame
 
 from tejado.llm.packs import pack, unpack
 
+KEPT = 40
+REST = np.uint64(64 - KEPT)
 FAN_BITS = 12
 FAN = 1 << FAN_BITS
 FLUSH = 2_000_000  # numbers held before a second deal flushes
@@ -26,24 +30,30 @@ def bucket_bits(items: float, per_bucket: int = 1_000_000, least: int = 6) -> in
 
 
 def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, ascending, and the sums of their counts."""
+    """Distinct keys (their first KEPT bits), ascending, and the sums of their counts."""
     if not len(keys):
         return keys, counts
+    keys = keys >> REST << REST
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[starts], np.add.reduceat(counts[order], starts)
 
 
+def narrow(a: np.ndarray) -> np.ndarray:
+    """The same numbers (none below 0) in the smallest type that holds them."""
+    return a.astype(np.min_scalar_type(int(a.max()))) if len(a) else a
+
+
 def packs(keys: np.ndarray, counts: np.ndarray, bits: int, group: int) -> Iterator[dict]:
-    """Rows (group, bucket, body) for ascending ``keys``; a bucket is the first ``bits`` bits of a key."""
+    """Rows (group, bucket, body) for ascending ``keys`` (:func:`counted`); a bucket is the first ``bits`` bits of a key."""
     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
     ends = np.flatnonzero(np.diff(bucket)) + 1
     for low, high in zip([0, *ends.tolist()], [*ends.tolist(), len(keys)]):
         if high > low:
-            small = counts[low:high]
-            small = small.astype(np.min_scalar_type(int(small.max())))
-            yield {"group": group, "bucket": int(bucket[low]), "body": pack(np.diff(keys[low:high], prepend=np.uint64(0)), small)}
+            start = np.uint64(bucket[low] << KEPT - bits)
+            step = np.diff(keys[low:high] >> REST, prepend=start)
+            yield {"group": group, "bucket": int(bucket[low]), "body": pack(start[None], narrow(step), narrow(counts[low:high]))}
 
 
 ROW = pa.schema([("group", pa.int32()), ("bucket", pa.int64()), ("body", pa.binary())])
@@ -65,8 +75,8 @@ def opened(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Keys and counts of several packs, put end to end."""
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for body in bodies:
-        step, n = unpack(body)
-        keys.append(np.cumsum(step, dtype=np.uint64))
+        start, step, n = unpack(body)
+        keys.append(start + np.cumsum(step, dtype=np.uint64) << REST)
         counts.append(n.astype(np.int64))
     return np.concatenate(keys), np.concatenate(counts)
 

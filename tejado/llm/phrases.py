@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tejado.llm import buckets
 from tejado.llm.common import written
-from tejado.llm.packs import pack, unpack
+from tejado.llm.packs import by_key, pack, unpack
 
 BREAK = b"\xff"  # stands for a piece's end; no byte of UTF-8
 MAP_BITS, CHUNK_BITS = 27, 19  # of the bitmap: 16 MB, made and sent in chunks of 64 kB
@@ -162,8 +162,8 @@ def _mined(texts: DataFrame, length: int, known: Bitmap | None, shards: int, sup
                 if shared:  # only those whose two parts of one word less have passed
                     both = alive[:-1] & alive[1:]
                     got.append(longer(phrase[:-1], hashes[ids][length - 1:])[both])
-                keys, counts = np.unique(np.concatenate(got), return_counts=True)
-                yield from buckets.packs(keys, counts, first, shard)
+                found = np.concatenate(got)
+                yield from buckets.packs(*buckets.counted(found, np.ones(len(found), np.int64)), first, shard)
 
         return buckets.batches_of(rows())
 
@@ -177,15 +177,64 @@ def _mined(texts: DataFrame, length: int, known: Bitmap | None, shards: int, sup
     return buckets.gathered(texts.mapInArrow(count, buckets.KIND), bits, frequent, schema, "chunk int, body binary")
 
 
-def _counts(texts: DataFrame, longest: int, known: Bitmap) -> DataFrame:
-    """lang, n_words, phrase, f: the whole table's counts of all phrases that ``known`` has; n_words 0 counts all words."""
+TEXT_ROW = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("body", pa.binary())])
+TEXT_KIND = "lang string, bucket long, body binary"
+
+
+def _text_packs(lang: str, phrases: list[bytes], counts: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Phrases and counts of one language as packs, by the first ``bits`` bits of the phrase's hash. No phrase holds a line feed."""
+    from xxhash import xxh64_intdigest
+
+    bucket = np.array([xxh64_intdigest(p) for p in phrases], np.uint64) >> np.uint64(64 - bits)
+    rows = [{"lang": lang, "bucket": b, "body": pack(buckets.narrow(counts[at]), np.frombuffer(b"\n".join([phrases[i] for i in at.tolist()]), np.uint8))}
+            for b, at in by_key(bucket.astype(np.int64))]
+    for low in range(0, len(rows), 256):
+        yield pa.RecordBatch.from_pylist(rows[low:low + 256], schema=TEXT_ROW)
+
+
+def _text_sums(bodies: list[bytes]) -> pa.Table:
+    """phrase, f: the phrases of several packs, each once, with the sum of its counts."""
+    held = [unpack(b) for b in bodies]
+    phrases = pa.chunked_array([pa.array(p.tobytes().split(b"\n"), pa.binary()) for _, p in held])
+    f = pa.chunked_array([pa.array(n.astype(np.int64)) for n, _ in held])
+    return pa.table({"phrase": phrases, "f": f}).group_by("phrase").aggregate([("f", "sum")]).rename_columns(["phrase", "f"])
+
+
+def _redealt(bits: int):
+    """Packs of wide buckets, dealt again to the narrow ones; holds about WORDS phrases."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, bodies in held.items():
+                sums = _text_sums(bodies)
+                yield from _text_packs(lang, sums.column("phrase").to_pylist(), sums.column("f").to_numpy(), bits)
+            held.clear()
+
+        held: dict[str, list[bytes]] = {}
+        size = 0
+        for batch in batches:
+            for r in batch.to_pylist():
+                held.setdefault(r["lang"], []).append(r["body"])
+                size += len(r["body"])
+                if size >= 8 * WORDS:
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    return run
+
+
+def _counts(texts: DataFrame, longest: int, known: Bitmap, min_count: int, bits: int) -> DataFrame:
+    """lang, n_words, phrase, f: the phrases that ``known`` has and the whole table holds ``min_count`` times; n_words 0 counts all words.
+
+    Tasks send their counts as packs of phrases, which shrink to a few bytes a phrase; the phrases are summed by their text.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(known)
-    schema = pa.schema([("lang", pa.string()), ("n_words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
+    first = min(bits, buckets.FAN_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in flushes(batches):
             ids, words, hashes = held.taken()
-            yield pa.RecordBatch.from_arrays([pa.array([held.lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([int((ids > 0).sum())], pa.int64())], schema=schema)
+            found_texts, found_counts = [pa.array([b""], pa.binary())], [np.array([(ids > 0).sum()], np.int64)]  # all words, as the empty phrase
             number, texts_of = ids, pa.array(words.tolist(), pa.binary())  # of the phrases one word shorter
             word_of = texts_of
             for n, alive, _ in _places(ids, hashes, longest, shared.value):
@@ -198,12 +247,24 @@ def _counts(texts: DataFrame, longest: int, known: Bitmap) -> DataFrame:
                     texts_of = _joined(texts_of.take(pa.array(found >> 32)), word_of.take(pa.array(found & 0xFFFFFFFF)))
                 number = np.zeros(len(alive), np.int64)
                 number[at] = which
-                for low in range(0, len(found), 50_000):
-                    part = texts_of.slice(low, 50_000).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array([held.lang] * len(part)), pa.array([n] * len(part), pa.int32()), part, pa.array(f[low:low + 50_000], pa.int64())], schema=schema)
+                found_texts.append(texts_of)
+                found_counts.append(f)
+            yield from _text_packs(held.lang, pa.chunked_array(found_texts).to_pylist(), np.concatenate(found_counts), first)
+
+    def total(table: pa.Table) -> pa.Table:
+        import pyarrow.compute as pc
+
+        sums = _text_sums(table.column("body").to_pylist())
+        sums = sums.filter(pc.or_(pc.greater_equal(sums.column("f"), min_count), pc.equal(pc.binary_length(sums.column("phrase")), 0)))
+        phrase = sums.column("phrase").combine_chunks().cast(pa.string())
+        spaces = pc.count_substring(phrase, " ")
+        n_words = pc.if_else(pc.equal(pc.binary_length(phrase), 0), 0, pc.add(spaces, 1)).cast(pa.int32())
+        return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * len(sums), pa.string()), "n_words": n_words, "phrase": phrase, "f": sums.column("f")})
 
-    partial = texts.mapInArrow(count, "lang string, n_words int, phrase string, f long")
-    return partial.groupBy("lang", "n_words", "phrase").agg(F.sum("f").alias("f"))
+    dealt = texts.mapInArrow(count, TEXT_KIND)
+    if bits > buckets.FAN_BITS:
+        dealt = dealt.repartition("lang", "bucket").mapInArrow(_redealt(bits), TEXT_KIND)
+    return dealt.groupBy("lang", "bucket").applyInArrow(total, "lang string, n_words int, phrase string, f long")
 
 
 def _joined(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -221,8 +282,7 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", longe
     known = Bitmap().unite(_mined(texts, 2, None, shards, support, buckets.bucket_bits(size / 4)))
     for length in range(3, longest + 1):
         known.unite(_mined(texts, length, known, shards, support, buckets.bucket_bits(size / 8)))
-    counts = _counts(texts, longest, known)
-    return written(counts.where((F.col("f") >= min_count) | (F.col("n_words") == 0)), "phrase-counts")
+    return written(_counts(texts, longest, known, min_count, buckets.bucket_bits(size / 8)), "phrase-counts")
 
 
 def _slice(words: str, start: str, length: str) -> str:
