@@ -22,6 +22,7 @@ from tejado.plans.adapters import read_base, view
 from tejado.functions.keys import doc_key
 from tejado.session import scratch_path
 from tejado.sinks import writers as wr
+from tejado.sources.readers import read_csv
 
 PROJECTS = ["Edificio Módena Brand#3", "  edificio modena BRAND#5 ", ""]
 
@@ -101,24 +102,46 @@ SELECT proyecto, estado_comercial, count(codigo) AS unidades,
   round(coalesce(sum(precio_de_lista_actual), 0), 2) AS valor_lista_actual FROM stock GROUP BY 1, 2""")
 def snk09(spark, sf):
     """SNK-09: detail, summary and per-project parts of one run written as one bundle. The mart is computed once, for the
-    detail; the other parts are made from what was written. All three are read back and must agree."""
+    detail; the summary is made from it, the parts too, and what is returned is the summary of the parts as read back."""
     base = scratch_path(spark, "snk09")
-    detail = wr.write_bundle({"detalle": st.build_marts(sources(spark, sf))[2]}, base)["detalle"]
-    stock = spark.read.parquet(detail)
-    paths = wr.write_bundle({"resumen": db.stock_summary(stock)}, base)
-    parts = wr.split_by_group(stock, "proyecto", f"{base}/por_proyecto", default="SIN_PROYECTO")
-    whole = spark.read.parquet(f"{base}/por_proyecto").groupBy("proyecto").agg(F.count("codigo").alias("__n"))
-    assert parts.agg(F.sum("filas")).first()[0] == stock.count()
-    resumen = spark.read.parquet(paths["resumen"])
-    keep = resumen.join(whole, resumen["proyecto"].eqNullSafe(whole["proyecto"]), "left_semi")
-    return keep
-
-
-@register("wd06_file_order", "SELECT o_orderkey, row_number() OVER () - 1 AS fila FROM orders")
+    detail = spark.read.parquet(wr.write_bundle({"detalle": st.build_marts(sources(spark, sf))[2]}, base)["detalle"])
+    summary = spark.read.parquet(wr.write_bundle({"resumen": db.stock_summary(detail)}, base)["resumen"])
+    wr.split_by_group(detail, "proyecto", f"{base}/por_proyecto", default="SIN_PROYECTO")
+    parts = db.stock_summary(wr.read_export(spark, f"{base}/por_proyecto")).select(*summary.columns)
+    return parts.intersect(summary)
+
+
+@register("wd06_file_order", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderstatus, o_orderkey) - 1 AS fila FROM orders")
 def wd06(spark, sf):
-    """WD-06: file row order from ``_metadata`` (file name, row index) carried as a column."""
-    o = dd.with_file_order(read_base(spark, sf, "orders"))
-    return o.select("o_orderkey", F.col("row_order.row_index").alias("fila"))
+    """WD-06: the order of rows in CSV files of several folders with equal file names, as places from 0. Every task writes
+    one file into each status folder; paths go before the places in a file."""
+    base = scratch_path(spark, "wd06")
+    orders = read_base(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    orders.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderstatus", "o_orderkey") \
+        .write.partitionBy("o_orderstatus").option("header", True).csv(base)
+    rows = dd.with_file_order(read_csv(spark, f"{base}/*/*.csv", "o_orderkey long"))
+    return dd.row_positions(rows, ["row_order"], "fila").select("o_orderkey", "fila")
+
+
+_PLACE = "row_number() OVER (ORDER BY {}) - 1 AS fila"
+
+
+@register("so01_sorted_stock", with_ctes(STOCK_VIEWS, CTE_STOCK + [("stock", STOCK)])
+          + "SELECT codigo, proyecto, " + _PLACE.format(", ".join(f"{c} NULLS LAST" for c in st.STOCK_ORDER)) + " FROM stock")
+def so01(spark, sf):
+    """SO-01: the stock mart in display order, as each row's place."""
+    mart = st.build_marts(sources(spark, sf))[2].select(*st.STOCK_ORDER)
+    return dd.row_positions(mart, st.STOCK_ORDER, "fila").select("codigo", "proyecto", "fila")
+
+
+@register("so02_sorted_receivables", with_ctes(STOCK_VIEWS, CTE_RECEIVABLES + [("cobrar", RECEIVABLES)])
+          + "SELECT codigo_proyecto, documento_cliente, total_venta_items, " + _PLACE.format(
+              "proyecto NULLS LAST, total_venta_items DESC NULLS LAST, codigo_proyecto NULLS LAST, documento_cliente NULLS LAST")
+          + " FROM cobrar")
+def so02(spark, sf):
+    """SO-02: receivables by project, the largest total first, as each row's place."""
+    rows = rc.receivables(sources(spark, sf)).select("proyecto", "codigo_proyecto", "documento_cliente", "total_venta_items")
+    return dd.row_positions(rows, rc.receivables_order(), "fila").drop("proyecto")
 
 
 @register("sc35_kpi_text", with_ctes(STOCK_VIEWS, CTE_STOCK + [("stock", STOCK)]) + """

@@ -125,10 +125,14 @@ def snk02(spark, sf):
 
 @register("job04_medallion_gold", with_ctes(STOCK_VIEWS, CTE_STOCK) + STOCK)
 def job04(spark, sf):
-    """JOB-04: raw -> bronze -> silver -> gold written as layers, gold stock loaded back."""
+    """JOB-04: raw -> bronze -> silver -> gold written as layers, gold stock loaded back. The raw tables are several files
+    each, without an order column: which row is first or last is told by the files alone, through bronze."""
     base = scratch_path(spark, "job04")
-    raw = {n: view(spark, sf, n) for n in md.RAW_TABLES}
-    owners, stock = md.run_all(spark, base, raw)
+    for name in md.RAW_TABLES:
+        order = "id_proceso" if name == "procesos" else "orden_fila"
+        table = view(spark, sf, name).repartitionByRange(3, order).sortWithinPartitions(order).drop(order)
+        table.write.parquet(f"{base}/raw/{name}.parquet")
+    owners, stock = md.run_all(spark, base)
     return stock
 
 
@@ -156,11 +160,16 @@ _LABEL = f"coalesce(nullif({ustrip('asesor')}, ''), 'Sin Asesor')"
 
 
 @register("job17_export_by_advisor", with_ctes(["procesos"], []) + f"""
-SELECT {_LABEL} AS grupo, count(*) AS filas FROM procesos GROUP BY 1""")
+SELECT {_LABEL} AS grupo, id_proceso, codigo_proforma, count(*) OVER (PARTITION BY {_LABEL}) AS filas FROM procesos""")
 def job17(spark, sf):
-    """JOB-17: one folder per advisor (SNK-05, SC-34; null and blank -> Sin Asesor) + manifest."""
+    """JOB-17: rows by advisor (SNK-05, SC-34; null and blank -> Sin Asesor), exported twice into one folder, the first
+    time under another name for missing advisors; the rows and the manifest's counts are read back."""
     path = scratch_path(spark, "job17")
-    return ex.export_by_advisor(view(spark, sf, "procesos"), path).select("grupo", "filas")
+    processes = view(spark, sf, "procesos")
+    ex.export_by_advisor(processes, path, default="Nadie")
+    ex.export_by_advisor(processes, path)
+    counts = wr.export_manifest(spark, path).select("grupo", "filas")
+    return wr.read_export(spark, path).join(counts, "grupo").select("grupo", "id_proceso", "codigo_proforma", "filas")
 
 
 _SENS = ["documento", "nombres", "apellidos", "cliente", "celulares", "telefono", "email"]

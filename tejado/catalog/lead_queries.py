@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from tejado.catalog import register
 from tejado.catalog.sqlfn import ustrip, with_ctes
 from tejado.functions.rules import EXCLUSION_RULES
 from tejado.plans import leads as ld
 from tejado.plans.adapters import view
+from tejado.session import scratch_path
+from tejado.sources.readers import read_csv
 
 # the audited month of the lead feed (all of it lies in January 2024)
 PROJECT, START, END = "purchase", "2024-01-01", "2024-01-30"
@@ -104,10 +109,25 @@ SELECT nombre, documento_exclusion, correo_exclusion, telefono_exclusion, proyec
 CTE_EXCL = [("ex0", EX0), ("excl", EXCL)]
 
 
+INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def ordered_csv(df, order, base):
+    """The rows in ``order`` as CSV files, without that column: folders by range, so that path and file order is row order."""
+    ranges = df.repartitionByRange(5, order).withColumn("tramo", F.spark_partition_id()).sortWithinPartitions("tramo", order)
+    exact = {"timestampNTZFormat": INSTANT, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    ranges.drop(order).write.options(header=True, **exact).partitionBy("tramo").csv(base)
+
+
 @register("job11_exclusion_list", with_ctes(["leads"], CTE_EXCL) + "SELECT * FROM excl")
 def job11_exclusion(spark, sf):
-    """JOB-11: SC-24 reason, SC-25 keys, WD-04 composite keep-last."""
-    return ld.exclusion_list(view(spark, sf, "leads"))
+    """JOB-11: SC-24 reason, SC-25 keys, WD-04 composite keep-last. The leads are CSV files in several folders without an
+    order column, written in the view's order; "last" is the last in path and file order (WD-06)."""
+    base = scratch_path(spark, "job11")
+    leads = view(spark, sf, "leads")
+    ordered_csv(leads, "orden_fila", base)
+    plain = T.StructType([f for f in leads.schema if f.name != "orden_fila"])
+    return ld.exclusion_list(read_csv(spark, f"{base}/*/*.csv", plain, timestampNTZFormat=INSTANT))
 
 
 @register("ag19_reason_counts", with_ctes(["leads"], CTE_EXCL)

@@ -1,8 +1,10 @@
 """Layered run: raw -> bronze -> silver -> gold, rebuild gold only, load gold (JOB-04).
 
 Each layer is a folder of Parquet tables under ``base``. Bronze adds lineage
-columns (SNK-02); silver and gold are the JOB-01..03 plans. Writing each layer
-cuts lineage, so a lost executor recomputes from the last written layer only.
+columns (SNK-02) and the rows' order in the raw files, which decides what
+"first" and "last" mean in silver; silver and gold are the JOB-01..03 plans.
+Writing each layer cuts lineage, so a lost executor recomputes from the last
+written layer only.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tejado.plans import stock as st
-from tejado.sinks.writers import with_lineage
+from tejado.sinks.writers import with_lineage, with_row_order
 from tejado.sources.readers import read_required
 
 RAW_TABLES = ["unidades", "proyectos", "clientes", "procesos"]
@@ -25,7 +27,7 @@ def _p(base: str, layer: str, name: str) -> str:
 def build_bronze(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     out = {}
     for name in RAW_TABLES:
-        df = with_lineage(read_required(spark, _p(base, "raw", name)))
+        df = with_lineage(with_row_order(read_required(spark, _p(base, "raw", name))))
         df.write.mode("overwrite").parquet(_p(base, "bronze", name))
         out[name] = read_required(spark, _p(base, "bronze", name))
     return out

@@ -122,9 +122,13 @@ def receivables(sources: dict[str, DataFrame], projects=None, items_df: DataFram
         total("DEPA").alias("total_departamentos"), total("ESTAC").alias("total_estacionamientos"),
         total("DEPO").alias("total_depositos"), F.round(sum_zero(price), 2).alias("total_venta_items"))
     out = out.withColumn("documento_cliente_norm", doc_key("documento_cliente")).select(*RECEIVABLES_COLS)
-    if sort:
-        out = out.orderBy(F.col("proyecto").asc_nulls_last(), F.col("total_venta_items").desc_nulls_last())
-    return out
+    return out.orderBy(*receivables_order()) if sort else out
+
+
+def receivables_order() -> list:
+    """SO-02: by project, the largest total first; equal totals by project code and client."""
+    return [F.col("proyecto").asc_nulls_last(), F.col("total_venta_items").desc_nulls_last(),
+            F.col("codigo_proyecto").asc_nulls_last(), F.col("documento_cliente").asc_nulls_last()]
 
 
 def item_mix(items_df: DataFrame) -> DataFrame:

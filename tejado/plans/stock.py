@@ -245,7 +245,7 @@ OWNER_COLS_FOR_STOCK = ["codigo", "comprador", "dni_comprador", "copropietario_1
                         "dni_coprop_2", "copropietario_3", "dni_coprop_3", "precio_venta"]
 
 
-STOCK_ORDER = ["proyecto", "tipo_de_unidad", "nombre"]
+STOCK_ORDER = ["proyecto", "tipo_de_unidad", "nombre", "codigo"]
 
 
 def stock(s: dict[str, DataFrame], owners_df: DataFrame) -> DataFrame:

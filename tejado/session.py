@@ -72,3 +72,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder path inside the shared checkpoint folder (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df, name: str):
+    """``df`` written to the shared checkpoint folder and read back: computed once, lineage cut, lost executors survived."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

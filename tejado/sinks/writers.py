@@ -8,14 +8,17 @@ rows, the later ones are made from the first as written.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tejado.functions.contacts import anonymise_frame
 from tejado.functions.text import safe_label, ustrip
-from tejado.operators.dedup import unique_labels
+from tejado.operators.dedup import ROW_ORDER, straight_from_files, unique_labels, with_file_order
+from tejado.session import staged
 
 
 def with_lineage(df: DataFrame, prefix: str = "_bronze") -> DataFrame:
@@ -24,6 +27,15 @@ def with_lineage(df: DataFrame, prefix: str = "_bronze") -> DataFrame:
                      F.col("_metadata.file_path").alias(f"{prefix}_source_file"))
 
 
+def with_row_order(df: DataFrame) -> DataFrame:
+    """The rows' order in their files as a column (``ROW_ORDER``) that later layers carry; a table that has it keeps it.
+
+    Spark writes and reads files in an order of its own (large ones first), so without this a rewritten table has lost
+    which row came first. One narrow pass: no sort, no shuffle.
+    """
+    return df if ROW_ORDER in df.columns else with_file_order(df, ROW_ORDER)
+
+
 def cast_void(df: DataFrame) -> DataFrame:
     """SNK-04: untyped (void / null-literal) columns become strings so every format can store them."""
     return df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.NullType)
@@ -45,6 +57,41 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return [path + "_csv", path]
 
 
+# Printable characters that Spark writes as %XX in the folder names of partitions; % first.
+ESCAPED = "%\"#'*/:=?\\{[]^"
+
+
+def _folder_name(label) -> Column:
+    """A label as Spark writes it in a partition folder's name."""
+    for c in ESCAPED:
+        label = F.replace(label, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return label
+
+
+VERSIONS = "_versiones"
+VERSION_SCHEMA = "numero long, carpeta string, grupos long, filas long"
+
+
+def _versions(spark, base: str) -> list:
+    """The finished versions of an export, oldest first (a few rows: old ones are dropped from the folder, not from here)."""
+    try:
+        return spark.read.schema(VERSION_SCHEMA).json(f"{base}/{VERSIONS}").orderBy(F.col("numero").desc(), "carpeta").limit(100).collect()[::-1]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return []
+
+
+def _drop_folders(spark, base: str, keep: str) -> None:
+    """Removes all version folders but ``keep``; any store that Spark writes to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in store.listStatus(path):
+        name = f.getPath().getName()
+        if name.startswith("v=") and name != keep:
+            store.delete(f.getPath(), True)
+
+
 def split_by_group(df: DataFrame, group_col: str, path: str, default: str = "Sin Asesor", max_len: int = 80,
                    rows_per_file: int = 1_000_000) -> DataFrame:
     """SNK-05: one folder per value of the group column (stripped; null/blank -> ``default``) plus a manifest.
@@ -52,24 +99,60 @@ def split_by_group(df: DataFrame, group_col: str, path: str, default: str = "Sin
     Values make the groups; the label (illegal characters replaced, cut, made unique without regard to case) only names
     the folder. Rows are dealt by label and, in groups of over ``rows_per_file`` rows, by a hash, so a group gets as many
     files as it needs and no more. Returns the manifest (grupo, filas, etiqueta, carpeta), most rows first.
+
+    Every run writes a whole new version folder (rows and manifest) and then appends one row to the list of versions,
+    which makes it the current one; the folders of the versions before go last. So a second run replaces the first,
+    groups that have vanished included, and a run broken midway leaves the former export as it was
+    (:func:`read_export`, :func:`export_manifest`). One run at a time per folder.
+
+    The input is computed once: unless it is read straight from files, it is written to the scratch folder first.
     """
-    spark = df.sparkSession
+    spark, base = df.sparkSession, path.rstrip("/")
+    before = _versions(spark, base)
+    number = before[-1]["numero"] + 1 if before else 1
+    version = f"v={number:06d}-{uuid.uuid4().hex[:8]}"
+    src = df if straight_from_files(df) else staged(df, "export-rows")
     value = F.coalesce(F.nullif(ustrip(F.col(f"`{group_col}`").cast("string")), F.lit("")), F.lit(default))
-    counts = df.groupBy(value.alias("grupo")).agg(F.count(F.lit(1)).alias("filas"))  # one row per group
+    counts = src.groupBy(value.alias("grupo")).agg(F.count(F.lit(1)).alias("filas"))  # one row per group
     counts = counts.withColumn("__label", F.lower(safe_label(F.col("grupo"), max_len=max_len - 6, default=default)))
     labels = unique_labels(counts, "__label", "__unique", max_len=max_len, order_by=["grupo"])
     shown = F.concat(safe_label(F.col("grupo"), max_len=max_len - 6, default=default), F.substring("__unique", F.length("__label") + 1, F.lit(max_len)))
     table = labels.select("grupo", "filas", shown.alias("etiqueta"))
-    manifest_path = f"{path.rstrip('/')}/_manifest"
-    table.withColumn("carpeta", F.concat(F.lit(path.rstrip("/") + "/__grupo="), "etiqueta")).write.mode("overwrite").parquet(manifest_path)
-    manifest = spark.read.parquet(manifest_path)
+    folder = F.concat(F.lit(f"{base}/{version}/rows/__grupo="), _folder_name(F.col("etiqueta")))
+    table.withColumn("carpeta", folder).write.parquet(f"{base}/{version}/manifest")
+    manifest = spark.read.parquet(f"{base}/{version}/manifest")
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)]), F.ceil(F.col("filas") / rows_per_file))
-    rows = df.withColumn("__value", value).join(manifest.select(F.col("grupo").alias("__value"), "filas", F.col("etiqueta").alias("__grupo")), "__value")
+    rows = src.withColumn("__value", value).join(manifest.select(F.col("grupo").alias("__value"), "filas", F.col("etiqueta").alias("__grupo")), "__value")
     rows = rows.withColumn("__salt", salt).repartition("__grupo", "__salt")
-    rows.select(*[f"`{c}`" for c in df.columns], "__grupo").write.mode("append").partitionBy("__grupo").parquet(path)
+    rows.select(*[f"`{c}`" for c in df.columns], "__grupo").write.partitionBy("__grupo").parquet(f"{base}/{version}/rows")
+    total = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("filas"), F.lit(0))).first()
+    spark.createDataFrame([(number, version, *total)], VERSION_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/{VERSIONS}")
+    _drop_folders(spark, base, keep=version)
     return manifest.orderBy(F.col("filas").desc(), F.col("grupo"))
 
 
+def _current(spark, path: str) -> str:
+    base = path.rstrip("/")
+    finished = _versions(spark, base)
+    if not finished:
+        raise FileNotFoundError(f"no finished export in {path}")
+    return f"{base}/{finished[-1]['carpeta']}"
+
+
+def export_manifest(spark, path: str) -> DataFrame:
+    """The manifest of the current version of a :func:`split_by_group` folder."""
+    return spark.read.parquet(f"{_current(spark, path)}/manifest")
+
+
+def read_export(spark, path: str) -> DataFrame:
+    """The rows of the current version, each with its ``grupo``."""
+    current = _current(spark, path)
+    found = spark.read.parquet(f"{current}/rows")
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name == "__grupo" else f.dataType) for f in found.schema])
+    labels = spark.read.parquet(f"{current}/manifest").select(F.col("etiqueta").alias("__grupo"), "grupo")
+    return spark.read.schema(as_text).parquet(f"{current}/rows").join(labels, "__grupo").drop("__grupo")
+
+
 def write_versioned(df: DataFrame, base: str, ledger_path: str, name: str, stamp: str | None = None) -> str:
     """SNK-06: never overwrite in place: write ``<base>/v=<stamp>`` and append a pointer row to the run ledger."""
     stamp = stamp or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")

@@ -37,9 +37,9 @@ def read_required(spark: SparkSession, path: str, fmt: str = "parquet", normaliz
     return normalize_names(df) if normalize else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """SRC-04: header row; a UTF-8 BOM on the first header is dropped by Spark's CSV reader."""
-    reader = spark.read.option("header", True).option("encoding", "UTF-8")
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options) -> DataFrame:
+    """SRC-04: header row; a UTF-8 BOM on the first header is dropped by Spark's CSV reader. ``options``: Spark's own."""
+    reader = spark.read.options(**{"header": True, "encoding": "UTF-8", **options})
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
     return reader.csv(path)
 

@@ -52,8 +52,8 @@ def test_split_by_group_labels_blank_and_null(spark, tmp_path):
     assert sorted(got[2:]) == sorted([("Luis/Ruiz", 1), ("Luis:Ruiz", 1), ("ANA", 1), (long + "a", 1), (long + "b", 1)])
     labels = [r[0].lower() for r in rows(man, "etiqueta")]
     assert len(set(labels)) == len(labels) and max(map(len, labels)) <= 80
-    for grupo, etiqueta in rows(man, "grupo", "etiqueta"):
-        held = spark.read.parquet(str(tmp_path / "out" / f"__grupo={etiqueta}".replace(":", "%3A")))
+    for grupo, carpeta in rows(man, "grupo", "carpeta"):
+        held = spark.read.parquet(carpeta)
         assert {(r[0] or "").strip() or "Sin Asesor" for r in rows(held, "asesor")} == {grupo}
 
 
