@@ -111,11 +111,18 @@ def snk09(spark, sf):
     return parts.intersect(summary)
 
 
-@register("wd06_file_order", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderstatus, o_orderkey) - 1 AS fila FROM orders")
+@register("wd06_file_order", "SELECT o_orderkey, row_number() OVER () - 1 AS fila FROM orders")
 def wd06(spark, sf):
+    """WD-06: file row order from ``_metadata`` carried as a column; of one Parquet file, the rows' index in it."""
+    o = dd.with_file_order(read_base(spark, sf, "orders"))
+    return o.select("o_orderkey", F.col("row_order.place").alias("fila"))
+
+
+@register("wd06_csv_order", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderstatus, o_orderkey) - 1 AS fila FROM orders")
+def wd06_csv(spark, sf):
     """WD-06: the order of rows in CSV files of several folders with equal file names, as places from 0. Every task writes
     one file into each status folder; paths go before the places in a file."""
-    base = scratch_path(spark, "wd06")
+    base = scratch_path(spark, "wd06csv")
     orders = read_base(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     orders.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderstatus", "o_orderkey") \
         .write.partitionBy("o_orderstatus").option("header", True).csv(base)

@@ -51,6 +51,14 @@ def snk03(spark, sf):
     return rd.read_by_extension(spark, f"{base}/customer.parquet", required=["c_custkey", "c_name"])
 
 
+@register("snk04_untyped_column", "SELECT *, CAST(NULL AS VARCHAR) AS sin_tipo FROM supplier")
+def snk04(spark, sf):
+    """SNK-04: a column that is only nulls has no type; it is written as text and read back so."""
+    path = scratch_path(spark, "snk04")
+    wr.write_table(read_base(spark, sf, "supplier").withColumn("sin_tipo", F.lit(None)), path)
+    return rd.read_required(spark, path)
+
+
 # Fixed values (test shaping): ledger folder per order status.
 STATUS_FOLDER = {"F": "tablon_URSA", "O": "tablon_LYNX", "P": "tablon_CYGNUS"}
 STATUS_COMPANY = {"F": "URSA", "O": "LYNX", "P": "CYGNUS"}
@@ -95,7 +103,7 @@ def snk06(spark, sf):
     """SNK-06: two versions written side by side, the ledger pointer picks the latest."""
     base = scratch_path(spark, "snk06")
     part = read_base(spark, sf, "part")
-    wr.write_versioned(part.limit(0), f"{base}/part", f"{base}/_ledger", "part", stamp="20240101T000000")
+    wr.write_versioned(part.withColumn("p_name", F.lit("antes")), f"{base}/part", f"{base}/_ledger", "part", stamp="20240101T000000")
     wr.write_versioned(part, f"{base}/part", f"{base}/_ledger", "part", stamp="20240102T000000")
     return spark.read.parquet(wr.current_version(spark, f"{base}/_ledger", "part"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tejado.catalog import register
 from tejado.catalog.sqlfn import nt, num, pct, ustrip, with_ctes
 from tejado.catalog.stock_queries import CTE_STOCK, STOCK, STOCK_VIEWS, sources
-from tejado.functions.dates import parse_timestamp
+from tejado.functions.dates import as_timestamp, parse_timestamp
 from tejado.functions.numbers import to_number, to_percent
 from tejado.functions.text import norm_alnum, norm_text
 from tejado.operators import aggregates as ag
@@ -115,22 +115,39 @@ def sc01(spark, sf):
     return d.select("doc_id", norm_text("text").alias("texto_norm"), norm_alnum("text").alias("texto_alnum"))
 
 
-_DATE_TXT = ("CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y') "
-             "WHEN 2 THEN strftime(o_orderdate, '%Y/%m/%d') WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') "
-             "ELSE 'sin fecha' END")
-_DATE_TXT_SPARK = ("CASE o_orderkey % 5 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') "
-                   "WHEN 1 THEN date_format(o_orderdate, 'dd/MM/yyyy') WHEN 2 THEN date_format(o_orderdate, 'yyyy/MM/dd') "
-                   "WHEN 3 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') ELSE 'sin fecha' END")
+# Fixed values (test shaping): spellings of the order date, by key, as DuckDB and as Spark write them.
+DATE_SPELLINGS = [
+    ("%Y-%m-%d", "yyyy-MM-dd"), ("%d/%m/%Y", "dd/MM/yyyy"), ("%Y/%m/%d", "yyyy/MM/dd"), ("%Y-%m-%d %H:%M:%S", "yyyy-MM-dd HH:mm:ss"),
+    ("%d/%m/%Y %I:%M %p", "dd/MM/yyyy hh:mm a"), ("%d/%m/%y", "dd/MM/yy"), ("%Y-%m", "yyyy-MM"), ("%d %b %Y", "d MMM yyyy"),
+    ("%B %d, %Y", "MMMM d, yyyy"), ("%d-%m-%Y", "dd-MM-yyyy"), ("%Y%m%d", "yyyyMMdd"), ("%d.%m.%Y", "dd.MM.yyyy"),
+]
+DATE_WRITTEN = {"%d %b %Y": "%-d %b %Y", "%B %d, %Y": "%B %-d, %Y"}  # as DuckDB writes a day of one digit
+_N = len(DATE_SPELLINGS) + 1
+_AT = "(o_orderdate + to_minutes(o_orderkey % 1439))"
+_DATE_TXT = (f"CASE o_orderkey % {_N} " + " ".join(f"WHEN {i} THEN strftime({_AT}, '{DATE_WRITTEN.get(f, f)}')" for i, (f, _) in enumerate(DATE_SPELLINGS))
+             + " ELSE 'sin fecha' END")
+_DATE_TXT_SPARK = (f"CASE o_orderkey % {_N} " + " ".join(f"WHEN {i} THEN date_format(o_orderdate + make_dt_interval(0, 0, o_orderkey % 1439), '{f}')"
+                                                       for i, (_, f) in enumerate(DATE_SPELLINGS)) + " ELSE 'sin fecha' END")
 
 
-@register("sc07_lenient_dates", f"""
-SELECT o_orderkey, t AS fecha_texto, coalesce(try_strptime(t, '%Y-%m-%d %H:%M:%S'), try_strptime(t, '%Y-%m-%d'),
-  try_strptime(t, '%Y/%m/%d'), try_strptime(t, '%d/%m/%Y')) AS fecha
-FROM (SELECT o_orderkey, {_DATE_TXT} AS t FROM orders) q""")
+@register("sc07_lenient_dates", "SELECT o_orderkey, t AS fecha_texto, coalesce(" + ", ".join(
+    f"try_strptime(t, '{f}')" for f, _ in sorted(DATE_SPELLINGS, key=lambda x: "%y" not in x[0])) + f") AS fecha FROM (SELECT o_orderkey, {_DATE_TXT} AS t FROM orders) q")
 def sc07(spark, sf):
-    """SC-07: text dates in mixed formats, every row tries every format (day-first); bad text -> null."""
+    """SC-07: dates in a dozen spellings, every row read by its own; bad text -> null. Nobody says that the day comes first:
+    the column's values do."""
     df = spark.sql(f"SELECT o_orderkey, {_DATE_TXT_SPARK} AS fecha_texto FROM {{o}}", o=base(spark, sf, "orders"))
-    return df.withColumn("fecha", parse_timestamp(F.col("fecha_texto"), dayfirst=True))
+    return df.withColumn("fecha", as_timestamp(df, "fecha_texto"))
+
+
+@register("sc07_month_first", """
+SELECT o_orderkey, o_orderdate AS fecha, CAST(true AS BOOLEAN) AS al_reves FROM orders""")
+def sc07_month_first(spark, sf):
+    """SC-07 for a column that writes the month first, and the same read with the wrong order given: days after the 12th
+    come out right all the same."""
+    df = spark.sql("SELECT o_orderkey, o_orderdate, date_format(o_orderdate, 'M/d/yyyy') AS t FROM {o}", o=base(spark, sf, "orders"))
+    wrong = parse_timestamp(F.col("t"), dayfirst=True)
+    return df.select("o_orderkey", as_timestamp(df, "t").alias("fecha"),
+                     ((F.dayofmonth("o_orderdate") <= 12) | (wrong == F.col("o_orderdate"))).alias("al_reves"))
 
 
 _NUM_TXT = ("CASE l_linenumber % 6 WHEN 0 THEN ' ' || CAST(l_quantity AS {t}) || ' ' WHEN 1 THEN CAST(l_quantity AS {t}) || 'd' "
@@ -253,7 +270,7 @@ AG20 = " UNION ALL ".join(
 
 @register("ag20_profile_lineitem", AG20)
 def ag20(spark, sf):
-    """AG-20: one aggregation pass over every column of lineitem, one row per column."""
+    """AG-20: one scan and one unpivot over every column of lineitem, one row per column."""
     return ag.profile(base(spark, sf, "lineitem")).drop("ejemplo")
 
 
@@ -331,6 +348,16 @@ def ag13_status(spark, sf):
     return db.status_mix(_stock(spark, sf))
 
 
+@register("prj03_first_existing", with_ctes(["unidades"], []) + """
+SELECT codigo, tipo_unidad AS tipo, estado_comercial AS estado, CAST(NULL AS VARCHAR) AS ninguno FROM unidades""")
+def prj03(spark, sf):
+    """PRJ-03: of several columns the first that holds a value (the first candidate is all null; then one that isn't)."""
+    u = view(spark, sf, "unidades").withColumn("tipo_de_unidad", F.lit(None).cast("string"))
+    return u.select("codigo", co.first_existing(u, ["no_hay", "tipo_de_unidad", "tipo_unidad"]).alias("tipo"),
+                    co.first_existing(u, ["estado_comercial", "tipo_unidad"]).alias("estado"),
+                    co.first_existing(u, ["no_hay"]).alias("ninguno"))
+
+
 @register("flt11_facets_search", with_ctes(STOCK_VIEWS, CTE_Q) + """
 SELECT * FROM stock WHERE proyecto IS NOT NULL AND estado_comercial IN ('Disponible')
   AND tipo_de_unidad IN ('departamento dúplex', 'Estacionamiento Simple') AND contains(lower(concat_ws(' ',

@@ -7,14 +7,12 @@ single result row; no per-column jobs.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tejado.functions._util import col_of
 from tejado.functions.text import ustrip
-from tejado.session import scratch_path
 
 
 def first_non_null(x, order) -> Column:
@@ -65,57 +63,83 @@ def value_counts(df: DataFrame, cols: list[str], dropna: bool = False, out: str
     return src.groupBy(*cols).agg(F.count(F.lit(1)).alias(out))
 
 
+def _unpivot_slots(field: T.StructField) -> tuple[dict[str, Column], Column]:
+    """How a column's values stand in the unpivoted table, where equal values stay equal and others differ: as a whole
+    number ``l``, a double ``d`` or a text ``s``; and the value's text, made from that."""
+    c, kind = F.col(f"`{field.name}`"), field.dataType
+    whole, real, text = F.col("l"), F.col("d"), F.col("s")
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return {"l": c.cast("long")}, whole.cast("string")
+    if isinstance(kind, T.BooleanType):
+        return {"l": c.cast("long")}, (whole == 1).cast("string")
+    if isinstance(kind, T.DateType):
+        return {"l": F.unix_date(c).cast("long")}, F.date_from_unix_date(whole.cast("int")).cast("string")
+    if isinstance(kind, T.TimestampType):
+        return {"l": F.unix_micros(c)}, F.timestamp_micros(whole).cast("string")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return {"d": c.cast("double")}, real.cast(kind).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return {"s": F.hex(c)}, F.unhex(text).cast("string")
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return {"s": F.to_json(F.struct(c))}, F.get_json_object(text, "$." + field.name)
+    return {"s": c.cast("string")}, text
+
+
 def profile(df: DataFrame, order: str | None = None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """AG-20: one row per column: variable, tipo_python, filas, no_nulos, nulos, porcentaje_nulos,
     valores_unicos, porcentaje_unicos (of the non-null values), ejemplo (first non-null in ``order``,
-    else the smallest value).
+    else the smallest value as text); the columns with most nulls first, then those with fewest values.
 
-    Counts and examples come from one aggregation pass. Exact distinct counts
-    come from a union of one-column aggregates, so each branch scans only its
-    column (no 1-row-per-column ``Expand`` of the whole table);
-    ``approx=True`` uses HyperLogLog in the single pass instead. A derived table is written to the shared scratch folder
-    first, so that the branches read files and don't each compute it again.
+    One scan: every row is unpivoted to (column, value), which the tasks count before the shuffle; the values are dealt
+    by column and value, so a column of many values is spread over all tasks, and then counted per column.
+    ``approx=True`` counts distinct values by HyperLogLog instead, without a shuffle of values.
     """
-    try:
-        df.select("_metadata")
-    except AnalysisException:
-        if not approx:
-            path = scratch_path(df.sparkSession, "profile")
-            df.write.parquet(path)
-            df = df.sparkSession.read.schema(df.schema).parquet(path)
-    cols = [c for c in df.columns if c != order]
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(cols):
-        col = F.col(f"`{c}`")
-        aggs.append(F.count(col).alias(f"n{i}"))
-        if approx:
-            aggs.append(F.approx_count_distinct(col, rsd).alias(f"d{i}"))
-        example = first_non_null(col.cast("string"), order) if order else F.min(col.cast("string"))
-        aggs.append(example.alias(f"e{i}"))
-    one = df.agg(*aggs)
-    dtypes = dict(df.dtypes)
-    structs = [F.struct(F.lit(i).alias("__i"), F.lit(c).alias("variable"), F.lit(dtypes[c]).alias("tipo_python"),
-                        F.col(f"n{i}").alias("no_nulos"),
-                        (F.col(f"d{i}").cast("long") if approx else F.lit(None).cast("long")).alias("__d"),
-                        F.col(f"e{i}").alias("ejemplo")) for i, c in enumerate(cols)]
-    long = one.select(F.col("__rows").alias("filas"), F.explode(F.array(*structs)).alias("s")).select("filas", "s.*")
-    if approx:
-        long = long.withColumnRenamed("__d", "valores_unicos")
-    else:
-        from functools import reduce
-        parts = [df.agg(F.count_distinct(F.col(f"`{c}`")).alias("valores_unicos")).withColumn("__i", F.lit(i))
-                 for i, c in enumerate(cols)]
-        distinct = reduce(lambda a, b: a.unionByName(b), parts)
-        long = long.drop("__d").join(distinct, "__i")  # one row per column on both sides
+    cols = [f for f in df.schema if f.name != order]
+    names = df.sparkSession.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(cols)], "__i int, variable string, tipo_python string")
+    found = _profile_approx(df, cols, order, rsd) if approx else _profile_exact(df, cols, order)
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    long = names.join(found, "__i", "left").select("__i", "variable", "tipo_python", zero("filas"), zero("no_nulos"), zero("valores_unicos"), "ejemplo")
     nulls = F.col("filas") - F.col("no_nulos")
-    return long.select(
-        "variable", "tipo_python", "filas", "no_nulos", nulls.alias("nulos"),
+    out = long.select(
+        "__i", "variable", "tipo_python", "filas", "no_nulos", nulls.alias("nulos"),
         F.when(F.col("filas") > 0, F.round(nulls * 100.0 / F.col("filas"), 2)).otherwise(F.lit(0.0))
          .alias("porcentaje_nulos"),
         "valores_unicos",
         F.when(F.col("no_nulos") > 0, F.round(F.col("valores_unicos") * 100.0 / F.col("no_nulos"), 2))
          .otherwise(F.lit(0.0)).alias("porcentaje_unicos"),
         "ejemplo")
+    return out.orderBy(F.desc("porcentaje_nulos"), "valores_unicos", "__i").drop("__i")
+
+
+def _profile_exact(df: DataFrame, cols: list[T.StructField], order: str | None) -> DataFrame:
+    """__i, filas, no_nulos, valores_unicos, ejemplo."""
+    slots = [_unpivot_slots(f) for f in cols]
+    kinds = {"l": "long", "d": "double", "s": "string"}
+    place = [F.col(f"`{order}`").alias("__ord")] if order else []
+    wide = df.select(*place, *[at.get(k, F.lit(None).cast(kind)).alias(f"{k}{i}") for i, (at, _) in enumerate(slots) for k, kind in kinds.items()])
+    sets = ", ".join(f"(l{i}, d{i}, s{i}) AS `{i}`" for i in range(len(cols)))
+    tall = df.sparkSession.sql(f"SELECT * FROM {{w}} UNPIVOT INCLUDE NULLS ((l, d, s) FOR __c IN ({sets}))", w=wide)
+    first = [F.min("__ord").alias("__first")] if order else []
+    values = tall.groupBy("__c", "l", "d", "s").agg(F.count(F.lit(1)).alias("n"), *first)
+    there = F.col("l").isNotNull() | F.col("d").isNotNull() | F.col("s").isNotNull()
+    text = F.when(F.col("__c") == "0", slots[0][1]) if slots else F.lit(None)
+    for i, (_, shown) in enumerate(slots[1:], 1):
+        text = text.when(F.col("__c") == str(i), shown)
+    text = F.when(there, text)
+    example = F.min_by(text, F.when(there, F.col("__first"))) if order else F.min(text)
+    return values.groupBy(F.col("__c").cast("int").alias("__i")).agg(
+        F.sum("n").alias("filas"), F.sum(F.when(there, F.col("n"))).alias("no_nulos"), F.count_if(there).alias("valores_unicos"), example.alias("ejemplo"))
+
+
+def _profile_approx(df: DataFrame, cols: list[T.StructField], order: str | None, rsd: float) -> DataFrame:
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, f in enumerate(cols):
+        col = F.col(f"`{f.name}`")
+        example = first_non_null(col.cast("string"), order) if order else F.min(col.cast("string"))
+        aggs += [F.count(col).alias(f"n{i}"), F.approx_count_distinct(col, rsd).alias(f"d{i}"), example.alias(f"e{i}")]
+    structs = [F.struct(F.lit(i).alias("__i"), F.col(f"n{i}").alias("no_nulos"), F.col(f"d{i}").alias("valores_unicos"), F.col(f"e{i}").alias("ejemplo"))
+               for i in range(len(cols))]
+    return df.agg(*aggs).select(F.col("__rows").alias("filas"), F.explode(F.array(*structs)).alias("s")).select("filas", "s.*")
 
 
 def date_like_columns(df: DataFrame, word: str = "fecha") -> list[str]:

@@ -35,6 +35,8 @@ def build_bronze(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
 def build_silver(spark: SparkSession, base: str, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     silver = st.silver(bronze)
+    silver["procesos_por_proforma"].write.mode("overwrite").parquet(_p(base, "silver", "procesos_por_proforma"))
+    silver |= st.silver_of_facts(read_required(spark, _p(base, "silver", "procesos_por_proforma")))  # computed once, for three tables
     for name in SILVER_TABLES:
         silver[name].write.mode("overwrite").parquet(_p(base, "silver", name))
     return load_silver(spark, base)

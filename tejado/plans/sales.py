@@ -18,7 +18,7 @@ from tejado.operators.columns import CalculatedColumns, ensure_columns, select_c
 from tejado.operators.dedup import keep_first, order_of
 from tejado.operators.filters import project_filter
 from tejado.operators.joins import left_join_nonnull
-from tejado.plans.stock import process_facts, silver_clients, silver_coowners, silver_projects
+from tejado.plans.stock import COOWNERS, process_facts, silver_clients, silver_projects
 
 # Default exported columns, and the optional ones a user may add by name.
 DEFAULT_COLUMNS = ["proyecto", "tipo_unidad", "num_unidad", "comprador", "dni_comprador", "copropietario_1",
@@ -83,16 +83,15 @@ def coowners_from_columns(procesos: DataFrame, order_col: str = "id_proceso", sl
 
 def sales_base(sources: dict[str, DataFrame], projects=None) -> DataFrame:
     """Every (proforma, item) of active reservations, sold or pending, with unit, client and co-owners."""
-    base = process_facts(sources["procesos"]).where("con_separacion")
+    base = process_facts(sources["procesos"], sources["clientes"]).where("con_separacion")
     base = base.withColumn("estado_operacion", operation_status(F.col("fecha_minuta")))
     common = ["documento_cliente", "codigo_proyecto", "fecha_separacion", "fecha_minuta", "tipo_financiamiento",
-              "estado_operacion"]
+              "estado_operacion", *COOWNERS]
     codes = explode_items(base, "codigo_principal",
                           [("adicionales_sep_raw", ADD_RESERVATION), ("adicionales_ven_raw", ADD_SALE)], common)
     df = codes.join(units(sources["unidades"]), on="codigo_item", how="left")
     df = df.join(silver_projects(sources["proyectos"]), on="codigo_proyecto", how="left")
     df = left_join_nonnull(df, silver_clients(sources["clientes"]), "documento_cliente", ["codigo_proforma", "codigo_item"], blank_matches=True)
-    df = df.join(silver_coowners(sources["procesos"], sources["clientes"]), on="codigo_proforma", how="left")
     df = project_filter(df, "proyecto_norm", projects)
     return df.select(
         "*", unit_number(F.col("item_nombre"), F.col("codigo_item"), F.col("tipo_unidad_raw")).alias("num_unidad"),

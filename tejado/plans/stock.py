@@ -1,9 +1,10 @@
 """Stock and owners marts: silver tables, owners, full stock, layered run (JOB-01..04).
 
 One lazy plan per output. Shuffles: the keep-first/last steps (partial
-``WindowGroupLimit`` before the exchange), the sale aggregate per proforma,
-the co-owner aggregate, and the joins onto the item/unit facts; dimensions
-(projects, clients) are joined by key and sized at run time by AQE.
+``WindowGroupLimit`` before the exchange), the two aggregates of the process
+facts (reservation, sale and co-owners of a proforma), and the joins onto the
+item/unit facts; dimensions (projects, clients) are joined by key and sized at
+run time by AQE.
 """
 
 from __future__ import annotations
@@ -60,12 +61,11 @@ STOCK_HEADERS = {
 
 def silver_units(unidades: DataFrame, order_col: str = "orden_fila") -> DataFrame:
     """Unit master: aliases coalesced per row, type label, prices parsed; first row per code."""
-    tipo_col = first_existing(unidades, ["tipo_de_unidad", "tipo_unidad"])
-    estado_col = first_existing(unidades, ["estado_comercial", "estado"])
+    tipo = first_existing(unidades, ["tipo_de_unidad", "tipo_unidad"])
+    estado = first_existing(unidades, ["estado_comercial", "estado"])
     unidades, order_col = order_of(unidades, order_col)
     u = ensure_columns(unidades, ["codigo", "nombre", "codigo_proyecto", "proyecto", "torre"])
     purchase = coalesce_numbers(u, PURCHASE_LIST_PRICE)
-    tipo = F.col(tipo_col).cast("string") if tipo_col else F.lit(None).cast("string")
     out = u.select(
         F.col("codigo").cast("string").alias("codigo"),
         F.col("codigo").cast("string").alias("codigo_item"),
@@ -75,7 +75,7 @@ def silver_units(unidades: DataFrame, order_col: str = "orden_fila") -> DataFram
         unit_name(F.col("nombre")).alias("nombre"),
         tipo.alias("tipo_de_unidad"),
         unit_type_stock(tipo).alias("tipo_de_unidad_norm"),
-        (F.col(estado_col).cast("string") if estado_col else F.lit(None).cast("string")).alias("estado_comercial_raw"),
+        estado.alias("estado_comercial_raw"),
         coalesce_numbers(u, SALE_PRICE).alias("precio_venta_unidad"),
         purchase.alias("precio_lista_al_comprar_unidad"),
         F.coalesce(coalesce_numbers(u, CURRENT_LIST_PRICE), purchase).alias("precio_de_lista_actual"),
@@ -135,82 +135,95 @@ def silver_sales(procesos: DataFrame, order_col: str = "id_proceso") -> DataFram
                                    F.col(order_col)).alias("adicionales_ven_raw")))
 
 
-def process_facts(procesos: DataFrame, order_col: str = "id_proceso") -> DataFrame:
-    """Reservations and sales of a proforma in one row, from one pass over the processes.
+def client_names_by_doc(clientes: DataFrame, order_col: str = "orden_fila") -> DataFrame:
+    """JN-08 dictionary as a table: normalised document -> client name, first row per document."""
+    clientes, order_col = order_of(clientes, order_col)
+    c = ensure_columns(clientes, ["documento", "nombres", "apellidos", "cliente"])
+    t = c.select(doc_key(F.col("documento")).alias("doc_key"),
+                 client_name(F.col("cliente"), F.col("nombres"), F.col("apellidos")).alias("nombre_doc"),
+                 F.col(order_col).alias("__ord")).where(F.col("doc_key").isNotNull())
+    return keep_first(t, ["doc_key"], "__ord").drop("__ord")
+
 
-    One ``groupBy(codigo_proforma)``: the last reservation, the last active one, and the sale's date and packed list
-    (AG-01, AG-02). Which reservation counts depends on whether any in the table is active (FLT-08): a scalar subquery
-    over these rows, whose shuffle Spark reuses. Columns: those of the silver reservations and sales, ``usuario_separacion``,
+COOWNERS = [f"{c}_{i}" for i in (1, 2, 3) for c in ("copropietario", "dni_coprop")]
+
+
+def process_facts(procesos: DataFrame, clientes: DataFrame, order_col: str = "id_proceso") -> DataFrame:
+    """Reservations, sales and co-owners of a proforma in one row, from one pass over the processes.
+
+    A process row becomes its facts and up to three co-owner documents (AR-02: co-owners column, then spouse, distinct, in
+    list order). Grouped by (proforma, slot, document), pre-aggregated before the shuffle, that leaves the last reservation,
+    the last active one, the sale's date and packed list (AG-01, AG-02), and every distinct document of a slot once with
+    its first place. Names are looked up for those (JN-08); the second grouping, by proforma, takes the first document
+    and the first name of each slot (AG-08).
+
+    Which reservation counts depends on whether any in the table is active (FLT-08): a scalar subquery that reads stage,
+    status and proforma only. Columns: those of the silver reservations, sales and co-owners, ``usuario_separacion``,
     ``con_separacion`` and ``con_venta``.
     """
     procesos, order_col = order_of(procesos, order_col)
     p = ensure_columns(procesos, ["fecha_inicio", "fecha_fin", "codigo_proforma", "documento_cliente", "codigo_unidad",
                                   "codigo_proyecto", "estado", "tipo_financiamiento", "codigo_unidades_asignadas", "nombre",
-                                  "usuario_separacion", "usuario", "asesor"])
+                                  "usuario_separacion", "usuario", "asesor", "documento_copropietarios", "documento_conyuge"])
+    p = p.where(F.col("codigo_proforma").isNotNull())
     text = lambda c: F.col(c).cast("string")
-    rows = p.where(F.col("codigo_proforma").isNotNull()).select(
-        text("codigo_proforma").alias("codigo_proforma"), F.col(order_col).alias("__ord"),
-        norm_text(F.col("nombre")).alias("__etapa"), F.coalesce(norm_text(F.col("estado")) == "ACTIVO", F.lit(False)).alias("__activa"),
+    active = F.coalesce(norm_text(F.col("estado")) == "ACTIVO", F.lit(False))
+    stage = norm_text(F.col("nombre"))
+    some_active = p.agg(F.coalesce(F.max((stage == "SEPARACION") & active), F.lit(False))).scalar()
+    docs = distinct_docs([F.col("documento_copropietarios"), F.col("documento_conyuge")], doc_key)
+    slots = F.concat(F.array(F.struct(F.lit(0).alias("slot"), F.lit(None).cast("string").alias("doc"))),
+                     F.transform(F.slice(docs, 1, 3), lambda x, i: F.struct((i + 1).alias("slot"), x.alias("doc"))))
+    rows = p.select(
+        text("codigo_proforma").alias("codigo_proforma"), F.col(order_col).alias("__ord"), stage.alias("__etapa"), active.alias("__activa"),
         as_timestamp(p, "fecha_fin").alias("__fin"), text("codigo_unidades_asignadas").alias("__packed"),
         F.struct(as_timestamp(p, "fecha_inicio").alias("fecha_separacion"), text("documento_cliente").alias("documento_cliente"),
                  text("codigo_unidad").alias("codigo_principal"), text("codigo_proyecto").alias("codigo_proyecto"),
                  text("tipo_financiamiento").alias("tipo_financiamiento"), text("codigo_unidades_asignadas").alias("adicionales_sep_raw"),
-                 F.coalesce("usuario_separacion", "usuario", "asesor").cast("string").alias("usuario_separacion")).alias("__sep"))
-    is_sep, is_sale = F.coalesce(F.col("__etapa") == "SEPARACION", F.lit(False)), F.coalesce(F.col("__etapa") == "VENTA", F.lit(False))
-    facts = rows.groupBy("codigo_proforma").agg(
+                 F.coalesce("usuario_separacion", "usuario", "asesor").cast("string").alias("usuario_separacion")).alias("__sep"),
+        F.explode(slots).alias("__s"))
+    fact = F.col("__s.slot") == 0
+    is_sep, is_sale = fact & (F.col("__etapa") == "SEPARACION"), F.coalesce(fact & (F.col("__etapa") == "VENTA"), F.lit(False))
+    found = rows.groupBy("codigo_proforma", F.col("__s.slot").alias("__slot"), F.col("__s.doc").alias("doc_key")).agg(
         F.max_by("__sep", F.when(is_sep, F.col("__ord"))).alias("__any"),
         F.max_by("__sep", F.when(is_sep & F.col("__activa"), F.col("__ord"))).alias("__active"),
         F.max(F.when(is_sale, F.col("__fin"))).alias("fecha_minuta"),
         first_non_null("__packed", F.when(is_sale, F.col("__ord"))).alias("adicionales_ven_raw"),
-        F.max(is_sale).alias("con_venta"))
-    some_active = facts.agg(F.coalesce(F.max(F.col("__active").isNotNull()), F.lit(False))).scalar()
-    chosen = facts.withColumn("__r", F.when(some_active, F.col("__active")).otherwise(F.col("__any")))
-    return chosen.select("codigo_proforma", "__r.*", "fecha_minuta", "adicionales_ven_raw", "con_venta", F.col("__r").isNotNull().alias("con_separacion"))
+        F.max(is_sale).alias("con_venta"), F.min("__ord").alias("__first"))
+    found = found.withColumn("__r", F.when(some_active, F.col("__active")).otherwise(F.col("__any"))).drop("__any", "__active")
+    named = left_join_nonnull(found, client_names_by_doc(clientes), "doc_key", ["codigo_proforma", "__slot"])
+    at = lambda i: F.when(F.col("__slot") == i, F.col("__first"))
+    pairs = [(first_non_null("nombre_doc", at(i)), first_non_null("doc_key", at(i))) for i in (1, 2, 3)]
+    one = named.groupBy("codigo_proforma").agg(  # only a proforma's row of slot 0 has facts
+        F.first("__r", ignorenulls=True).alias("__r"), F.max("fecha_minuta").alias("fecha_minuta"), F.max("adicionales_ven_raw").alias("adicionales_ven_raw"),
+        F.max("con_venta").alias("con_venta"), *[x.alias(n) for n, x in zip(COOWNERS, [x for pair in pairs for x in pair])])
+    return one.select("codigo_proforma", "__r.*", "fecha_minuta", "adicionales_ven_raw", "con_venta", F.col("__r").isNotNull().alias("con_separacion"), *COOWNERS)
 
 
-def client_names_by_doc(clientes: DataFrame, order_col: str = "orden_fila") -> DataFrame:
-    """JN-08 dictionary as a table: normalised document -> client name, first row per document."""
-    clientes, order_col = order_of(clientes, order_col)
-    c = ensure_columns(clientes, ["documento", "nombres", "apellidos", "cliente"])
-    t = c.select(doc_key(F.col("documento")).alias("doc_key"),
-                 client_name(F.col("cliente"), F.col("nombres"), F.col("apellidos")).alias("nombre_doc"),
-                 F.col(order_col).alias("__ord")).where(F.col("doc_key").isNotNull())
-    return keep_first(t, ["doc_key"], "__ord").drop("__ord")
-
-
-def silver_coowners(procesos: DataFrame, clientes: DataFrame, order_col: str = "id_proceso",
-                    slots: int = 3) -> DataFrame:
-    """AR-02 + AG-08: up to three co-owner documents per process row (co-owners column, then spouse,
-    distinct, in list order), names looked up, then merged per proforma slot by slot."""
-    procesos, order_col = order_of(procesos, order_col)
-    p = ensure_columns(procesos, ["codigo_proforma", "documento_copropietarios", "documento_conyuge"])
-    docs = distinct_docs([F.col("documento_copropietarios"), F.col("documento_conyuge")], doc_key)
-    rows = p.where(F.col("codigo_proforma").isNotNull()).select(
-        F.col("codigo_proforma").cast("string").alias("codigo_proforma"),
-        F.col(order_col).alias("__ord"),
-        F.posexplode_outer(F.slice(docs, 1, slots)).alias("__pos", "doc_key"))
-    named = left_join_nonnull(rows, client_names_by_doc(clientes), "doc_key", ["codigo_proforma", "__ord", "__pos"])
-    aggs = []
-    for i in range(slots):
-        slot = F.col("__pos") == i
-        aggs.append(first_non_null(F.when(slot, F.col("nombre_doc")), "__ord").alias(f"copropietario_{i + 1}"))
-        aggs.append(first_non_null(F.when(slot, F.col("doc_key")), "__ord").alias(f"dni_coprop_{i + 1}"))
-    return named.groupBy("codigo_proforma").agg(*aggs)
+def silver_coowners(procesos: DataFrame, clientes: DataFrame, order_col: str = "id_proceso") -> DataFrame:
+    """AR-02 + AG-08: up to three co-owners per proforma, slot by slot: the co-owner columns of the process facts."""
+    return process_facts(procesos, clientes, order_col).select("codigo_proforma", *COOWNERS)
 
 
 def silver(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """JOB-01: the six silver tables, and the process facts that two of them are columns of."""
-    facts = process_facts(sources["procesos"])
+    """JOB-01: the six silver tables, and the process facts that three of them are columns of."""
+    facts = process_facts(sources["procesos"], sources["clientes"])
     return {
-        "procesos_por_proforma": facts,
         "silver_unidades": silver_units(sources["unidades"]),
         "silver_proyectos": silver_projects(sources["proyectos"]),
         "silver_clientes": silver_clients(sources["clientes"]),
+        **silver_of_facts(facts),
+    }
+
+
+def silver_of_facts(facts: DataFrame) -> dict[str, DataFrame]:
+    """The process facts (lazy, or as written) and the silver tables made of their columns."""
+    return {
+        "procesos_por_proforma": facts,
         "silver_separaciones": facts.where("con_separacion").select(
             "fecha_separacion", "codigo_proforma", "documento_cliente", "codigo_principal", "codigo_proyecto",
             "tipo_financiamiento", "adicionales_sep_raw"),
         "silver_ventas": facts.where("con_venta").select("codigo_proforma", "fecha_minuta", "adicionales_ven_raw"),
-        "silver_copropietarios": silver_coowners(sources["procesos"], sources["clientes"]),
+        "silver_copropietarios": facts.select("codigo_proforma", *COOWNERS),
     }
 
 
@@ -218,8 +231,9 @@ def owners(s: dict[str, DataFrame]) -> DataFrame:
     """JOB-02: one row per (unit, proforma) of every signed sale."""
     facts = s.get("procesos_por_proforma")
     base = (facts.where("con_separacion AND con_venta") if facts is not None
-            else s["silver_separaciones"].join(s["silver_ventas"], on="codigo_proforma", how="inner"))
-    common = ["documento_cliente", "codigo_proyecto", "fecha_separacion", "fecha_minuta", "tipo_financiamiento"]
+            else s["silver_separaciones"].join(s["silver_ventas"], on="codigo_proforma", how="inner")
+            .join(s["silver_copropietarios"], on="codigo_proforma", how="left"))
+    common = ["documento_cliente", "codigo_proyecto", "fecha_separacion", "fecha_minuta", "tipo_financiamiento", *COOWNERS]
     codes = explode_items(base, "codigo_principal",
                           [("adicionales_sep_raw", ADD_RESERVATION), ("adicionales_ven_raw", ADD_SALE)], common)
     uni = s["silver_unidades"].withColumnRenamed("codigo_proyecto", "codigo_proyecto_unidad")
@@ -228,7 +242,6 @@ def owners(s: dict[str, DataFrame]) -> DataFrame:
     df = df.join(s["silver_proyectos"], on="codigo_proyecto", how="left")
     df = df.withColumn("proyecto", F.coalesce("proyecto", "proyecto_from_unidades"))
     df = left_join_nonnull(df, s["silver_clientes"], "documento_cliente", ["codigo_proforma", "codigo_item"], blank_matches=True)
-    df = df.join(s["silver_copropietarios"], on="codigo_proforma", how="left")
     df = df.select(
         "*",
         unit_name(F.col("nombre"), F.col("codigo_item")).alias("__nombre"),

@@ -154,7 +154,7 @@ def test_columns_helpers(spark):
     with pytest.raises(KeyError):
         co.require_columns(df, ["zz"])
     t = spark.createDataFrame([(None, "v"), (None, "w")], "a string, b string")
-    assert co.first_existing(t, ["a", "b", "c"]) == "b" and co.pick_first_existing(t, ["c", "a"]) == "a"
+    assert rows(t.select(co.first_existing(t, ["a", "b", "c"]))) == rows(t.select(F.col("b").cast("string"))) and co.pick_first_existing(t, ["c", "a"]) == "a"
     assert co.select_columns(t, ["b", "zz"], ["a", "b"]).columns == ["b", "zz", "a"]
     assert co.place_after(spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, n int, m int"), "a", ["n", "b"]).columns \
         == ["a", "n", "b", "m"]

@@ -115,4 +115,24 @@ def test_date_spellings(spark):
     }
     assert one_col(spark, list(good), parse_timestamp) == list(good.values())
     assert one_col(spark, ["1/5/2024", "31/12/2024"], lambda c: parse_timestamp(c, dayfirst=True)) == [dt.datetime(2024, 5, 1), dt.datetime(2024, 12, 31)]
-    assert one_col(spark, ["", None, "x", "2024-13-01", "2024-02-30", "31/12/2024", "12345678901", "2024-05-01 25:00"], parse_timestamp) == [None] * 8
+    bad = ["", None, "x", "2024-13-01", "2024-02-30", "13/13/2024", "12345678901", "2024-05-01 25:00", "1/2/2024 13:00 PM", "30 Feb 2024", "5 Mayo 2024", "2024-5-"]
+    assert one_col(spark, bad, parse_timestamp) == [None] * len(bad)
+
+
+def test_dates_of_either_order_names_and_halves(spark):
+    from tejado.functions.dates import parse_timestamp
+    day = dt.datetime(2024, 12, 31)
+    for text in ["31/12/2024", "12/31/2024", "31/12/24", "31-12-2024", "12-31-2024", "31 Dec 2024", "31-dec-2024", "December 31, 2024", "dec. 31 2024", "20241231"]:
+        for first in (True, False):
+            assert one_col(spark, [text], lambda c: parse_timestamp(c, dayfirst=first)) == [day], text
+    good = {"2024-05": dt.datetime(2024, 5, 1), "1/5/69": dt.datetime(1969, 1, 5), "1/5/68": dt.datetime(2068, 1, 5), "1/5/2024 12:07 am": dt.datetime(2024, 1, 5, 0, 7),
+            "1/5/2024 12:07:09 P.M.": dt.datetime(2024, 1, 5, 12, 7, 9), "5 Sept 2024, 3:04pm": dt.datetime(2024, 9, 5, 15, 4), "May 5, 2024 23:59": dt.datetime(2024, 5, 5, 23, 59)}
+    assert one_col(spark, list(good), parse_timestamp) == list(good.values())
+
+
+def test_the_column_tells_its_date_order(spark):
+    for texts, want in ((["1/5/2024", "31/12/2024"], (5, 1)), (["1/5/2024", "12/31/2024"], (1, 5)), (["1/5/2024"], (1, 5)),
+                        (["1/5/2024", "31/1/24", "25/1/24", "1/31/24"], (5, 1)), (["1/5/2024", None, "x", "99/99/2024"], (1, 5))):
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r[0] for r in df.select(dates.as_timestamp(df, "t")).collect()]
+        assert (got[0].month, got[0].day) == want
