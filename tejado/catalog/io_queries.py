@@ -112,13 +112,12 @@ def snk06(spark, sf):
 SELECT 'tejado' AS libreria, 'conteo_' || l_returnflag AS paso, 'ok' AS estado,
   '{"filas": ' || CAST(count(*) AS VARCHAR) || '}' AS metricas FROM lineitem GROUP BY l_returnflag""")
 def snk08(spark, sf):
-    """SNK-08: one appended log event per step (here: the row count of each return flag)."""
+    """SNK-08: one appended log event per step (here: the row count of each return flag), compacted on the way."""
     path = scratch_path(spark, "snk08")
     counts = read_base(spark, sf, "lineitem").groupBy("l_returnflag").count().collect()  # one row per flag
     for r in counts:
-        wr.log_event(spark, path, "tejado", f"conteo_{r['l_returnflag']}", "ok", metrics={"filas": r["count"]})
-    log = spark.read.schema(wr.LOG_SCHEMA).json(path)
-    return log.select("libreria", "paso", "estado", "metricas")
+        wr.log_event(spark, path, "tejado", f"conteo_{r['l_returnflag']}", "ok", metrics={"filas": r["count"]}, compact_after=2)
+    return wr.read_log(spark, path).select("libreria", "paso", "estado", "metricas")
 
 
 @register("snk02_bronze_lineage", with_ctes(["clientes"], []) + "SELECT *, true AS con_linaje FROM clientes")

@@ -19,6 +19,7 @@ from tejado.operators import setops as so
 from tejado.plans import dashboard as db
 from tejado.plans import stock as st
 from tejado.plans.adapters import read_base, view
+from tejado.plans.quality import MONEY_COLS
 
 
 def base(spark, sf, name):
@@ -358,17 +359,28 @@ def prj03(spark, sf):
                     co.first_existing(u, ["no_hay"]).alias("ninguno"))
 
 
-@register("flt11_facets_search", with_ctes(STOCK_VIEWS, CTE_Q) + """
-SELECT * FROM stock WHERE proyecto IS NOT NULL AND estado_comercial IN ('Disponible')
-  AND tipo_de_unidad IN ('departamento dúplex', 'Estacionamiento Simple') AND contains(lower(concat_ws(' ',
-  proyecto, torre, nombre, tipo_de_unidad, codigo, estado_comercial_raw, estado_comercial, comprador, dni_comprador,
-  copropietario_1, dni_coprop_1, copropietario_2, dni_coprop_2, copropietario_3, dni_coprop_3)), 'torre 2')""")
+def _number_text(c):
+    return f"regexp_replace(CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR), '(\\.[0-9]+?)0+$', '\\1')"
+
+
+_ROW_TEXT = "lower(concat_ws(' ', " + ", ".join(_number_text(c) if c in MONEY_COLS else c for c in st.STOCK_COLS) + "))"
+_FACETS = "proyecto IS NOT NULL AND estado_comercial IN ('Disponible') AND tipo_de_unidad IN ('departamento dúplex', 'Estacionamiento Simple')"
+
+
+def _faceted(spark, sf):
+    return db.filter_stock(_stock(spark, sf), None, ["Disponible"], ["departamento dúplex", "Estacionamiento Simple"])
+
+
+@register("flt11_facets_search", with_ctes(STOCK_VIEWS, CTE_Q) + f"SELECT * FROM stock WHERE {_FACETS} AND contains({_ROW_TEXT}, 'torre 2')")
 def flt11(spark, sf):
-    """FLT-11 + FLT-12: facets (all projects, one status, two types; null facets drop) then a literal search."""
-    s = _stock(spark, sf)
-    text_cols = [c for c, t in s.dtypes if t == "string"]
-    return fl.search_rows(db.filter_stock(s, None, ["Disponible"], ["departamento dúplex", "Estacionamiento Simple"]),
-                          "Torre 2", text_cols)
+    """FLT-11 + FLT-12: facets (all projects, one status, two types; null facets drop) then a literal search in every column."""
+    return fl.search_rows(_faceted(spark, sf), "Torre 2")
+
+
+@register("flt12_search_numbers", with_ctes(STOCK_VIEWS, CTE_Q) + f"SELECT * FROM stock WHERE contains({_ROW_TEXT}, '00.0')")
+def flt12(spark, sf):
+    """FLT-12: the searched text may stand in a number."""
+    return fl.search_rows(_stock(spark, sf), "00.0")
 
 
 @register("ag12_sales_kpis", with_ctes(STOCK_VIEWS, CTE_STOCK) + """

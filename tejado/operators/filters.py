@@ -12,6 +12,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tejado.functions.text import fold_text, is_blank, norm_compare, norm_compare_literal, norm_text
 from tejado.operators.columns import require_columns
@@ -142,12 +143,20 @@ def facet_filter(df: DataFrame, facets: Mapping[str, Any], keep_null: bool = Fal
     return df.filter(pred)
 
 
+def shown_text(field: T.StructField) -> Column:
+    """A value as text, in one form whatever the engine: numbers in decimal notation with one to six places (whole types
+    without), never with an exponent; booleans as true and false; dates and times in ISO order; other types as Spark casts them."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return F.regexp_replace(c.cast("decimal(38,6)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    return c.cast("string")
+
+
 def search_rows(df: DataFrame, term: str, cols: list[str] | None = None) -> DataFrame:
-    """FLT-12: case-insensitive literal search over the row's text (nulls skipped, T-25)."""
+    """FLT-12: case-insensitive literal search over the text of every column of the row (nulls skipped, T-25)."""
     if not term or not str(term).strip():
         return df
-    cols = cols or df.columns
-    text = F.lower(F.concat_ws(" ", *[F.col(c).cast("string") for c in cols]))
+    text = F.lower(F.concat_ws(" ", *[shown_text(df.schema[c]) for c in (cols or df.columns)]))
     return df.filter(text.contains(str(term).strip().lower()))
 
 

@@ -8,6 +8,7 @@ rows, the later ones are made from the first as written.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -172,15 +173,86 @@ def current_version(spark, ledger_path: str, name: str) -> str | None:
 
 
 LOG_SCHEMA = "ts timestamp, libreria string, paso string, estado string, mensaje string, metricas string, fecha date"
+PARTS = "_partes"
+POINTER = "_puntero"
+POINTER_SCHEMA = "numero long, partes array<string>"
+MOST_PARTS = 10
 
 
-def log_event(spark, path: str, library: str, step: str, status: str, message: str = "", metrics: dict | None = None):
-    """SNK-08: append one event to a JSON-lines run log partitioned by date."""
-    import json
+def log_event(spark, path: str, library: str, step: str, status: str, message: str = "", metrics: dict | None = None,
+              compact_after: int = 100):
+    """SNK-08: append one event to a JSON-lines run log partitioned by date.
+
+    Every event is a small file of its own; when ``compact_after`` of them have gathered, they are grouped into one part
+    (:func:`compact_log`). Read the log with :func:`read_log`.
+    """
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     row = spark.createDataFrame([(now, library, step, status, message, json.dumps(metrics or {}, sort_keys=True),
                                   now.date())], LOG_SCHEMA)
-    row.write.mode("append").partitionBy("fecha").json(path)
+    row.coalesce(1).write.mode("append").partitionBy("fecha").json(path)
+    if len(spark.read.schema(LOG_SCHEMA).json(path).inputFiles()) >= compact_after:
+        compact_log(spark, path)
+
+
+def _live_parts(spark, path: str) -> tuple[int, list[str]]:
+    """Number of the latest pointer, and the parts that it names."""
+    try:
+        last = spark.read.schema(POINTER_SCHEMA).json(f"{path}/{POINTER}").agg(F.max_by(F.struct("numero", "partes"), "numero")).first()[0]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        last = None
+    return (last["numero"], list(last["partes"])) if last else (0, [])
+
+
+def _loose_events(spark, path: str, parts: list[str]) -> DataFrame:
+    """Events in small files that no live part has taken in, with the file they are in (``__file``)."""
+    events = spark.read.schema(LOG_SCHEMA).json(path).withColumn("__file", F.col("_metadata.file_path"))
+    if parts:
+        taken = spark.read.schema("__file string").parquet(*[f"{path}/{PARTS}/{p}/files" for p in parts])
+        events = events.join(taken, "__file", "left_anti")
+    return events
+
+
+def compact_log(spark, path: str) -> None:
+    """Groups the small files of a run log into a part; ten parts become one.
+
+    A part holds the events and the names of the files that they came from. One row appended to the pointer makes it
+    live; the small files go afterwards. Broken off before that row, the part counts for nothing; after it, the small files
+    left are known to be taken in. Events that arrive meanwhile are in files that no part names. One compaction at a time.
+    """
+    path = path.rstrip("/")
+    number, parts = _live_parts(spark, path)
+    loose = _loose_events(spark, path, parts)
+    files = [r["__file"] for r in loose.select("__file").distinct().collect()]  # about compact_after names
+    if not files:
+        return
+    events = loose.where(F.col("__file").isin(files)).drop("__file")
+    merged = parts if len(parts) + 1 >= MOST_PARTS else []
+    names = list(files)
+    if merged:
+        events = events.unionByName(spark.read.schema(LOG_SCHEMA).parquet(*[f"{path}/{PARTS}/{p}/events" for p in merged]))
+        there = {r[0] for r in spark.read.schema(LOG_SCHEMA).json(path).select("_metadata.file_path").distinct().collect()}
+        taken = spark.read.schema("__file string").parquet(*[f"{path}/{PARTS}/{p}/files" for p in merged])
+        names += [r["__file"] for r in taken.where(F.col("__file").isin(sorted(there))).collect()]  # whose removal had failed
+    part = uuid.uuid4().hex
+    events.coalesce(4).write.parquet(f"{path}/{PARTS}/{part}/events")
+    spark.createDataFrame([(f,) for f in names], "__file string").coalesce(1).write.parquet(f"{path}/{PARTS}/{part}/files")
+    live = [*[p for p in parts if p not in merged], part]
+    spark.createDataFrame([(number + 1, live)], POINTER_SCHEMA).coalesce(1).write.mode("append").json(f"{path}/{POINTER}")
+    jvm = spark._jvm
+    gone = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in names] + [jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTS}/{p}") for p in merged]
+    store = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for g in gone:
+        store.delete(g, True)
+
+
+def read_log(spark, path: str) -> DataFrame:
+    """All events of a run log, from its parts and from the small files that are in none."""
+    path = path.rstrip("/")
+    _, parts = _live_parts(spark, path)
+    loose = _loose_events(spark, path, parts).drop("__file")
+    return loose.unionByName(spark.read.schema(LOG_SCHEMA).parquet(*[f"{path}/{PARTS}/{p}/events" for p in parts])) if parts else loose
 
 
 def write_bundle(parts: dict[str, DataFrame], path: str, fmt: str = "parquet") -> dict[str, str]:

@@ -88,3 +88,41 @@ def test_sample_rows_anonymised(spark, tmp_path):
     assert [r[0] for r in out] == [1, 2] and all(r[1].startswith("anon_") for r in out) and out[0][2] == "y"
     report = wr.export_samples({"ok": (df, ["k"]), "bad": (df, ["nope"])}, str(tmp_path / "s"))
     assert report[0]["estado"] == "ok" and report[1]["estado"].startswith("error")
+
+
+def test_log_compaction_loses_no_event(spark, tmp_path):
+    path = tmp_path / "log"
+    for i in range(45):
+        wr.log_event(spark, str(path), "lib", f"paso{i}", "ok", metrics={"filas": i}, compact_after=4)
+    log = wr.read_log(spark, str(path))
+    assert sorted(r[0] for r in rows(log, "paso")) == sorted(f"paso{i}" for i in range(45))
+    assert log.where("fecha is null or ts is null").count() == 0
+    small = [p for p in path.glob("fecha=*/part-*.json")]
+    parts = list((path / "_partes").iterdir())
+    assert len(small) < 4 and len(parts) < 10
+
+
+def test_log_compaction_broken_off(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    for i in range(3):
+        wr.log_event(spark, path, "lib", f"paso{i}", "ok")
+    (tmp_path / "log" / "_partes" / "half" / "events").mkdir(parents=True)  # a part that no pointer names
+    kept = {p: p.read_bytes() for p in (tmp_path / "log").glob("fecha=*/*.json")}
+    wr.compact_log(spark, path)
+    for p, body in kept.items():  # as if the small files had not gone
+        p.write_bytes(body)
+    assert sorted(r[0] for r in rows(wr.read_log(spark, path), "paso")) == ["paso0", "paso1", "paso2"]
+    wr.log_event(spark, path, "lib", "paso3", "ok")
+    monkeypatch.setattr(wr, "MOST_PARTS", 2)
+    wr.compact_log(spark, path)
+    for p, body in kept.items():
+        p.write_bytes(body)
+    wr.compact_log(spark, path)
+    assert sorted(r[0] for r in rows(wr.read_log(spark, path), "paso")) == [f"paso{i}" for i in range(4)]
+
+
+def test_search_in_every_column(spark):
+    from tejado.operators.filters import search_rows
+    df = spark.createDataFrame([(1, 350.0, True, dt.date(2024, 5, 1), None), (22, 1e9, False, None, "Torre 2"), (3, 0.08, None, None, "x")], "i long, d double, b boolean, f date, s string")
+    found = lambda term: sorted(r[0] for r in rows(search_rows(df, term), "i"))
+    assert [found(t) for t in ("350.0", "1000000000.0", "0.08", "TRUE", "2024-05", "torre", " 22 ", "none", "")] == [[1], [22], [3], [1], [1], [22], [22], [], [1, 3, 22]]
