@@ -48,12 +48,11 @@ def unit_code_from_type(tipo, numero, prefix: str = "FX-", parking_word: str = "
 def invoice_key(c) -> Column:
     """SC-15 (conservative): SC-01 text, trailing ``.0`` dropped, no spaces, keep ``[A-Z0-9-]``.
 
-    Null gives ``""``. Dash variants need no rule: the NFKD fold already drops them.
+    Null gives ``""``. Dash variants need no rule: the NFKD fold already drops them. One pattern does all that comes after
+    the fold.
     """
-    s = norm_ascii(c)
-    s = F.regexp_replace(s, r"\.0$", "")
-    s = F.regexp_replace(s, r"\s+", "")
-    return F.regexp_replace(s, r"[^A-Z0-9\-]", "")
+    s = F.upper(fold_ascii(col_of(c).cast("string")))
+    return F.coalesce(F.regexp_replace(s, r"\.0[\s\x1c-\x1f]*$|[^A-Z0-9\-]", ""), F.lit(""))
 
 
 _FLEX = r"([A-Z]\d{3})[-_ ]*0*([0-9]+)"
@@ -65,12 +64,9 @@ def invoice_flex_key(c) -> Column:
 
 
 def flex_from_exact(s) -> Column:
-    """SC-16 from an SC-15 key (use on a materialised key column: it is read four times)."""
-    s = col_of(s)
-    return (F.when(s == "", F.lit(""))
-            .when(s.rlike(_FLEX), F.concat(F.regexp_extract(s, _FLEX, 1), F.lit("|"),
-                                           F.regexp_extract(s, _FLEX, 2)))
-            .otherwise(F.regexp_replace(s, r"[^A-Z0-9]", "")))
+    """SC-16 from an SC-15 key, which holds no ``|``: the first series and number, else the key without dashes."""
+    found = F.regexp_replace(col_of(s), f"^.*?{_FLEX}.*$", "$1|$2")
+    return F.when(F.contains(found, F.lit("|")), found).otherwise(F.translate(found, "-", ""))
 
 
 _CANON = r"([BF]\d{3})-?0*(\d+)$"
@@ -86,11 +82,8 @@ def invoice_canonical_key(c) -> Column:
 
 def canonical_clean(c) -> Column:
     """SC-17 first half: upper, fold, no spaces, ``_`` and ``/`` as ``-``, keep ``[A-Z0-9-]``, single dashes."""
-    s = fold_ascii(F.upper(ustrip(col_of(c).cast("string"))))
-    s = F.regexp_replace(s, r"\s+", "")
-    s = F.translate(s, "_/", "--")
-    s = F.regexp_replace(s, r"[^A-Z0-9\-]", "")
-    return F.regexp_replace(F.regexp_replace(s, r"-+", "-"), r"^-+|-+$", "")
+    s = F.translate(fold_ascii(F.upper(col_of(c).cast("string"))), "_/", "--")
+    return F.btrim(F.regexp_replace(F.regexp_replace(s, r"[^A-Z0-9\-]+", ""), r"-+", "-"), F.lit("-"))
 
 
 def canonical_from_clean(s) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tejado.functions._util import col_of
-from tejado.functions.text import ustrip
+from tejado.functions.text import has_text, ustrip
 
 
 def first_non_null(x, order) -> Column:
@@ -24,8 +24,7 @@ def first_non_null(x, order) -> Column:
 def first_non_blank(x, order) -> Column:
     """AG-03: like AG-02 but blank strings are skipped too."""
     x = col_of(x)
-    ok = x.isNotNull() & (ustrip(x.cast("string")) != "")
-    return F.min_by(x, F.when(ok, col_of(order)))
+    return F.min_by(x, F.when(has_text(x), col_of(order)))
 
 
 def join_unique(x, sep: str = " | ") -> Column:

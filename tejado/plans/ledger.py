@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from tejado.functions.keys import (COMPANY_RULES, company_from_name, with_canonical_key, with_company, with_group,
                                    with_invoice_keys)
 from tejado.functions.rules import any_not_null
-from tejado.functions.text import ustrip
+from tejado.functions.text import has_text, ustrip
 from tejado.operators.columns import drop_prior, find_column, place_after
 from tejado.operators.joins import spread_unmatchable
+from tejado.session import staged
 
 # Names an invoice-number column may have.
 INVOICE_COLUMNS = ["N° Comprobante", "Nº Comprobante", "N Comprobante", "nro_comprobante", "numero_comprobante",
@@ -68,37 +69,40 @@ def master_rows(master: DataFrame, key_col: str | None = None, file_col: str = "
 
 
 def _compact(rows: DataFrame, keys: list[str], values: list[str], extra: list | None = None) -> DataFrame:
-    """AG-15 + AG-03: per key the first non-blank value of each column, where it stood (``<column>__o``), and the row
-    count ``__n``. Values are carried per key so that coarser keys can be made from these rows (:func:`_merge`)."""
-    aggs = []
-    for c in values:
-        at = F.when(F.col(c).isNotNull() & (ustrip(F.col(c).cast("string")) != ""), F.col("__ord"))
-        aggs += [F.min_by(F.col(c), at).alias(c), F.min(at).alias(f"{c}__o")]
-    return rows.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("__n"), *(extra or []))
+    """AG-15 + AG-03: per key the first non-blank value of each column together with where it stood (a struct of place and
+    value), and the row count ``__n``. The place is kept so that coarser keys can be made from these rows (:func:`_merge`)."""
+    first = [F.min(F.when(has_text(F.col(c)), F.struct(F.col("__ord").alias("at"), F.col(c).alias("value")))).alias(c) for c in values]
+    return rows.groupBy(*keys).agg(*first, F.count(F.lit(1)).alias("__n"), *(extra or []))
 
 
 def _merge(parts: DataFrame, keys: list, values: list[str], extra: list | None = None) -> DataFrame:
     """The same for coarser keys, from compacted rows."""
-    aggs = []
-    for c in values:
-        aggs += [F.min_by(c, f"{c}__o").alias(c), F.min(f"{c}__o").alias(f"{c}__o")]
-    return parts.groupBy(*keys).agg(*aggs, F.sum("__n").alias("__n"), *(extra or []))
+    return parts.groupBy(*keys).agg(*[F.min(c).alias(c) for c in values], F.sum("__n").alias("__n"), *(extra or []))
 
 
-def lookups(master: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exact and flexible lookups per group plus the ``ALL`` group, keyed by (``__grp``, key).
+def _values(columns: list[str]) -> list:
+    """The values alone, of compacted columns."""
+    return [F.col(f"{c}.value").alias(c) for c in columns]
 
-    The master rows are shuffled once, compacted by group and exact key; the flexible key depends on the exact one, and
-    ``ALL`` on the groups, so the other three are merges of what is left.
+
+def compacted_master(master: DataFrame) -> DataFrame:
+    """The master rows, keys normalised once and compacted by group and exact key, as a written table."""
+    return staged(_compact(master_rows(master).withColumn("__grp", F.col("efac_group")), ["__grp", "efac_comp_key_exact"],
+                           TARGETS + CARRIED, [F.first("efac_comp_key_flex").alias("efac_comp_key_flex")]), "ledger-master")
+
+
+def lookups(by_exact: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exact and flexible lookups per group plus the ``ALL`` group, keyed by (``__grp``, key), of the compacted master.
+
+    The flexible key depends on the exact one, and ``ALL`` on the groups, so all four come from the compacted rows: the
+    master itself is read, folded and shuffled once.
     """
     values = TARGETS + CARRIED
-    by_exact = _compact(master_rows(master).withColumn("__grp", F.col("efac_group")),
-                        ["__grp", "efac_comp_key_exact"], values, [F.first("efac_comp_key_flex").alias("efac_comp_key_flex")])
     by_flex = _merge(by_exact, ["__grp", "efac_comp_key_flex"], values)
 
     def with_all(parts: DataFrame, key: str, count_col: str) -> DataFrame:
         everything = _merge(parts, [F.lit("ALL").alias("__grp"), key], values)
-        cols = ["__grp", key, *values, F.col("__n").alias(count_col)]
+        cols = ["__grp", key, *_values(values), F.col("__n").alias(count_col)]
         return parts.select(*cols).unionByName(everything.select(*cols))
 
     return (with_all(by_exact, "efac_comp_key_exact", "efac_match_count_exact"),
@@ -113,7 +117,8 @@ def enrich_two_tier(ledger: DataFrame, master: DataFrame, comp_col: str | None =
     The lookup group is the ledger file's company group, or ``ALL`` when forced,
     unknown, or when the masters hold no file of that group.
     """
-    exact, flex = lookups(master)
+    compacted = compacted_master(master)
+    exact, flex = lookups(compacted)
     comp_col = invoice_column(ledger, comp_col)
     led = drop_prior(ledger, TARGETS + CARRIED + ["efac_match_method", "efac_match_count"])
     salt = list(led.columns)  # the ledger's own columns give each row a stable hash
@@ -121,7 +126,7 @@ def enrich_two_tier(ledger: DataFrame, master: DataFrame, comp_col: str | None =
         grp = F.lit("ALL")
     else:
         # groups that have masters: bounded by the fixed alias list, so broadcasting it is safe
-        known = F.broadcast(master_rows(master).select(F.col("efac_group").alias("__known")).distinct())
+        known = F.broadcast(compacted.select(F.col("__grp").alias("__known")).distinct())
         led = with_group(led, file_col, "__g")
         led = led.join(known, on=led["__g"] == known["__known"], how="left")
         grp = F.coalesce(F.col("__known"), F.lit("ALL"))
@@ -177,7 +182,7 @@ def company_masters(master: DataFrame, company_col: str = "company", key_col: st
     by_sheet = _compact(rows, [*keys, "__sheet"], values, [F.min("__ord").alias("__first")])
     sheets = F.array_sort(F.collect_list(F.when(F.col("__sheet").isNotNull(), F.struct("__first", "__sheet"))))
     out = _merge(by_sheet, keys, values, [F.nullif(F.array_join(sheets["__sheet"], " | "), F.lit("")).alias("efac_source_sheet")])
-    return out.select(*keys, *values, F.col("__n").alias("efac_match_count"), "efac_source_sheet")
+    return out.select(*keys, *_values(values), F.col("__n").alias("efac_match_count"), "efac_source_sheet")
 
 
 def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro_comprobante",
@@ -200,7 +205,7 @@ def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro
         name = F.lit(table_name) if table_name else F.col("_metadata.file_name")
         led = led.withColumn("__company", company_from_name(name, rules))
     led = with_canonical_key(led, comp_col, "efac_comprobante_key")
-    masters = company_masters(master)
+    masters = staged(company_masters(master), "company-masters")  # read twice below
     # companies holding a master, restricted to the rule list (a ledger company always comes from it), so the broadcast
     # side has at most len(rules) rows
     have = F.broadcast(masters.select(F.col("__company").alias("__have")).distinct()
