@@ -297,3 +297,37 @@ def test_op10_links_past_a_leader_that_fails(spark):
 def shingles_of(text, start, end):
     w = WORD.findall(text)[start:end]
     return [tuple(w[j:j + 5]) for j in range(len(w) - 4)]
+
+
+def test_op10_recall_with_edits(spark):
+    """Pairs that share a passage of 60 to 200 words with 0 to 4 changed words, among words of their own."""
+    rng = random.Random(21)
+    fill = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 7))) for _ in range(n)]
+    rows = []
+    for g in range(100):
+        passage, edits = fill(60 + 35 * (g % 5)), g // 5 % 5
+        for c in range(2):
+            x = list(passage)
+            for e in range(edits if c else 0):
+                x[rng.randrange(len(x))] = f"changed{g}x{e}"
+            rows.append((len(rows), " ".join(fill(rng.randint(0, 100)) + x + fill(rng.randint(0, 100)))))
+    token = [passage_dedup.tokens([t.encode()], 5)[0] for _, t in rows]
+    of = {r["doc_id"]: r["class_id"] for r in passage_dedup.passage_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    wanted = [g for g in range(100) if next(passage_dedup.best_passages(token[2 * g + 1], token[2 * g], 46, 0.8), None)]
+    assert len(wanted) > 60 and sum(of[2 * g] == of[2 * g + 1] for g in wanted) >= 0.95 * len(wanted)
+    assert all(of[x] // 2 == x // 2 for x in of)
+
+
+def test_op10_membership_and_links_by_arrays():
+    rng, lookup, members = np.random.default_rng(4), passage_dedup.Lookup(8), passage_dedup.Members(500)
+    for _ in range(200):
+        a, b = (rng.integers(0, 300, int(rng.integers(1, 60))).astype(np.uint64) * np.uint64(0x100000001) for _ in range(2))
+        assert (lookup.isin(a, b) == np.isin(a, b)).all() and not lookup.table.any()
+        x, y = (rng.integers(0, 500, 40) for _ in range(2))
+        assert (members.isin(x, y) == np.isin(x, y)).all() and not members.mark.any()
+        assert (passage_dedup.distinct(a) == np.unique(a)).all()
+    found = [(int(i), 5, int(j), 7, int(s), int(s) + 4) for i, j, s in rng.integers(0, 6, (40, 3))]
+    pairs, place = rng.integers(0, 6, (300, 2)), rng.integers(0, 10, 300)
+    got = passage_dedup.within(passage_dedup._pair(pairs[:, 0], np.full(300, 5), pairs[:, 1], np.full(300, 7)), place, found)
+    want = [any(f[0] == i and f[2] == j and f[4] <= c < f[5] for f in found) for (i, j), c in zip(pairs.tolist(), place.tolist())]
+    assert got.tolist() == want and not passage_dedup.within(np.zeros(3, np.uint64), np.zeros(3, np.int64), []).any()
