@@ -305,6 +305,18 @@ def ag22(spark, sf):
     return ag.date_histogram(view(spark, sf, "procesos"), freq="M")
 
 
+@register("ag22_every_frequency", with_ctes(["procesos"], []) + " UNION ALL ".join(
+    f"SELECT '{f}' AS frecuencia, date_trunc('{unit}', {c}) AS fecha, '{c}' AS columna, count(*) AS cantidad FROM procesos "
+    f"WHERE {c} IS NOT NULL GROUP BY 2" for f, unit in ag.FREQUENCIES.items() for c in _PROC_DATES))
+def ag22_every(spark, sf):
+    """AG-22: counts per day, week, month, quarter and year."""
+    parts = [ag.date_histogram(view(spark, sf, "procesos"), _PROC_DATES, freq=f).withColumn("frecuencia", F.lit(f)) for f in ag.FREQUENCIES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @register("ag23_coverage_sentences", AG21.replace("SELECT '", "SELECT '", 1).join(["SELECT columna, "
     "CASE WHEN fecha_inicio IS NOT NULL AND fecha_final IS NOT NULL THEN 'En ''' || columna || ''', mi historia comienza el ' "
     "|| strftime(fecha_inicio, '%d/%m/%Y') || ' y termina el ' || strftime(fecha_final, '%d/%m/%Y') || '. Reconocí ' "
