@@ -70,9 +70,11 @@ def prj07(spark, sf):
 @register("prj13_rerun_idempotent", with_ctes(["ledger", "master"], CTE_COMPANY)
           + "SELECT * EXCLUDE (audit_company) FROM by_company")
 def prj13(spark, sf):
-    """PRJ-13: enriching an already enriched ledger drops the earlier columns first, so the result is unchanged."""
+    """PRJ-13: enriching an already enriched ledger drops the earlier columns first, so the result is unchanged. The
+    masters are compacted once, for both."""
     led, mas = view(spark, sf, "ledger"), view(spark, sf, "master")
-    return lg.enrich_by_company(lg.enrich_by_company(led, mas), mas)
+    compacted = lg.compacted_company_masters(mas)
+    return lg.enrich_by_company(lg.enrich_by_company(led, mas, masters=compacted), mas, masters=compacted)
 
 
 @register("prj14_resolve_suffixed", with_ctes(["unidades", "proyectos"], []) + """

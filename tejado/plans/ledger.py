@@ -185,13 +185,19 @@ def company_masters(master: DataFrame, company_col: str = "company", key_col: st
     return out.select(*keys, *_values(values), F.col("__n").alias("efac_match_count"), "efac_source_sheet")
 
 
+def compacted_company_masters(master: DataFrame) -> DataFrame:
+    """The masters of :func:`company_masters` as a written table, for one or several ledgers."""
+    return staged(company_masters(master), "company-masters")
+
+
 def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro_comprobante",
                       file_col: str = "source_file", table_name: str | None = None, rules=None,
-                      keep_company: bool = False) -> DataFrame:
+                      keep_company: bool = False, masters: DataFrame | None = None) -> DataFrame:
     """JOB-09 / JN-10: one left join on (company, canonical key).
 
     The company comes from the row's source file; a ledger without that column belongs to the company that its own
-    name tells (``table_name``, else its file's name). ``rules``: company rules in place of ``COMPANY_RULES``. Rows whose
+    name tells (``table_name``, else its file's name). ``rules``: company rules in place of ``COMPANY_RULES``. ``masters``:
+    ``master`` as compacted before (:func:`compacted_company_masters`), where several ledgers are matched with it. Rows whose
     company is unknown, or has no master, stay unmatched with empty audit columns. New columns come directly after the
     invoice column. Row order is not kept; callers sort at the sink (WD-06).
     """
@@ -205,7 +211,7 @@ def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro
         name = F.lit(table_name) if table_name else F.col("_metadata.file_name")
         led = led.withColumn("__company", company_from_name(name, rules))
     led = with_canonical_key(led, comp_col, "efac_comprobante_key")
-    masters = staged(company_masters(master), "company-masters")  # read twice below
+    masters = compacted_company_masters(master) if masters is None else masters  # read twice below
     # companies holding a master, restricted to the rule list (a ledger company always comes from it), so the broadcast
     # side has at most len(rules) rows
     have = F.broadcast(masters.select(F.col("__company").alias("__have")).distinct()
