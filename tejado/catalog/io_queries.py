@@ -18,7 +18,7 @@ from tejado.catalog.stock_queries import CTE_STOCK, STOCK, STOCK_VIEWS
 from tejado.plans import exports as ex
 from tejado.plans import extraction as xt
 from tejado.plans import medallion as md
-from tejado.plans.adapters import read_base, view
+from tejado.plans.adapters import VIEWS, read_base, view
 from tejado.session import scratch_path
 from tejado.sinks import writers as wr
 from tejado.sources import readers as rd
@@ -130,6 +130,11 @@ def snk02(spark, sf):
     return bronze.withColumn("con_linaje", flag).drop("_bronze_loaded_at", "_bronze_source_file")
 
 
+def raw_files(rows: int, per_file: int = 250_000) -> int:
+    """Files of a raw table: three, or as many as a large table needs for tasks of a bounded size."""
+    return max(3, -(-rows // per_file))
+
+
 @register("job04_medallion_gold", with_ctes(STOCK_VIEWS, CTE_STOCK) + STOCK)
 def job04(spark, sf):
     """JOB-04: raw -> bronze -> silver -> gold written as layers, gold stock loaded back. The raw tables are several files
@@ -137,7 +142,8 @@ def job04(spark, sf):
     base = scratch_path(spark, "job04")
     for name in md.RAW_TABLES:
         order = "id_proceso" if name == "procesos" else "orden_fila"
-        table = view(spark, sf, name).repartitionByRange(3, order).sortWithinPartitions(order).drop(order)
+        files = raw_files(read_base(spark, sf, VIEWS[name][1][0]).count())
+        table = view(spark, sf, name).repartitionByRange(files, order).sortWithinPartitions(order).drop(order)
         table.write.parquet(f"{base}/raw/{name}.parquet")
     owners, stock = md.run_all(spark, base)
     return stock
