@@ -331,3 +331,41 @@ def test_op10_membership_and_links_by_arrays():
     got = passage_dedup.within(passage_dedup._pair(pairs[:, 0], np.full(300, 5), pairs[:, 1], np.full(300, 7)), place, found)
     want = [any(f[0] == i and f[2] == j and f[4] <= c < f[5] for f in found) for (i, j), c in zip(pairs.tolist(), place.tolist())]
     assert got.tolist() == want and not passage_dedup.within(np.zeros(3, np.uint64), np.zeros(3, np.int64), []).any()
+
+
+def test_op10_windows_without_a_common_stretch_are_not_compared_one_by_one(monkeypatch):
+    """60 windows of one key whose common tokens lie apart, and two that share a passage: few comparisons, the passage found."""
+    rng, n, length = np.random.default_rng(5), 60, 120
+    common = rng.integers(0, 1 << 32, length // 2, np.uint64)
+    windows = []
+    for _ in range(n):
+        w = rng.integers(0, 1 << 32, length, np.uint64)
+        w[::2] = common
+        windows.append(w.astype(np.uint32))
+    windows[40][20:80] = windows[7][10:70]
+    calls = []
+    plain = passage_dedup.best_passages
+    monkeypatch.setattr(passage_dedup, "best_passages", lambda a, b, *more: calls.append(1) or plain(a, b, *more))
+    ids = np.arange(n)
+    zero = np.zeros(n, np.int64)
+    found = list(passage_dedup.group_passages(np.full(n, 77, np.uint64), ids, ids, zero, zero, np.full(n, length), np.concatenate(windows), 46, 0.8))
+    assert [(r[0], r[4], r[7] >= 0.8) for r in found] == [(40, 7, True)]
+    assert len(calls) < 3 * n
+
+
+def test_op10_long_enough_agrees_with_longest_stretch():
+    rng = np.random.default_rng(6)
+    rows = [rng.random(int(rng.integers(1, 140))) < share for share in (0.0, 0.5, 0.75, 0.8, 0.85, 0.95, 1.0) for _ in range(60)]
+    for loss in (4.0, 8.0, 1e9):
+        got = passage_dedup.long_enough(np.concatenate(rows), np.array([len(r) for r in rows]), 46, loss)
+        stretch = [passage_dedup.longest_stretch(r, loss) for r in rows]
+        wanted = [s is not None and s[1] - s[0] >= 46 for s in stretch]
+        assert not any(w and not g for g, w in zip(got, wanted))
+        assert loss > 8 or got.tolist() == wanted
+
+
+def test_op10_numbered_agrees_with_unique():
+    for kind in (np.uint32, np.uint64):
+        a = np.random.default_rng(7).integers(0, 50, 500).astype(kind)
+        for got, wanted in zip(passage_dedup.numbered(a), np.unique(a, return_inverse=True)):
+            assert got.tolist() == wanted.tolist()
