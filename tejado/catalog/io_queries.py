@@ -19,7 +19,7 @@ from tejado.plans import exports as ex
 from tejado.plans import extraction as xt
 from tejado.plans import medallion as md
 from tejado.plans.adapters import VIEWS, read_base, view
-from tejado.session import scratch_path
+from tejado.session import scratch_path, staged
 from tejado.sinks import writers as wr
 from tejado.sources import readers as rd
 
@@ -178,7 +178,7 @@ def job17(spark, sf):
     """JOB-17: rows by advisor (SNK-05, SC-34; null and blank -> Sin Asesor), exported twice into one folder, the first
     time under another name for missing advisors; the rows and the manifest's counts are read back."""
     path = scratch_path(spark, "job17")
-    processes = view(spark, sf, "procesos")
+    processes = staged(view(spark, sf, "procesos"), "job17-rows")  # both runs export these rows
     ex.export_by_advisor(processes, path, default="Nadie")
     ex.export_by_advisor(processes, path)
     counts = wr.export_manifest(spark, path).select("grupo", "filas")

@@ -126,3 +126,13 @@ def test_search_in_every_column(spark):
     df = spark.createDataFrame([(1, 350.0, True, dt.date(2024, 5, 1), None), (22, 1e9, False, None, "Torre 2"), (3, 0.08, None, None, "x")], "i long, d double, b boolean, f date, s string")
     found = lambda term: sorted(r[0] for r in rows(search_rows(df, term), "i"))
     assert [found(t) for t in ("350.0", "1000000000.0", "0.08", "TRUE", "2024-05", "torre", " 22 ", "none", "")] == [[1], [22], [3], [1], [1], [22], [22], [], [1, 3, 22]]
+
+
+def test_export_by_advisor_computes_the_processes_once(spark, monkeypatch):
+    from tejado.catalog import io_queries
+    from tejado.operators.dedup import straight_from_files
+    given, export, sf = [], io_queries.ex.export_by_advisor, "/root/testdata/sf0.001"
+    monkeypatch.setattr(io_queries.ex, "export_by_advisor", lambda df, *a, **k: given.append(df) or export(df, *a, **k))
+    out = io_queries.job17(spark, sf)
+    assert len(given) == 2 and all(straight_from_files(df) for df in given)
+    assert out.count() == io_queries.view(spark, sf, "procesos").count()
