@@ -172,17 +172,23 @@ def company_masters(master: DataFrame, company_col: str = "company", key_col: st
     First by company, key and sheet, then by company and key: one scan, and a key's list holds a row per sheet only.
     """
     rows = master.select(
-        F.col(company_col).alias("source_company"), F.col(company_col).alias("__company"),
-        F.col(file_col).alias("efac_expected_master"), F.col(file_col).alias("efac_source_file"),
+        F.col(company_col).alias("__company"), F.col(file_col).alias("efac_source_file"),
         F.nullif(ustrip(F.col(sheet_col).cast("string")), F.lit("")).alias("__sheet"),
         F.col(f"`{invoice_column(master, key_col)}`").alias("__raw"), *_named(master, TARGET_SOURCES), F.col(order_col).alias("__ord"))
-    rows = with_canonical_key(rows, "__raw").drop("__raw").where(F.col("efac_comprobante_key") != "")
-    values = ["source_company", "efac_expected_master", "efac_source_file", *TARGETS]
+    rows = with_canonical_key(rows, "__raw").drop("__raw")
+    rows = rows.withColumn("__h", F.xxhash64("__company", "efac_comprobante_key"))  # first of the keys: sorts compare numbers
+    values = ["efac_source_file", *TARGETS]
     keys = ["__company", "efac_comprobante_key"]
-    by_sheet = _compact(rows, [*keys, "__sheet"], values, [F.min("__ord").alias("__first")])
+    # Blank keys go after they were grouped: Spark moves a filter by the key itself down to the scan, where it computes the
+    # key anew, once per place that reads it.
+    keyed = F.count_if(F.col("efac_comprobante_key") != "").alias("__keyed")
+    by_sheet = _compact(rows, ["__h", *keys, "__sheet"], values, [F.min("__ord").alias("__first"), keyed]).where("__keyed > 0")
     sheets = F.array_sort(F.collect_list(F.when(F.col("__sheet").isNotNull(), F.struct("__first", "__sheet"))))
-    out = _merge(by_sheet, keys, values, [F.nullif(F.array_join(sheets["__sheet"], " | "), F.lit("")).alias("efac_source_sheet")])
-    return out.select(*keys, *_values(values), F.col("__n").alias("efac_match_count"), "efac_source_sheet")
+    out = _merge(by_sheet, ["__h", *keys], values, [F.nullif(F.array_join(sheets["__sheet"], " | "), F.lit("")).alias("efac_source_sheet")])
+    # the company is the same in all rows of a key, and the expected master is the source file: neither is aggregated
+    return out.select(*keys, F.when(has_text("__company"), F.col("__company")).alias("source_company"),
+                      F.col("efac_source_file.value").alias("efac_expected_master"), *_values(values),
+                      F.col("__n").alias("efac_match_count"), "efac_source_sheet")
 
 
 def compacted_company_masters(master: DataFrame) -> DataFrame:
@@ -217,17 +223,20 @@ def enrich_by_company(ledger: DataFrame, master: DataFrame, comp_col: str = "nro
     have = F.broadcast(masters.select(F.col("__company").alias("__have")).distinct()
                        .where(F.col("__have").isin([c for c, _s, _m, _t in rules])))
     led = led.join(have, on=led["__company"] == have["__have"], how="left")
-    # blank keys and unknown companies never match: salted so they spread over the shuffle
-    unmatchable = (F.col("efac_comprobante_key") == "") | F.col("__company").isNull()
-    led = led.withColumn("__jk", spread_unmatchable(F.col("efac_comprobante_key"), salt, unmatchable))
-    mk = masters.withColumnRenamed("__company", "__mc").withColumnRenamed("efac_comprobante_key", "__mk")
-    out = led.join(mk, on=[led["__company"] == mk["__mc"], led["__jk"] == mk["__mk"]], how="left") \
-             .drop("__mc", "__mk", "__jk")
+    # The join goes by a hash first, so sorting compares numbers and no second copy of the key is shuffled. Blank keys and
+    # companies without a master never match: their hash is one of the whole row, which spreads them over the shuffle.
+    unmatchable = (F.col("efac_comprobante_key") == "") | F.col("__have").isNull()
+    led = led.withColumn("__h", F.when(unmatchable, F.xxhash64(*[F.col(f"`{c}`") for c in salt]))
+                         .otherwise(F.xxhash64("__have", "efac_comprobante_key")))
+    mk = masters.withColumnRenamed("__company", "__mc").withColumnRenamed("efac_comprobante_key", "__mk") \
+                .withColumn("__mh", F.xxhash64("__mc", "__mk"))
+    out = led.join(mk, on=[led["__h"] == mk["__mh"], led["__have"] == mk["__mc"], led["efac_comprobante_key"] == mk["__mk"]],
+                   how="left").drop("__mc", "__mk", "__mh", "__h")
     known = F.col("__have").isNotNull()
     out = out.withColumn("efac_match_method", F.when(any_not_null(*TARGETS), F.lit(SOURCE_AWARE)))
-    out = out.withColumn("source_company", F.when(known, F.coalesce("source_company", "__company")))
+    out = out.withColumn("source_company", F.when(known, F.coalesce("source_company", "__have")))
     out = out.withColumn("efac_expected_master",
-                         F.when(known, F.coalesce(F.col("efac_expected_master"), F.element_at(_masters_of(rules), F.col("__company")))))
+                         F.when(known, F.coalesce(F.col("efac_expected_master"), F.element_at(_masters_of(rules), F.col("__have")))))
     out = place_after(out.drop("__have"), comp_col, [*TARGETS, *META, "efac_comprobante_key"])
     return out if keep_company else out.drop("__company")
 

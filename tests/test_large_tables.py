@@ -62,3 +62,58 @@ def test_masters_compacted_once_for_several_ledgers(spark, monkeypatch):
     twice = lg.enrich_by_company(lg.enrich_by_company(ledger, master, masters=compacted), master, masters=compacted)
     assert len(calls) == 1
     assert sorted(map(str, rows(twice))) == sorted(map(str, rows(lg.enrich_by_company(ledger, master))))
+
+
+def nodes(df) -> list:
+    """All nodes of the optimised plan."""
+    found = [df._jdf.queryExecution().optimizedPlan()]
+    for node in found:
+        found += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+MASTER = "id_comprobante string, tipos_unidad string, u1_tipo string, u1_n string, company string, master_file string, hoja string, orden_fila int"
+
+
+def test_canonical_key_of_every_ascii_character(spark):
+    """SNK-10, JOB-09: one translate in place of the pattern gives the keys of the pattern."""
+    values = [chr(c) + "a" + chr(c) * 2 + "F001" + chr(c) + "7" for c in range(128)] + ["_/-", "/_b001--_0", "½-ª", "ｆ００１＿７", "", None]
+    s = text.fold_ascii(F.upper("v"))
+    old = F.btrim(F.regexp_replace(F.regexp_replace(s, r"[^A-Z0-9_/\-]+", ""), r"[_/\-]+", "-"), F.lit("-"))
+    assert one_col(spark, values, keys.canonical_clean) == one_col(spark, values, lambda c: old)
+    assert "[^A-Z0-9" not in str(keys.canonical_clean(F.col("v")))
+
+
+def test_master_keys_are_computed_once(spark):
+    """SNK-10: dropping blank keys isn't moved down to the scan, where each use of the key would compute it again."""
+    master = spark.createDataFrame([
+        ("F001-1", "D", None, "7", "URSA", " ", "H2", 2), ("F001-00000001", " ", "T", "8", "URSA", "m.xlsx", "H1", 1), ("f001/1", None, None, None, "URSA", "n.xlsx", " H1 ", 3),
+        (" ", "D", "T", "9", "URSA", "m.xlsx", "H1", 4), ("##", "D", "T", "9", "URSA", "m.xlsx", None, 5), (None, "D", "T", "9", "LYNX", "m.xlsx", "H1", 6),
+        ("x 1", None, None, None, None, None, None, None), ("B001-2", None, None, None, " ", None, " ", 7)], MASTER)
+    out = lg.company_masters(master)
+    filters = [n.condition().toString() for n in nodes(out) if n.nodeName() == "Filter"]
+    assert filters and not [f for f in filters if "regexp" in f]
+    cols = ["__company", "efac_comprobante_key", "source_company", "efac_expected_master", "efac_source_file", "tipos_unidad_efac", "u1_tipo_efac", "u1_n_efac",
+            "efac_match_count", "efac_source_sheet"]
+    assert out.columns == cols
+    assert sorted(rows(out), key=str) == sorted([
+        ("URSA", "F001-00000001", "URSA", "m.xlsx", "m.xlsx", "D", "T", "8", 3, "H1 | H2"),
+        (None, "X1", None, None, None, None, None, None, 1, None), (" ", "B001-00000002", None, None, None, None, None, None, 1, None)], key=str)
+
+
+def test_company_join_goes_by_a_number_and_spreads_what_cannot_match(spark):
+    """SNK-10, JOB-09: no second copy of the key is shuffled, and blank or unknown keys don't pile up."""
+    master = spark.createDataFrame([("F001-1", "D", None, "7", "URSA", "m.xlsx", "H1", 1), ("F001-2", "E", None, None, "OTHER", "o.xlsx", "H1", 2)], MASTER)
+    ledger = spark.createDataFrame([("F001-1", "VENTA URSA 2026.xlsx", 1), (" ", "x ursa", 2), ("F001-1", "x LYNX", 3), ("F001-1", None, 4), (None, None, 5), ("F001-9", "ursa", 6)],
+                                   "nro_comprobante string, source_file string, n int")
+    out = lg.enrich_by_company(ledger, master)
+    join = [n for n in nodes(out) if n.nodeName() == "Join"][0]
+    carried = [join.left().output().apply(i).name() for i in range(join.left().output().size())]
+    assert "__h" in carried and not {"__jk", "__company"} & set(carried), carried
+    got = sorted(rows(out, "n", "efac_comprobante_key", "source_company", "efac_expected_master", "tipos_unidad_efac", "u1_n_efac", "efac_match_count", "efac_match_method"))
+    ursa = "MAESTRO_COMPROBANTES_URSA.xlsx"
+    assert got == [(1, "F001-00000001", "URSA", "m.xlsx", "D", "7", 1, lg.SOURCE_AWARE), (2, "", "URSA", ursa, None, None, None, None),
+                   (3, "F001-00000001", None, None, None, None, None, None), (4, "F001-00000001", None, None, None, None, None, None),
+                   (5, "", None, None, None, None, None, None), (6, "F001-00000009", "URSA", ursa, None, None, None, None)]
+    kept = lg.enrich_by_company(ledger, master, keep_company=True)
+    assert sorted(rows(kept, "n", "__company"), key=lambda r: r[0]) == [(1, "URSA"), (2, "URSA"), (3, "LYNX"), (4, None), (5, None), (6, "URSA")]
