@@ -112,7 +112,7 @@ def links(prints: DataFrame, distance: int = 2, dense: int = 256) -> DataFrame:
         deeper = F
         for s in range(parts):
             deeper = deeper.when(F.col("segment") == s, _variants(F.col("fp"), others[s]))
-        second = index.join(crowded, keys).select("fp", *keys, F.explode(deeper).alias("d")).select("fp", *keys, "d.segment", "d.bit", "d.rest").toDF("fp", *keys, "segment2", "bit2", "rest2")
+        second = index.join(crowded, keys, "left_semi").select("fp", *keys, F.explode(deeper).alias("d")).select("fp", *keys, "d.segment", "d.bit", "d.rest").toDF("fp", *keys, "segment2", "bit2", "rest2")
 
     def pairs(df: DataFrame, on: list[str]) -> DataFrame:
         a, b = df.alias("a"), df.alias("b")
@@ -121,7 +121,8 @@ def links(prints: DataFrame, distance: int = 2, dense: int = 256) -> DataFrame:
         for k in on[1:]:
             same = same & (F.col(f"a.{k}") == F.col(f"b.{k}"))
         near = (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(differ) <= distance)
-        return a.join(b, same & near).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
+        # Spark sizes an exploded index like the prints, 64 times too low, and would broadcast it: always dealt and sorted.
+        return a.join(b.hint("merge"), same & near).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
 
     out = pairs(sparse, keys)
     if second is not None:

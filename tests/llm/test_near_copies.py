@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
 import xxhash
 
 from tejado.llm import components, packs, passage_dedup, simhash, suffix_dedup
+from tejado.llm.common import written
 from tejado.llm.queries import QUERIES
 
 from .helpers import SF, WORD, documents, odd_table, rows_of
@@ -65,6 +67,17 @@ def test_op6_links_at_any_distance(spark, distance):
         assert {tuple(r) for r in simhash.links(df, distance, dense).collect()} == expected
 
 
+@pytest.mark.parametrize("dense", [256, 1])
+def test_op6_index_is_dealt_not_broadcast(spark, dense):
+    """The index has 64 rows for each print but is sized like the prints: its joins with itself must not go by that size."""
+    prints = written(spark.createDataFrame([(x,) for x in (0, 1, 3, 1 << 40, -1)], "fp long"), "prints")
+    found = simhash.links(prints, 2, dense)
+    joins = set(re.findall(r"(\w+Join) \[segment.*?(Inner|LeftAnti|LeftSemi), (Build\w+)?", found._jdf.queryExecution().executedPlan().toString()))
+    assert ("SortMergeJoin", "Inner", "") in joins
+    assert {j for j in joins if j[0] != "SortMergeJoin"} <= {("BroadcastHashJoin", "LeftAnti", "BuildRight"), ("BroadcastHashJoin", "LeftSemi", "BuildRight")}  # the crowded keys
+    assert set(rows_of(found)) == {(0, 1), (0, 3), (0, 1 << 40), (1, 3), (1, 1 << 40)}
+
+
 def test_op6_empty_table(spark):
     empty = odd_table(spark).limit(0)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_of_each(empty).columns == empty.columns
