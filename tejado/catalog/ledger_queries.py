@@ -49,7 +49,7 @@ CTE_TWO_TIER = [("mrows", MROWS), ("lex", LEX), ("lfx", LFX), ("led", LED), ("m1
 @register("job08_ledger_two_tier", with_ctes(["ledger", "master"], CTE_TWO_TIER) + "SELECT * FROM two_tier")
 def job08_two_tier(spark, sf):
     """JOB-08: JN-09 exact then flexible key, JN-11 routing by group, AG-15 compaction, SC-15/16/18."""
-    return lg.enrich_two_tier(view(spark, sf, "ledger"), view(spark, sf, "master"))
+    return lg.enrich_two_tier(view(spark, sf, "ledger"), view(spark, sf, "master"), in_steps=True)
 
 
 @register("ag16_two_tier_audit", with_ctes(["ledger", "master"], CTE_TWO_TIER) + """

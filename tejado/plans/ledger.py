@@ -10,11 +10,11 @@ key first (partial aggregation), so every join is many-to-one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tejado.functions.keys import (COMPANY_RULES, company_from_name, with_canonical_key, with_company, with_group,
-                                   with_invoice_keys)
+from tejado.functions.keys import (COMPANY_RULES, company_from_name, flex_from_exact, invoice_key, with_canonical_key, with_company,
+                                   with_group, with_invoice_keys)
 from tejado.functions.rules import any_not_null
 from tejado.functions.text import has_text, ustrip
 from tejado.operators.columns import drop_prior, find_column, place_after
@@ -86,68 +86,90 @@ def _values(columns: list[str]) -> list:
 
 
 def compacted_master(master: DataFrame) -> DataFrame:
-    """The master rows, keys normalised once and compacted by group and exact key, as a written table."""
-    return staged(_compact(master_rows(master).withColumn("__grp", F.col("efac_group")), ["__grp", "efac_comp_key_exact"],
-                           TARGETS + CARRIED, [F.first("efac_comp_key_flex").alias("efac_comp_key_flex")]), "ledger-master")
+    """The master rows, keys normalised once and compacted by group and exact key, as a written table of a row per exact key.
 
+    ``entries`` holds a struct per group of the key: group, compacted columns, row count. Groups come from the fixed alias
+    list, so a key has few, and what all groups say together needs no second table.
+    """
+    parts = _compact(master_rows(master).withColumn("__grp", F.col("efac_group")), ["__grp", "efac_comp_key_exact"],
+                     TARGETS + CARRIED, [F.first("efac_comp_key_flex").alias("efac_comp_key_flex")])
+    return staged(_by_key(parts, "efac_comp_key_exact", [F.first("efac_comp_key_flex").alias("efac_comp_key_flex")]), "ledger-master")
 
-def lookups(by_exact: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exact and flexible lookups per group plus the ``ALL`` group, keyed by (``__grp``, key), of the compacted master.
 
-    The flexible key depends on the exact one, and ``ALL`` on the groups, so all four come from the compacted rows: the
-    master itself is read, folded and shuffled once.
-    """
+def _by_key(parts: DataFrame, key: str, extra: list | None = None) -> DataFrame:
+    """Rows compacted by group and key -> (key, ``entries``): the groups of a key in one row."""
+    entry = F.struct("__grp", *TARGETS, *CARRIED, "__n")
+    return parts.groupBy(key).agg(F.collect_list(entry).alias("entries"), *(extra or []))
+
+
+def _lookup(by_key: DataFrame, key: str) -> DataFrame:
+    """(key, ``entries``) with the values alone; the group ``ALL`` has an entry of its own where a key has several groups."""
     values = TARGETS + CARRIED
-    by_flex = _merge(by_exact, ["__grp", "efac_comp_key_flex"], values)
+    own = F.transform("entries", lambda e: F.struct(e["__grp"].alias("grp"), *[e[c]["value"].alias(c) for c in values], e["__n"].alias("n")))
+    first = lambda c: F.array_min(F.transform("entries", lambda e: e[c]))["value"].alias(c)
+    rows = F.aggregate("entries", F.lit(0).cast("long"), lambda n, e: n + e["__n"])
+    everything = F.array(F.struct(F.lit("ALL").alias("grp"), *[first(c) for c in values], rows.alias("n")))
+    return by_key.select(key, F.when(F.size("entries") > 1, F.concat(own, everything)).otherwise(own).alias("entries"))
 
-    def with_all(parts: DataFrame, key: str, count_col: str) -> DataFrame:
-        everything = _merge(parts, [F.lit("ALL").alias("__grp"), key], values)
-        cols = ["__grp", key, *_values(values), F.col("__n").alias(count_col)]
-        return parts.select(*cols).unionByName(everything.select(*cols))
 
-    return (with_all(by_exact, "efac_comp_key_exact", "efac_match_count_exact"),
-            with_all(by_flex, "efac_comp_key_flex", "efac_match_count_flex"))
+def _entry(entries, grp) -> Column:
+    """The values and row count of a group's entry, null without one; of a single entry ``ALL`` is the same."""
+    mine = F.filter(entries, lambda e: (e["grp"] == grp) | ((grp == "ALL") & (F.size(entries) == 1)))
+    return F.get(F.transform(mine, lambda e: F.struct(*[e[c].alias(c) for c in TARGETS + CARRIED], e["n"].alias("n"))), 0)
+
+
+def lookups(compacted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exact and flexible lookups (key, ``entries``) of the compacted master; a row holds what each group says, and ``ALL``.
+
+    The flexible key depends on the exact one, so both come from the compacted rows: the master itself is read, folded
+    and shuffled once. The flexible lookup is written too: the join with the ledger then deals out thin rows, and its
+    sides can be split where a key is hot.
+    """
+    parts = compacted.select("efac_comp_key_flex", F.explode("entries").alias("__e")).select("efac_comp_key_flex", "__e.*")
+    by_flex = _by_key(_merge(parts, ["__grp", "efac_comp_key_flex"], TARGETS + CARRIED), "efac_comp_key_flex")
+    return _lookup(compacted, "efac_comp_key_exact"), staged(_lookup(by_flex, "efac_comp_key_flex"), "ledger-flex")
 
 
 def enrich_two_tier(ledger: DataFrame, master: DataFrame, comp_col: str | None = None,
-                    file_col: str = "source_file", force_all: bool = False) -> DataFrame:
+                    file_col: str = "source_file", force_all: bool = False, in_steps: bool = False) -> DataFrame:
     """JOB-08 / JN-09 / JN-11: exact key first; rows still without a method try the flexible key.
 
     Targets and audit columns come directly after the invoice column (PRJ-12), which is found by name if not given.
     The lookup group is the ledger file's company group, or ``ALL`` when forced,
-    unknown, or when the masters hold no file of that group.
+    unknown, or when the masters hold no file of that group. ``in_steps``: the rows are written between the two joins, so
+    that the disk holds the shuffles of one join at a time; for outputs of all columns (an audit needs few and stays lazy).
     """
     compacted = compacted_master(master)
     exact, flex = lookups(compacted)
     comp_col = invoice_column(ledger, comp_col)
     led = drop_prior(ledger, TARGETS + CARRIED + ["efac_match_method", "efac_match_count"])
     salt = list(led.columns)  # the ledger's own columns give each row a stable hash
+    own = [c for c in led.columns if not c.endswith("_flex") and not c.startswith("__")]
     if force_all:
         grp = F.lit("ALL")
     else:
         # groups that have masters: bounded by the fixed alias list, so broadcasting it is safe
-        known = F.broadcast(compacted.select(F.col("__grp").alias("__known")).distinct())
+        known = F.broadcast(compacted.select(F.explode("entries.__grp").alias("__known")).distinct())
         led = with_group(led, file_col, "__g")
         led = led.join(known, on=led["__g"] == known["__known"], how="left")
         grp = F.coalesce(F.col("__known"), F.lit("ALL"))
-    led = with_invoice_keys(led.withColumn("__grp", grp), comp_col, "__exact", "__flex")
+    led = led.withColumn("__grp", grp).withColumn("__exact", invoice_key(F.col(f"`{comp_col}`")))
     # A blank key can never match (the typical hot key of a ledger): it is salted so those rows
     # spread over the shuffle instead of piling into one partition (see joins.spread_unmatchable).
-    led = led.withColumn("__jx", spread_unmatchable(F.col("__exact"), salt)) \
-             .withColumn("__jf", spread_unmatchable(F.col("__flex"), salt))
-    ex = exact.withColumnRenamed("__grp", "__grp_e")
-    m = led.join(ex, on=[led["__grp"] == ex["__grp_e"], led["__jx"] == ex["efac_comp_key_exact"]], how="left")
-    m = m.withColumn("efac_match_method", F.when(any_not_null(*TARGETS), F.lit(EXACT)))
-    m = m.withColumn("efac_match_count", F.col("efac_match_count_exact"))
-    fl = flex.select(*[F.col(c).alias(c + "_flex") for c in flex.columns])
-    m = m.join(fl, on=[m["__grp"] == fl["__grp_flex"], m["__jf"] == fl["efac_comp_key_flex_flex"]], how="left")
-    need_flex = F.col("efac_match_method").isNull()
-    m = m.withColumns({c: F.coalesce(F.col(c), F.col(c + "_flex")) for c in TARGETS + CARRIED})
-    m = m.withColumn("efac_match_method", F.when(need_flex & any_not_null(*TARGETS), F.lit(FLEX))
+    led = led.withColumn("__jx", spread_unmatchable(F.col("__exact"), salt))
+    m = led.join(exact, on=led["__jx"] == exact["efac_comp_key_exact"], how="left")
+    m = m.select(*[F.col(f"`{c}`") for c in own], "__grp", "__jx", _entry(F.col("entries"), F.col("__grp")).alias("__ex"))
+    m = staged(m, "ledger-exact") if in_steps else m
+    # the flexible key comes of the exact one, so the first join carries that alone; salted keys stay as they are
+    m = m.withColumn("__flex", F.when(F.startswith("__jx", F.lit("#")), F.lit("")).otherwise(flex_from_exact("__jx")))
+    m = m.withColumn("__jf", F.when(F.startswith("__jx", F.lit("#")), F.col("__jx")).otherwise(spread_unmatchable(F.col("__flex"), own)))
+    m = m.join(flex, on=m["__jf"] == flex["efac_comp_key_flex"], how="left")
+    m = m.withColumn("__fl", _entry(F.col("entries"), F.col("__grp")))
+    m = m.select(*[F.col(f"`{c}`") for c in own], *[F.coalesce(f"__ex.{c}", f"__fl.{c}").alias(c) for c in TARGETS + CARRIED],
+                 F.when(any_not_null(*[f"__ex.{c}" for c in TARGETS]), F.lit(EXACT)).alias("efac_match_method"),
+                 F.coalesce("__ex.n", "__fl.n").alias("efac_match_count"))
+    m = m.withColumn("efac_match_method", F.when(F.col("efac_match_method").isNull() & any_not_null(*TARGETS), F.lit(FLEX))
                      .otherwise(F.col("efac_match_method")))
-    m = m.withColumn("efac_match_count", F.coalesce("efac_match_count", "efac_match_count_flex_flex"))
-    m = m.drop(*[c for c in m.columns if c.endswith("_flex") or c.startswith("__")],
-               "efac_comp_key_exact", "efac_match_count_exact", "__known")
     return place_after(m, comp_col, TARGETS + AUDIT)
 
 

@@ -1,11 +1,13 @@
 """Steps whose cost had grown too fast with the tables: what they plan, and that the results are the old ones."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tejado.catalog.io_queries import raw_files
+from tejado import session
 from tejado.functions import keys, text
 from tejado.operators import arrays as ar
 from tejado.plans import ledger as lg
@@ -117,3 +119,52 @@ def test_company_join_goes_by_a_number_and_spreads_what_cannot_match(spark):
                    (5, "", None, None, None, None, None, None), (6, "F001-00000009", "URSA", ursa, None, None, None, None)]
     kept = lg.enrich_by_company(ledger, master, keep_company=True)
     assert sorted(rows(kept, "n", "__company"), key=lambda r: r[0]) == [(1, "URSA"), (2, "URSA"), (3, "LYNX"), (4, None), (5, None), (6, "URSA")]
+
+
+def shuffle_files(spark) -> set:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def gone(spark, before: set) -> bool:
+    """Whether no shuffle files but those of ``before`` are left (they are removed in the background)."""
+    for _ in range(100):
+        if shuffle_files(spark) <= before:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    """JOB-08: shuffle files of a step go once its table is written; the session's setting is as it was."""
+    before, setting = shuffle_files(spark), spark.conf.get(session.FREE_SHUFFLES, None)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n"))
+    out = session.staged(df, "step")
+    assert gone(spark, before) and spark.conf.get(session.FREE_SHUFFLES, None) == setting
+    assert sorted(rows(out)) == sorted(rows(df))
+
+
+TIERS = [  # invoice, unit types, file, sheet, order
+    ("F001-13", None, "MAESTRO_URSA.xlsx", "H1", 5), ("F001-00013", "D", "MAESTRO_URSA.xlsx", "H2", 7), ("F001-13", "E", "MAESTRO_LYNX.xlsx", "H1", 3),
+    ("F001-13", "G", "MAESTRO_LYNX.xlsx", "H0", 4), ("B002-1", " ", "otro.xlsx", "H1", 1), ("B002-1", "X", "MAESTRO_LYNX.xlsx", None, 2), (" ", "Z", "MAESTRO_URSA.xlsx", "H1", 0),
+    (None, "Z", "MAESTRO_URSA.xlsx", "H1", 0), ("---", "Y", "MAESTRO_LYNX.xlsx", "H1", 9)]
+
+
+@pytest.mark.parametrize("in_steps", [False, True])
+def test_two_tier_lookups_hold_a_row_per_key(spark, in_steps):
+    """JOB-08: the groups of a key and what they say together are one row, not a second table; the matches are the old ones."""
+    master = spark.createDataFrame([(a, b, None, None, f, h, o) for a, b, f, h, o in TIERS],
+                                   "id_comprobante string, tipos_unidad string, u1_tipo string, u1_n string, master_file string, hoja string, orden_fila int")
+    exact, flex = lg.lookups(lg.compacted_master(master))
+    assert sorted(r[0] for r in rows(exact, "efac_comp_key_exact")) == ["---", "B002-1", "F001-00013", "F001-13"]
+    assert sorted(r[0] for r in rows(flex, "efac_comp_key_flex")) == ["", "B002|1", "F001|13"]
+    ledger = [("F001-13", "x ursa", 1), ("F001-13", "x lynx", 2), ("F001-13", None, 3), ("f001-013", "x ursa", 4), ("f001-013", "x cygnus", 5), ("F001-00013", "x lynx", 6),
+              ("B002-1", "x ursa", 7), ("B002-1", None, 8), (" ", "x ursa", 9), (None, None, 10), ("---", "x lynx", 11), ("--", "x lynx", 12), ("B002-1", "10 de abril", 13)]
+    out = lg.enrich_two_tier(spark.createDataFrame(ledger, "nro_comprobante string, source_file string, n int"), master, in_steps=in_steps)
+    assert out.columns == ["nro_comprobante", *lg.TARGETS, *lg.AUDIT, "source_file", "n", *[c for c in lg.CARRIED if c not in lg.AUDIT]]
+    u, x = "MAESTRO_URSA.xlsx", "MAESTRO_LYNX.xlsx"
+    assert sorted(rows(out, "n", "tipos_unidad_efac", "efac_match_method", "efac_match_count", "efac_source_file", "efac_source_sheet", "efac_group")) == [
+        (1, "D", lg.FLEX, 1, u, "H1", "URSA"), (2, "E", lg.EXACT, 2, x, "H1", "LYNX"), (3, "E", lg.EXACT, 3, x, "H1", "LYNX"), (4, "D", lg.FLEX, 2, u, "H1", "URSA"),
+        (5, "E", lg.FLEX, 4, x, "H1", "LYNX"), (6, "E", lg.FLEX, 2, x, "H1", "LYNX"), (7, None, None, None, None, None, None), (8, "X", lg.EXACT, 2, "otro.xlsx", "H1", "UNKNOWN"),
+        (9, None, None, None, None, None, None), (10, None, None, None, None, None, None), (11, "Y", lg.EXACT, 1, x, "H1", "LYNX"), (12, None, None, None, None, None, None),
+        (13, "X", lg.EXACT, 2, "otro.xlsx", "H1", "UNKNOWN")]
