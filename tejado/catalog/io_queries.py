@@ -143,8 +143,10 @@ def job04(spark, sf):
     for name in md.RAW_TABLES:
         order = "id_proceso" if name == "procesos" else "orden_fila"
         files = raw_files(read_base(spark, sf, VIEWS[name][1][0]).count())
-        table = view(spark, sf, name).repartitionByRange(files, order).sortWithinPartitions(order).drop(order)
-        table.write.parquet(f"{base}/raw/{name}.parquet")
+        source = view(spark, sf, name)
+        source = staged(source, "job04-procesos") if name == "procesos" else source  # joined once: dealing by ranges reads it twice
+        table = source.repartitionByRange(files, order).sortWithinPartitions(order).drop(order)
+        md.write_layer(table, f"{base}/raw/{name}.parquet", mode="errorifexists")
     owners, stock = md.run_all(spark, base)
     return stock
 

@@ -11,6 +11,7 @@ from tejado import session
 from tejado.functions import keys, text
 from tejado.operators import arrays as ar
 from tejado.plans import ledger as lg
+from tejado.plans import medallion, stock
 from tests.conftest import one_col, rows
 
 
@@ -168,3 +169,28 @@ def test_two_tier_lookups_hold_a_row_per_key(spark, in_steps):
         (5, "E", lg.FLEX, 4, x, "H1", "LYNX"), (6, "E", lg.FLEX, 2, x, "H1", "LYNX"), (7, None, None, None, None, None, None), (8, "X", lg.EXACT, 2, "otro.xlsx", "H1", "UNKNOWN"),
         (9, None, None, None, None, None, None), (10, None, None, None, None, None, None), (11, "Y", lg.EXACT, 1, x, "H1", "LYNX"), (12, None, None, None, None, None, None),
         (13, "X", lg.EXACT, 2, "otro.xlsx", "H1", "UNKNOWN")]
+
+
+def test_layers_leave_no_shuffle_files(spark, tmp_path):
+    """JOB-04: the disk holds the layers and one table's shuffles, not those of all tables; facts made in steps are the same."""
+    base = str(tmp_path)
+    raw = {"unidades": spark.createDataFrame([("U1", "A1", "P1", 100.0), ("U2", "E-2", "P2", 50.0), ("U1", "B1", "P1", 90.0)], "codigo string, nombre string, codigo_proyecto string, precio_venta double"),
+           "proyectos": spark.createDataFrame([("P1", "Uno"), ("P1", "Otro"), (None, "Nada")], "codigo string, nombre string"),
+           "clientes": spark.createDataFrame([("0001", "Ana", "Paz"), ("0002", "Luz", "Rey"), (None, "Nadie", None)], "documento string, nombres string, apellidos string"),
+           "procesos": spark.createDataFrame([
+               ("PF1", "Separacion", "Activo", "0001", "U1", "U2", "P1", "0002;0003", None, None), ("PF1", "Venta", "Activo", "0001", "U1", None, "P1", "0002", "0002", "2024-01-02"),
+               ("PF2", "Separacion", "Anulado", None, "U2", None, None, None, "0009", None), (None, "Venta", "Activo", "0002", "U2", None, "P2", "0001", None, "2024-01-03"),
+               ("PF3", "Venta", None, "0002", "U2", "U1", "P2", "", None, None)],
+               "codigo_proforma string, nombre string, estado string, documento_cliente string, codigo_unidad string, codigo_unidades_asignadas string, "
+               "codigo_proyecto string, documento_copropietarios string, documento_conyuge string, fecha_fin string")}
+    for name, df in raw.items():
+        df.coalesce(1).write.parquet(f"{base}/raw/{name}.parquet")
+    before = shuffle_files(spark)
+    owners, mart = medallion.run_all(spark, base)
+    assert gone(spark, before)
+    read = {n: spark.read.parquet(f"{base}/bronze/{n}.parquet") for n in raw}
+    whole, steps = (stock.process_facts(read["procesos"], read["clientes"], in_steps=x) for x in (False, True))
+    assert whole.schema.simpleString() == steps.schema.simpleString() and sorted(rows(whole), key=str) == sorted(rows(steps), key=str)
+    got = {r["codigo_proforma"]: (r["con_separacion"], r["con_venta"], r["copropietario_1"], r["dni_coprop_1"], r["dni_coprop_2"]) for r in steps.collect()}
+    assert got == {"PF1": (True, True, "Luz Rey", "0002", "0003"), "PF2": (False, False, None, "0009", None), "PF3": (False, True, None, None, None)}
+    assert owners.count() == 2 and mart.count() == 2
